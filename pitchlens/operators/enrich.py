@@ -1,0 +1,44 @@
+"""Equi-joins of a fact table to keyed dimension tables.
+
+No broadcast hint is given for dimensions that grow with the data (teams,
+players, per-team stats): the planner broadcasts from file statistics, and
+adaptive execution switches a sort-merge join to a broadcast join at runtime
+when the materialised side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+Both checks are on measured size, so nothing unbounded is ever broadcast; above
+the threshold the join stays a shuffle join, with skew splitting enabled.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def attach(fact: DataFrame, dim: DataFrame, on: Mapping[str, str], columns: Mapping[str, str],
+           how: str = "left", fact_alias: str = "f", dim_alias: str = "d",
+           extra: Column | None = None) -> DataFrame:
+    """Join ``dim`` to ``fact`` on ``{fact_col: dim_col}`` and add ``{out: dim_col}``.
+
+    ``extra`` is an additional join predicate over the aliases (J5: a constant
+    predicate on the fact side keeps unmatched rows with NULLs).
+    """
+    f, d = fact.alias(fact_alias), dim.alias(dim_alias)
+    cond = None
+    for fc, dc in on.items():
+        c = F.col(f"{fact_alias}.{fc}") == F.col(f"{dim_alias}.{dc}")
+        cond = c if cond is None else cond & c
+    if extra is not None:
+        cond = cond & extra
+    out = [F.col(f"{fact_alias}.{c}") for c in fact.columns]
+    out += [F.col(f"{dim_alias}.{src}").alias(name) for name, src in columns.items()]
+    return f.join(d, cond, how).select(*out)
+
+
+def attach_many(fact: DataFrame, dims: Sequence[tuple[DataFrame, Mapping[str, str], Mapping[str, str]]],
+                how: str = "left") -> DataFrame:
+    """The same fact joined to several role-playing dimensions in turn."""
+    for i, (dim, on, cols) in enumerate(dims):
+        fact = attach(fact, dim, on, cols, how=how, fact_alias=f"f{i}", dim_alias=f"d{i}")
+    return fact
