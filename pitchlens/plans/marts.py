@@ -142,9 +142,10 @@ def backtest_picks(player_rolling_lagged: DataFrame, stg_fixtures: DataFrame, te
     fc = team_match_rows(stg_fixtures, finished=True).select(
         "team_id", "opponent_id", "gameweek", "fdr", "venue", "fixture_id").alias("fc")
     pr = player_rolling_lagged.alias("pr")
+    # one D3 result serves both lookups (opponent and own team): the two join
+    # sides are the same plan, so Spark builds and exchanges it once
     stats = team_stats_by_gameweek(team_perf_lagged)
-    opp, own = stats.alias("opp"), stats.select(
-        "team_id", "gameweek", F.col("clean_sheet_rate_5gw").alias("team_cs_rate")).alias("own")
+    opp, own = stats.alias("opp"), stats.alias("own")
     if on_fixture:
         side = F.when(F.col("pr.was_home"), F.lit("home")).otherwise(F.lit("away"))
         cond = (F.col("pr.fixture_id") == F.col("fc.fixture_id")) & (F.col("fc.venue") == side)
@@ -166,7 +167,7 @@ def backtest_picks(player_rolling_lagged: DataFrame, stg_fixtures: DataFrame, te
                                     F.col("opp.defense_weakness_5gw")),
         opp_attack=S.opponent_stat(C.venue_switch(venue, "opp.away_attack_3gw", "opp.home_attack_3gw"),
                                    F.col("opp.attack_strength_5gw")),
-        clean_sheet=F.coalesce(F.col("own.team_cs_rate"), F.lit(0.0)),
+        clean_sheet=F.coalesce(F.col("own.clean_sheet_rate_5gw"), F.lit(0.0)),
     )
     out = j.select(
         "pr.player_id", "pr.player_name", "pr.position", team_col.alias("team_id"), "pr.gameweek",
@@ -182,7 +183,7 @@ def backtest_picks(player_rolling_lagged: DataFrame, stg_fixtures: DataFrame, te
         C.venue_switch(venue, "opp.away_attack_3gw", "opp.home_attack_3gw").alias("opponent_venue_attack"),
         C.venue_switch(venue, "opp.away_defense_3gw", "opp.home_defense_3gw").alias("opponent_venue_defense"),
         C.venue_switch(venue, "opp.away_cs_rate_3gw", "opp.home_cs_rate_3gw").alias("opponent_venue_cs_rate"),
-        F.col("own.team_cs_rate"),
+        F.col("own.clean_sheet_rate_5gw").alias("team_cs_rate"),
         S.lagged_pick_score(x).alias("pick_score"),
         C.ratio_or_null("pr.season_points_before", "pr.games_played_before").alias("points_per_game_before"),
     )
