@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from pitchlens.functions import columns as C
 from pitchlens.operators.latest import first_by_tiebreak, latest_per_key, latest_values, next_per_key
-from pitchlens.operators.rolling import Agg, ahead, cumulative, rolling, rolling_by_subgroup, trailing, window
+from pitchlens.operators.rolling import Agg, ahead, cumulative, rolling, rolling_by_subgroup, sequence_number, trailing
 from pitchlens.plans.league_views import DriverTables
 from pitchlens.sources import landing as L
 from pitchlens.sources.tables import check_grain
@@ -27,6 +27,16 @@ EVENTS_UPCOMING_FROM = "2024-01-15 00:00:00"
 NEXT_N = 8
 
 
+# Window segments (monotone in the order): a customer's orders split per year,
+# a user's events per day, so no single key becomes a single task.
+def order_segment():
+    return F.year("o_orderdate")
+
+
+def event_segment():
+    return F.to_date("ts")
+
+
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DriverTables(spark, sf_dir).orders.select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
@@ -40,7 +50,7 @@ MONEY_TOTAL = "decimal(18,2)"
 
 def _money_sum(df: DataFrame, aggs: dict[str, Agg]) -> DataFrame:
     df = df.withColumn("_money", F.col("o_totalprice").cast(MONEY))
-    out = rolling(df, ORDER_KEYS, ORDER_ORDER, aggs)
+    out = rolling(df, ORDER_KEYS, ORDER_ORDER, aggs, segment=order_segment())
     return out.withColumns({n: F.col(n).cast(MONEY_TOTAL) for n in aggs}).drop("_money")
 
 
@@ -51,13 +61,14 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rolling_mean(spark, sf_dir):
     """Mean order value over the customer's last 3 orders."""
     return rolling(_orders(spark, sf_dir), ORDER_KEYS, ORDER_ORDER,
-                   {"avg_price_3": Agg("avg", "o_totalprice", trailing(3))})
+                   {"avg_price_3": Agg("avg", "o_totalprice", trailing(3))}, segment=order_segment())
 
 
 def rolling_mean_lagged(spark, sf_dir):
     """Same, over the 3 orders before the current one."""
     return rolling(_orders(spark, sf_dir), ORDER_KEYS, ORDER_ORDER,
-                   {"avg_price_prev_3": Agg("avg", "o_totalprice", trailing(3, lag=1))})
+                   {"avg_price_prev_3": Agg("avg", "o_totalprice", trailing(3, lag=1))},
+                   segment=order_segment())
 
 
 def rolling_sum(spark, sf_dir):
@@ -83,7 +94,7 @@ def cumulative_count(spark, sf_dir):
     return rolling(_orders(spark, sf_dir), ORDER_KEYS, ORDER_ORDER, {
         "orders_so_far": Agg("count", None, cumulative()),
         "orders_before": Agg("count", None, cumulative(lag=1)),
-    })
+    }, segment=order_segment())
 
 
 def rolling_rate(spark, sf_dir):
@@ -92,7 +103,7 @@ def rolling_rate(spark, sf_dir):
     return rolling(ev, EVENT_KEYS, EVENT_ORDER, {
         "error_rate_5": Agg("avg", "is_error", trailing(5)),
         "error_rate_prev_5": Agg("avg", "is_error", trailing(5, lag=1)),
-    }).drop("is_error")
+    }, segment=event_segment()).drop("is_error")
 
 
 def rolling_by_subgroup_q(spark, sf_dir):
@@ -103,17 +114,14 @@ def rolling_by_subgroup_q(spark, sf_dir):
         "purchase_value_prev_3": ("purchase", Agg("avg", "value", trailing(3, lag=1))),
         "view_value_3": ("view", Agg("avg", "value", trailing(3))),
         "view_value_prev_3": ("view", Agg("avg", "value", trailing(3, lag=1))),
-    })
+    }, segment=event_segment())
 
 
 def _with_lookahead(ev: DataFrame) -> DataFrame:
-    spec = window(EVENT_KEYS, EVENT_ORDER)
-    a3, a5 = ahead(3), ahead(5)
-    return ev.withColumns({
-        "seq": F.row_number().over(spec).cast("bigint"),
-        "next_value_3": F.avg("value").over(spec.rowsBetween(a3.start, a3.end)),
-        "next_value_5": F.avg("value").over(spec.rowsBetween(a5.start, a5.end)),
-    })
+    return sequence_number(ev, EVENT_KEYS, EVENT_ORDER, "seq", {
+        "next_value_3": Agg("avg", "value", ahead(3)),
+        "next_value_5": Agg("avg", "value", ahead(5)),
+    }, segment=event_segment())
 
 
 def lookahead_mean(spark, sf_dir):

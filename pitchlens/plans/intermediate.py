@@ -12,17 +12,27 @@ columns are appended to the outputs that are keyed by match.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchlens.functions import columns as C
 from pitchlens.operators.latest import latest_values
-from pitchlens.operators.rolling import Agg, ahead, cumulative, rolling, rolling_by_subgroup, trailing, window
+from pitchlens.operators.rolling import Agg, ahead, cumulative, rolling, rolling_by_subgroup, sequence_number, trailing
 from pitchlens.operators.sides import two_sided
 
 MATCH_ORDER = ["gameweek", "kickoff_time", "fixture_id"]
 TEAM_KEYS = ["team_id"]
 PLAYER_KEYS = ["player_id"]
+# A season is 38 gameweeks; windows are split per season block.
+SEASON_GAMEWEEKS = 38
+
+
+def season_block(gameweeks: int | None = SEASON_GAMEWEEKS) -> Column | None:
+    """Window segment for hot keys: consecutive blocks of ``gameweeks``
+    (monotone in the match order).  ``None`` keeps one window partition per key."""
+    if not gameweeks:
+        return None
+    return F.floor((F.col("gameweek") - F.lit(1)) / F.lit(gameweeks))
 
 
 def team_match_rows(stg_fixtures: DataFrame, finished: bool) -> DataFrame:
@@ -53,7 +63,7 @@ TEAM_OUTPUT = [
 ]
 
 
-def team_performance(stg_fixtures: DataFrame, lag: int = 0) -> DataFrame:
+def team_performance(stg_fixtures: DataFrame, lag: int = 0, segment: Column | None = None) -> DataFrame:
     """M6 (lag 0) / M7 (lag 1): rolling team form from finished fixtures.
 
     Blended columns use the last 5 matches and the season so far; venue
@@ -73,13 +83,13 @@ def team_performance(stg_fixtures: DataFrame, lag: int = 0) -> DataFrame:
         "season_points": Agg("sum", "match_points", season),
         "season_goals_for": Agg("sum", "goals_for", season),
         "season_goals_against": Agg("sum", "goals_against", season),
-    })
+    }, segment=segment)
     rows = rolling_by_subgroup(rows, TEAM_KEYS, "venue", MATCH_ORDER, {
         f"{venue}_{name}": (venue, Agg("avg", src, three))
         for venue in ("home", "away")
         for name, src in (("attack_3gw", "goals_for"), ("defense_3gw", "goals_against"),
                           ("cs_rate_3gw", "_clean"))
-    })
+    }, segment=segment)
     return rows.select(*TEAM_OUTPUT)
 
 
@@ -87,7 +97,8 @@ PLAYER_CONTEXT = ["player_id", "player_name", "position", "team_id", "gameweek",
                   "opponent_team_id", "was_home", "total_points", "minutes", "price", "selected_by"]
 
 
-def player_rolling(stg_player_gameweeks: DataFrame, stg_players: DataFrame, lag: int = 0) -> DataFrame:
+def player_rolling(stg_player_gameweeks: DataFrame, stg_players: DataFrame, lag: int = 0,
+                   segment: Column | None = None) -> DataFrame:
     """M8 (lag 0) / M9 (lag 1): rolling player form per appearance.
 
     The inner join keeps appearances of players in the current snapshot and
@@ -115,7 +126,7 @@ def player_rolling(stg_player_gameweeks: DataFrame, stg_players: DataFrame, lag:
         f"season_points{suffix}": Agg("sum", "total_points", season),
         f"games_played{suffix}": Agg("count", None, season),
     }
-    rows = rolling(rows, PLAYER_KEYS, MATCH_ORDER, aggs)
+    rows = rolling(rows, PLAYER_KEYS, MATCH_ORDER, aggs, segment=segment)
     return rows.select(*PLAYER_CONTEXT, *aggs, "fixture_id", "kickoff_time")
 
 
@@ -148,7 +159,7 @@ FIXTURE_DIFFICULTY_OUTPUT = [
 
 
 def fixture_difficulty(stg_fixtures: DataFrame, team_perf: DataFrame, stg_teams: DataFrame,
-                       team_stats: DataFrame | None = None) -> DataFrame:
+                       team_stats: DataFrame | None = None, segment: Column | None = None) -> DataFrame:
     """Each team's upcoming fixtures with opponent context.
 
     Sequence number and look-ahead means share one window (same keys, same
@@ -156,12 +167,10 @@ def fixture_difficulty(stg_fixtures: DataFrame, team_perf: DataFrame, stg_teams:
     """
     upcoming = team_match_rows(stg_fixtures, finished=False).select(
         "team_id", "gameweek", "opponent_id", "fdr", "venue", "kickoff_time", "fixture_id")
-    spec = window(TEAM_KEYS, MATCH_ORDER)
-    upcoming = upcoming.withColumns({
-        "fixture_order": F.row_number().over(spec).cast("bigint"),
-        "avg_fdr_next_3": F.avg("fdr").over(spec.rowsBetween(ahead(3).start, ahead(3).end)),
-        "avg_fdr_next_5": F.avg("fdr").over(spec.rowsBetween(ahead(5).start, ahead(5).end)),
-    })
+    upcoming = sequence_number(upcoming, TEAM_KEYS, MATCH_ORDER, "fixture_order", {
+        "avg_fdr_next_3": Agg("avg", "fdr", ahead(3)),
+        "avg_fdr_next_5": Agg("avg", "fdr", ahead(5)),
+    }, segment=segment)
     stats = team_stats if team_stats is not None else latest_team_stats(team_perf)
     u, o, t = upcoming.alias("u"), stats.alias("o"), stg_teams.alias("t")
     home = F.col("u.venue") == F.lit("home")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from pitchlens.plans import intermediate as I
 from pitchlens.plans import marts as M
@@ -19,9 +19,22 @@ from pitchlens.plans.league_views import LeagueInputs
 
 
 class LeagueModels:
-    def __init__(self, raw: LeagueInputs, on_fixture: bool = False):
+    """``segment_gameweeks``: split every team / player window into blocks of
+    that many gameweeks (exact; for histories where one key can hold a large
+    share of the rows, e.g. all competitions of a club over many seasons).
+    ``None`` (default) keeps one window partition per key: a team plays at
+    most one match per gameweek and a player one per fixture, so a key's
+    history is bounded by the season length and a plain window is cheapest."""
+
+    def __init__(self, raw: LeagueInputs, on_fixture: bool = False,
+                 segment_gameweeks: int | None = None):
         self.raw = raw
         self.on_fixture = on_fixture
+        self.segment_gameweeks = segment_gameweeks
+
+    @property
+    def segment(self) -> Column | None:
+        return I.season_block(self.segment_gameweeks)
 
     # staging (views) ---------------------------------------------------
     @cached_property
@@ -47,19 +60,19 @@ class LeagueModels:
     # intermediate (views) ----------------------------------------------
     @cached_property
     def team_performance(self) -> DataFrame:
-        return I.team_performance(self.stg_fixtures, lag=0)
+        return I.team_performance(self.stg_fixtures, lag=0, segment=self.segment)
 
     @cached_property
     def team_performance_lagged(self) -> DataFrame:
-        return I.team_performance(self.stg_fixtures, lag=1)
+        return I.team_performance(self.stg_fixtures, lag=1, segment=self.segment)
 
     @cached_property
     def player_rolling(self) -> DataFrame:
-        return I.player_rolling(self.stg_player_gameweeks, self.stg_players, lag=0)
+        return I.player_rolling(self.stg_player_gameweeks, self.stg_players, lag=0, segment=self.segment)
 
     @cached_property
     def player_rolling_lagged(self) -> DataFrame:
-        return I.player_rolling(self.stg_player_gameweeks, self.stg_players, lag=1)
+        return I.player_rolling(self.stg_player_gameweeks, self.stg_players, lag=1, segment=self.segment)
 
     @cached_property
     def latest_team_stats(self) -> DataFrame:
@@ -68,7 +81,7 @@ class LeagueModels:
     @cached_property
     def fixture_difficulty(self) -> DataFrame:
         return I.fixture_difficulty(self.stg_fixtures, self.team_performance, self.stg_teams,
-                                    team_stats=self.latest_team_stats)
+                                    team_stats=self.latest_team_stats, segment=self.segment)
 
     # marts (full) ------------------------------------------------------
     @cached_property
