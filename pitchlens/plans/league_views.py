@@ -4,7 +4,7 @@ The league models read raw FPL / match-feed tables.  The driver data has none,
 so these functions derive tables of the same shape from ``orders``,
 ``customer``, ``supplier`` and ``lineitem`` (teams = suppliers, players =
 customers, fixtures = orders, appearances = line items of a player's orders).
-The derivation is fixed and deterministic; ``oracle_views.py`` states the same
+The derivation is fixed and deterministic; ``oracle_sql.py`` states the same
 tables as SQL for the DuckDB oracle.  Every table grows with the driver data.
 
 The number of teams is a scalar subquery (one aggregate evaluated once, then
@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed values of the derivation (shared with the SQL form in oracle_views.py).
+# Fixed values of the derivation (shared with the SQL form in oracle_sql.py).
 FINISHED_UP_TO_GAMEWEEK = 280      # gameweeks 1..280 are played, the rest upcoming
 UNSCHEDULED_MOD, UNSCHEDULED_REM = 97, 13   # fixture id % 97 = 13 -> no gameweek
 SEED_SKIP_MOD = 5                  # suppliers with id % 5 = 0 have no mapping row
