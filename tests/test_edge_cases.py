@@ -194,3 +194,35 @@ def test_backtest_current_team_vs_played_fixture(spark):
 def test_top_k_tie_lowest_id_first(spark):
     df = spark.createDataFrame([(3, 1.0), (1, 2.0), (2, 2.0), (4, None)], "player_id long, pick_score double")
     assert [r.player_id for r in M.weekly_top_picks(df, k=3).collect()] == [1, 2, 3]
+
+
+def test_attach_left_with_fact_side_predicate(spark):
+    from pitchlens.operators.enrich import attach, attach_many
+
+    fact = spark.createDataFrame([(1, 10, "home"), (2, 10, "away"), (3, 99, "home")],
+                                 "id long, team long, venue string")
+    dim = spark.createDataFrame([(10, "Ten", 1.5)], "team_id long, name string, stat double")
+    out = attach(fact, dim, {"team": "team_id"}, {"team_name": "name"},
+                 extra=F.col("f.venue") == F.lit("home"))
+    rows = {r.id: r.team_name for r in out.collect()}
+    assert rows == {1: "Ten", 2: None, 3: None}      # unmatched rows stay, with NULLs
+    both = attach_many(fact, [(dim, {"team": "team_id"}, {"n1": "name"}),
+                              (dim, {"team": "team_id"}, {"s2": "stat"})])
+    assert {r.id: (r.n1, r.s2) for r in both.collect()}[2] == ("Ten", 1.5)
+
+
+def test_column_helpers(spark):
+    df = spark.createDataFrame([(1, None, 2), (None, 3, 4)], "a long, b long, fdr long")
+    out = C.with_defaults(df, {"a": 0, "b": 7})
+    assert [(r.a, r.b) for r in out.collect()] == [(1, 7), (0, 3)]
+    renamed = C.select_renamed(df, [("x", "fdr"), ("y", F.col("a") + 1)])
+    assert renamed.columns == ["x", "y"]
+    labels = spark.createDataFrame([(1,), (2,), (3,), (4,), (5,), (None,)], "fdr long").select(
+        C.bucket_label("fdr").alias("l")).collect()
+    assert [r.l for r in labels] == ["easy", "easy", "medium", "hard", "hard", None]
+    v = spark.createDataFrame([("home",), ("away",), ("n",)], "venue string").select(
+        C.venue_switch("venue", F.lit(1), F.lit(2)).alias("v")).collect()
+    assert [r.v for r in v] == [1, 2, None]
+    pts = spark.createDataFrame([("home_win",), ("draw",), ("away_win",), (None,)], "r string").select(
+        C.result_points("r", "home_win").alias("p")).collect()
+    assert [r.p for r in pts] == [3, 1, 0, 0]
