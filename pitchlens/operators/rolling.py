@@ -148,3 +148,28 @@ def first_n_per_key(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence
     of the shuffle, so at most ``n`` rows per key and map task are exchanged.
     """
     return sequence_number(df, keys, order, seq_col).where(F.col(seq_col) <= F.lit(n))
+
+
+def first_n_with_ahead(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[ColumnOrName],
+                       n: int, seq_col: str = "seq", aggs: Mapping[str, Agg] | None = None) -> DataFrame:
+    """F7 after W10: the first ``n`` rows per key, numbered, with look-ahead
+    (or trailing) aggregates computed over the full ordered rows.
+
+    Row ``n`` needs the ``w`` rows after it, so rows are first cut at
+    ``n + w`` with ``row_number``: Spark turns that cut into a group limit
+    on both sides of the shuffle, so at most ``n + w`` rows per key and map
+    task are exchanged -- however many rows a key has.  The aggregates then
+    run over the cut rows with the same partitioning and order (no second
+    shuffle or sort), and the result is cut at ``n``.  Exact: no aggregate of
+    a kept row reads past row ``n + w``.
+    """
+    aggs = dict(aggs or {})
+    for name, a in aggs.items():
+        if a.frame.end is None:
+            raise ValueError(f"{name}: unbounded-following frames cannot be cut")
+    width = max([a.frame.end for a in aggs.values() if a.frame.end > 0], default=0)
+    spec = window(keys, order)
+    head = df.withColumn(seq_col, F.row_number().over(spec).cast("bigint")).where(
+        F.col(seq_col) <= F.lit(n + width))
+    return head.withColumns({name: agg_column(a, spec) for name, a in aggs.items()}).where(
+        F.col(seq_col) <= F.lit(n))

@@ -13,7 +13,16 @@ from pyspark.sql import types as T
 
 from pitchlens.functions import columns as C
 from pitchlens.operators.latest import first_by_tiebreak, latest_per_key, latest_values, next_per_key
-from pitchlens.operators.rolling import Agg, ahead, cumulative, rolling, rolling_by_subgroup, sequence_number, trailing
+from pitchlens.operators.rolling import (
+    Agg,
+    ahead,
+    cumulative,
+    first_n_with_ahead,
+    rolling,
+    rolling_by_subgroup,
+    sequence_number,
+    trailing,
+)
 from pitchlens.plans.league_views import DriverTables
 from pitchlens.sources import landing as L
 from pitchlens.sources.tables import check_grain
@@ -132,9 +141,13 @@ def lookahead_mean(spark, sf_dir):
 def next_n_per_key(spark, sf_dir):
     """F7 after W10: each user's next 8 upcoming events with look-ahead means.
 
-    The cut runs after the look-ahead (row 8 needs rows 9..12)."""
+    Cut at 8 + 4 rows first (row 8 needs rows 9..12): a group limit before the
+    shuffle bounds what moves per user, also for a user with most events."""
     ev = _events(spark, sf_dir).where(F.col("ts") >= F.lit(EVENTS_UPCOMING_FROM).cast("timestamp_ntz"))
-    return _with_lookahead(ev).where(F.col("seq") <= F.lit(NEXT_N))
+    return first_n_with_ahead(ev, EVENT_KEYS, EVENT_ORDER, NEXT_N, "seq", {
+        "next_value_3": Agg("avg", "value", ahead(3)),
+        "next_value_5": Agg("avg", "value", ahead(5)),
+    })
 
 
 def latest_per_key_q(spark, sf_dir):

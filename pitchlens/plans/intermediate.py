@@ -17,7 +17,16 @@ from pyspark.sql import functions as F
 
 from pitchlens.functions import columns as C
 from pitchlens.operators.latest import latest_values
-from pitchlens.operators.rolling import Agg, ahead, cumulative, rolling, rolling_by_subgroup, sequence_number, trailing
+from pitchlens.operators.rolling import (
+    Agg,
+    ahead,
+    cumulative,
+    first_n_with_ahead,
+    rolling,
+    rolling_by_subgroup,
+    sequence_number,
+    trailing,
+)
 from pitchlens.operators.sides import two_sided
 
 MATCH_ORDER = ["gameweek", "kickoff_time", "fixture_id"]
@@ -159,18 +168,27 @@ FIXTURE_DIFFICULTY_OUTPUT = [
 
 
 def fixture_difficulty(stg_fixtures: DataFrame, team_perf: DataFrame, stg_teams: DataFrame,
-                       team_stats: DataFrame | None = None, segment: Column | None = None) -> DataFrame:
+                       team_stats: DataFrame | None = None, segment: Column | None = None,
+                       horizon: int | None = None) -> DataFrame:
     """Each team's upcoming fixtures with opponent context.
 
     Sequence number and look-ahead means share one window (same keys, same
     order) and run before the opponent lookups, which join one row per team.
+    ``horizon``: keep only the next ``horizon`` fixtures per team (the
+    ticker's 8, the picks' 1).  Then rows are cut at horizon + 4 before the
+    shuffle (group limit), the look-ahead means stay exact.
     """
     upcoming = team_match_rows(stg_fixtures, finished=False).select(
         "team_id", "gameweek", "opponent_id", "fdr", "venue", "kickoff_time", "fixture_id")
-    upcoming = sequence_number(upcoming, TEAM_KEYS, MATCH_ORDER, "fixture_order", {
+    ahead_means = {
         "avg_fdr_next_3": Agg("avg", "fdr", ahead(3)),
         "avg_fdr_next_5": Agg("avg", "fdr", ahead(5)),
-    }, segment=segment)
+    }
+    if horizon is not None:
+        upcoming = first_n_with_ahead(upcoming, TEAM_KEYS, MATCH_ORDER, horizon, "fixture_order", ahead_means)
+    else:
+        upcoming = sequence_number(upcoming, TEAM_KEYS, MATCH_ORDER, "fixture_order", ahead_means,
+                                   segment=segment)
     stats = team_stats if team_stats is not None else latest_team_stats(team_perf)
     u, o, t = upcoming.alias("u"), stats.alias("o"), stg_teams.alias("t")
     home = F.col("u.venue") == F.lit("home")

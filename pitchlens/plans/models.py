@@ -83,15 +83,20 @@ class LeagueModels:
         return I.fixture_difficulty(self.stg_fixtures, self.team_performance, self.stg_teams,
                                     team_stats=self.latest_team_stats, segment=self.segment)
 
+    def upcoming_head(self, horizon: int) -> DataFrame:
+        """fixture_difficulty cut to the next ``horizon`` fixtures per team."""
+        return I.fixture_difficulty(self.stg_fixtures, self.team_performance, self.stg_teams,
+                                    team_stats=self.latest_team_stats, horizon=horizon)
+
     # marts (full) ------------------------------------------------------
     @cached_property
     def player_picks(self) -> DataFrame:
-        return M.player_picks(self.stg_players, self.stg_teams, self.fixture_difficulty,
+        return M.player_picks(self.stg_players, self.stg_teams, self.upcoming_head(1),
                               self.team_performance, team_stats=self.latest_team_stats)
 
     @cached_property
     def fixture_ticker(self) -> DataFrame:
-        return M.fixture_ticker(self.fixture_difficulty, self.stg_teams)
+        return M.fixture_ticker(self.upcoming_head(M.TICKER_FIXTURES), self.stg_teams)
 
     @cached_property
     def backtest_picks(self) -> DataFrame:

@@ -95,3 +95,21 @@ def test_segmented_keeps_null_keys_and_segments(spark):
     split = rolling(df, ["k"], ["t"], aggs, segment=F.col("t"))
     assert split.count() == 4
     assert plain.exceptAll(split).count() == 0
+
+
+def test_cut_before_lookahead_is_exact(models):
+    full = models.fixture_difficulty.where(F.col("fixture_order") <= 8)
+    head = models.upcoming_head(8)
+    assert head.count() == full.count()
+    assert head.exceptAll(full).count() == 0
+
+
+def test_first_n_with_ahead_on_a_hot_key(spark):
+    from pitchlens.operators.rolling import first_n_with_ahead, sequence_number
+
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").withColumn("user_id", F.lit(7))
+    aggs = {"n3": Agg("avg", "value", ahead(3)), "p2": Agg("avg", "value", trailing(2))}
+    order = ["ts", "event_id"]
+    full = sequence_number(ev, ["user_id"], order, "seq", aggs).where("seq <= 8")
+    head = first_n_with_ahead(ev, ["user_id"], order, 8, "seq", aggs)
+    assert head.count() == 8 and head.exceptAll(full).count() == 0
