@@ -54,15 +54,15 @@ def _num_text(c: Column, div: int) -> Column:
 
 
 def fixtures(t: DriverTables) -> DataFrame:
-    n = _team_count(t)
-    half = _int(n / F.lit(2))
-    base = t.orders.select(
+    with_n = t.orders.select("o_orderkey", "o_orderdate", "o_totalprice", _team_count(t).alias("n"))
+    n = F.col("n")
+    base = with_n.select(
         F.col("o_orderkey").alias("id"),
         F.col("o_orderdate").alias("ts"),
         F.floor("o_totalprice").alias("p"),
         (_int(F.floor(F.col("o_orderkey") / (n / F.lit(2)))) + F.lit(1)).alias("gw"),
-        (F.col("o_orderkey") % half).alias("j"),
-        n.alias("n"),
+        (F.col("o_orderkey") % _int(n / F.lit(2))).alias("j"),
+        n,
     )
     a = (F.col("j") + F.col("gw")) % F.col("n")
     b = (F.col("n") - F.lit(1) - F.col("j") + F.col("gw")) % F.col("n")
