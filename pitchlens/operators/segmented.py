@@ -15,11 +15,11 @@ each (key, segment) is an independent window partition.  Results are exact:
   row numbers add, per segment, the totals of all earlier segments, taken
   from a per-(key, segment) aggregate with one row per segment.
 
-Cost: one partial aggregation for segment statistics, one group-limited
-window for the halo candidates (at most frame-width rows per segment leave a
-map task), and the main window.  The main window's shuffle is shared with the
-join that attaches segment offsets.  Nothing is broadcast and no group is
-ever collected into one place.
+Cost: a group-limited window picks the halo candidates (at most frame-width
+rows per segment leave a map task) and a window over those candidates alone
+assigns them to segments; running frames add one partial aggregation with
+one row per segment.  Then the main window.  Nothing is broadcast and no
+group is ever collected into one place.
 
 Double-valued running sums add the same values in a different grouping, so
 they can differ from the single-partition result in the last bits; integer
@@ -33,8 +33,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_SEG, _HALO, _R, _IDX, _NB, _N = "__pl_seg", "__pl_halo", "__pl_r", "__pl_idx", "__pl_nb", "__pl_n"
-_TIDX, _TNB, _TN, _D = "__pl_tidx", "__pl_tnb", "__pl_tn", "__pl_d"
+_SEG, _HALO, _R, _NB, _N = "__pl_seg", "__pl_halo", "__pl_r", "__pl_nb", "__pl_n"
 
 
 def _col(c) -> Column:
@@ -62,6 +61,39 @@ def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Dat
     return lft.join(rgt, cond, "inner").select(*[F.col(f"__pl_l.{c}") for c in left.columns], *extra)
 
 
+def _lend(base: DataFrame, keys: Sequence[str], order: Sequence, width: int, forward: bool) -> DataFrame:
+    """Halo rows for neighbouring segments, from boundary rows only.
+
+    forward=True: the last ``width`` rows of every segment (``cand``) are lent
+    to the segments after it that need them as preceding rows; forward=False:
+    the first ``width`` rows are lent to the segments before it as following
+    rows.  Within one key, ``cand`` in window order has the property that a
+    row x is needed by segment s exactly when s's first (last) candidate row
+    lies within ``width`` candidate rows after (before) x -- an intermediate
+    segment with ``width`` rows or more blocks both counts alike.  So the
+    targets come from ``lead`` / ``lag`` over the candidate rows: a window on
+    at most ``width`` rows per segment, never on the full data.
+    """
+    w_seg = Window.partitionBy(*keys, _SEG).orderBy(*(_desc(order) if forward else _asc(order)))
+    cand = base.withColumn(_R, F.row_number().over(w_seg)).where(F.col(_R) <= F.lit(width)).drop(_R)
+    w_key = Window.partitionBy(*keys).orderBy(*_asc(order))
+    shift = F.lead if forward else F.lag
+    # a present neighbour is a non-NULL struct even when its segment is NULL
+    tagged = F.struct(F.lit(True).alias("p"), F.col(_SEG).alias("s"))
+    nbs = [f"__pl_nb{j}" for j in range(1, width + 1)]
+    cand = cand.withColumns({c: shift(tagged, j).over(w_key) for j, c in enumerate(nbs, start=1)})
+    prev = tagged
+    targets = []
+    for c in nbs:
+        nb = F.col(c)
+        starts = nb.isNotNull() & ~nb.getField("s").eqNullSafe(prev.getField("s"))
+        targets.append(F.when(starts, nb))
+        prev = nb
+    lent = cand.select("*", F.explode(F.filter(F.array(*targets), lambda t: t.isNotNull())).alias("__pl_t"))
+    return lent.select(*[c for c in base.columns if c != _SEG], F.col("__pl_t.s").alias(_SEG),
+                       F.lit(True).alias(_HALO))
+
+
 def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], aggs: Mapping,
                      segment: Column, seq_col: str | None = None) -> DataFrame:
     """Add the ``aggs`` columns (and an optional 1-based sequence number) as
@@ -81,58 +113,37 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], a
     out_types = {n: df.select(agg_column(a, Window.partitionBy(*keys).orderBy(*_asc(order)))).schema[0].dataType
                  for n, a in aggs.items()}
 
-    # per-segment statistics: size, and running totals for the running frames
-    stat_aggs = [F.count(F.lit(1)).alias(_N)]
-    for i, (n, a) in enumerate(running.items()):
-        target = F.lit(1) if a.col is None else _col(a.col)
-        stat_aggs += [F.sum(target).alias(f"__pl_tot{i}"), F.count(target).alias(f"__pl_cnt{i}")]
-    stats = base.groupBy(*keys, _SEG).agg(*stat_aggs)
-    ws = Window.partitionBy(*keys).orderBy(F.col(_SEG).asc_nulls_last())
-    prev = ws.rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumns({
-        _IDX: F.row_number().over(ws),
-        _NB: F.coalesce(F.sum(_N).over(prev), F.lit(0)),
-        **{f"__pl_ptot{i}": F.sum(f"__pl_tot{i}").over(prev) for i in range(len(running))},
-        **{f"__pl_pcnt{i}": F.coalesce(F.sum(f"__pl_cnt{i}").over(prev), F.lit(0)) for i in range(len(running))},
-    })
-    src = stats.select(*keys, _SEG, _IDX, _NB, _N)
-    tgt = stats.select(*keys, F.col(_IDX).alias(_TIDX), F.col(_SEG).alias("__pl_tseg"),
-                       F.col(_NB).alias(_TNB), F.col(_N).alias(_TN))
-
-    parts = [base.withColumn(_HALO, F.lit(False))]
-
-    def halo(width: int, desc: bool) -> DataFrame:
-        w = Window.partitionBy(*keys, _SEG).orderBy(*(_desc(order) if desc else _asc(order)))
-        cand = base.withColumn(_R, F.row_number().over(w)).where(F.col(_R) <= F.lit(width))
-        cand = _join_null_safe(cand, src, [*keys, _SEG]).withColumn(
-            _D, F.explode(F.sequence(F.lit(1), F.lit(width))))
-        step = F.col(_D) if desc else -F.col(_D)
-        cand = _join_null_safe(cand.withColumn(_TIDX, F.col(_IDX) + step), tgt, [*keys, _TIDX])
-        if desc:   # tail rows of earlier segments, lent to a later segment
-            gap = F.col(_TNB) - F.col(_NB) - F.col(_N)
-        else:      # head rows of later segments, lent to an earlier segment
-            gap = F.col(_NB) - F.col(_TNB) - F.col(_TN)
-        lent = cand.where(gap + F.col(_R) <= F.lit(width))
-        return lent.select(*df.columns, F.col("__pl_tseg").alias(_SEG), F.lit(True).alias(_HALO))
-
+    rows = base.withColumn(_HALO, F.lit(False))
     if before:
-        parts.append(halo(before, desc=True))
+        rows = rows.unionByName(_lend(base, keys, order, before, forward=True))
     if after:
-        parts.append(halo(after, desc=False))
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
+        rows = rows.unionByName(_lend(base, keys, order, after, forward=False))
+
+    if running or seq_col:
+        # per-segment totals, accumulated over the segments of each key
+        stat_aggs = [F.count(F.lit(1)).alias(_N)]
+        for i, a in enumerate(running.values()):
+            target = F.lit(1) if a.col is None else _col(a.col)
+            stat_aggs += [F.sum(target).alias(f"__pl_tot{i}"), F.count(target).alias(f"__pl_cnt{i}")]
+        stats = base.groupBy(*keys, _SEG).agg(*stat_aggs)
+        ws = Window.partitionBy(*keys).orderBy(F.col(_SEG).asc_nulls_last())
+        prev = ws.rowsBetween(Window.unboundedPreceding, -1)
+        offsets = stats.select(
+            *keys, _SEG,
+            F.coalesce(F.sum(_N).over(prev), F.lit(0)).alias(_NB),
+            *[F.sum(f"__pl_tot{i}").over(prev).alias(f"__pl_ptot{i}") for i in range(len(running))],
+            *[F.coalesce(F.sum(f"__pl_cnt{i}").over(prev), F.lit(0)).alias(f"__pl_pcnt{i}")
+              for i in range(len(running))],
+        )
+        rows = _join_null_safe(rows, offsets, [*keys, _SEG])
 
-    offsets = stats.select(*keys, _SEG, _NB, *[c for c in stats.columns if c.startswith(("__pl_ptot", "__pl_pcnt"))])
-    rows = _join_null_safe(rows, offsets, [*keys, _SEG])
     spec = Window.partitionBy(*keys, _SEG).orderBy(*_asc(order))
     own = ~F.col(_HALO)
     cols: dict[str, Column] = {n: agg_column(a, spec) for n, a in bounded.items()}
     for i, (n, a) in enumerate(running.items()):
         frame = spec.rowsBetween(Window.unboundedPreceding, a.frame.end)
         target = F.lit(1) if a.col is None else _col(a.col)
-        local_cnt = F.count(F.when(own, target)).over(frame)
-        cnt = local_cnt + F.col(f"__pl_pcnt{i}")
+        cnt = F.count(F.when(own, target)).over(frame) + F.col(f"__pl_pcnt{i}")
         if a.fn == "count":
             cols[n] = cnt
             continue

@@ -113,3 +113,20 @@ def test_first_n_with_ahead_on_a_hot_key(spark):
     full = sequence_number(ev, ["user_id"], order, "seq", aggs).where("seq <= 8")
     head = first_n_with_ahead(ev, ["user_id"], order, 8, "seq", aggs)
     assert head.count() == 8 and head.exceptAll(full).count() == 0
+
+
+@pytest.mark.parametrize("unit", ["day", "month", "year"])
+def test_segmented_any_segment_size(spark, unit):
+    """Segments smaller than the frame (one row a day) and larger ones alike."""
+    from pitchlens.operators.rolling import cumulative, sequence_number
+
+    od = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select(
+        (F.col("o_custkey") % 3).alias("k"), "o_orderkey", "o_orderdate", "o_totalprice",
+        F.col("o_totalprice").cast("decimal(15,2)").alias("m"))
+    aggs = {"a5": Agg("avg", "o_totalprice", trailing(5)), "a4l": Agg("avg", "o_totalprice", trailing(4, lag=1)),
+            "f5": Agg("avg", "o_totalprice", ahead(5)), "c": Agg("sum", "m", cumulative(lag=1)),
+            "n": Agg("count", None, cumulative())}
+    order = ["o_orderdate", "o_orderkey"]
+    plain = sequence_number(od, ["k"], order, "seq", aggs)
+    split = sequence_number(od, ["k"], order, "seq", aggs, segment=F.date_trunc(unit, "o_orderdate"))
+    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
