@@ -53,8 +53,9 @@ def _num_text(c: Column, div: int) -> Column:
     return (c.cast("double") / F.lit(float(div))).cast("string")
 
 
-def fixtures(t: DriverTables) -> DataFrame:
-    with_n = t.orders.select("o_orderkey", "o_orderdate", "o_totalprice", _team_count(t).alias("n"))
+def fixtures(t: DriverTables, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One fixture per order; ``keep`` carries extra order columns along."""
+    with_n = t.orders.select("o_orderkey", "o_orderdate", "o_totalprice", *keep, _team_count(t).alias("n"))
     n = F.col("n")
     base = with_n.select(
         F.col("o_orderkey").alias("id"),
@@ -62,7 +63,7 @@ def fixtures(t: DriverTables) -> DataFrame:
         F.floor("o_totalprice").alias("p"),
         (_int(F.floor(F.col("o_orderkey") / (n / F.lit(2)))) + F.lit(1)).alias("gw"),
         (F.col("o_orderkey") % _int(n / F.lit(2))).alias("j"),
-        n,
+        n, *keep,
     )
     a = (F.col("j") + F.col("gw")) % F.col("n")
     b = (F.col("n") - F.lit(1) - F.col("j") + F.col("gw")) % F.col("n")
@@ -80,6 +81,7 @@ def fixtures(t: DriverTables) -> DataFrame:
         F.when(played, _int(F.floor(F.col("p") / F.lit(7))) % F.lit(4)).alias("team_a_score"),
         (F.lit(2) + F.col("p") % F.lit(4)).alias("team_h_difficulty"),
         (F.lit(2) + _int(F.floor(F.col("p") / F.lit(11))) % F.lit(4)).alias("team_a_difficulty"),
+        *keep,
     )
 
 
@@ -165,14 +167,17 @@ def players(t: DriverTables) -> DataFrame:
     )
 
 
-def player_gameweeks(t: DriverTables, fixtures_df: DataFrame | None = None) -> DataFrame:
-    """One row per (customer, gameweek) of the customer's orders' line items."""
-    fx = fixtures_df if fixtures_df is not None else fixtures(t)
+def player_gameweeks(t: DriverTables) -> DataFrame:
+    """One row per (customer, gameweek) of the customer's orders' line items.
+
+    The fixture of an order is derived from the order row itself (carrying
+    its customer), so line items join orders once: one shuffle of each side
+    on the order key, then a partial aggregation per (customer, gameweek).
+    """
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
-    od = t.orders.select("o_orderkey", "o_custkey")
-    fx = fx.where(F.col("event").isNotNull()).select(
-        "id", "event", "kickoff_time", "team_a", "team_h_score", "team_a_score")
-    joined = li.join(od, li.l_orderkey == od.o_orderkey).join(fx, fx.id == od.o_orderkey)
+    fx = fixtures(t, keep=("o_custkey",)).where(F.col("event").isNotNull()).select(
+        "id", "o_custkey", "event", "kickoff_time", "team_a", "team_h_score", "team_a_score")
+    joined = li.join(fx, li.l_orderkey == fx.id)
     agg = joined.groupBy(F.col("o_custkey").alias("element"), F.col("event").alias("round")).agg(
         F.min("id").alias("fixture"),
         F.min("kickoff_time").alias("kickoff_time"),
@@ -275,6 +280,6 @@ def league_inputs(spark: SparkSession, sf_dir: str) -> LeagueInputs:
         teams=teams(t),
         team_mapping=team_mapping(t),
         players=players(t),
-        player_gameweeks=player_gameweeks(t, fx),
+        player_gameweeks=player_gameweeks(t),
         pl_matches=pl_matches(t, fx),
     )
