@@ -260,26 +260,38 @@ def pl_matches(t: DriverTables, fixtures_df: DataFrame | None = None) -> DataFra
     )
 
 
-@dataclass
 class LeagueInputs:
-    """The raw league tables the staging models read."""
+    """The raw league tables the staging models read.
+
+    Each table is a DataFrame or a zero-argument function building one; a
+    function runs on first access, so a query builds only the inputs it uses.
+    """
+
+    TABLES = ("fixtures", "teams", "team_mapping", "players", "player_gameweeks", "pl_matches")
 
-    fixtures: DataFrame
-    teams: DataFrame
-    team_mapping: DataFrame
-    players: DataFrame
-    player_gameweeks: DataFrame
-    pl_matches: DataFrame
+    def __init__(self, **tables):
+        unknown = set(tables) - set(self.TABLES)
+        if unknown:
+            raise TypeError(f"unknown input tables {sorted(unknown)}")
+        self._src = tables
+        self._built: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self.TABLES:
+            raise AttributeError(name)
+        if name not in self._built:
+            src = self._src[name]
+            self._built[name] = src() if callable(src) else src
+        return self._built[name]
 
 
 def league_inputs(spark: SparkSession, sf_dir: str) -> LeagueInputs:
     t = DriverTables(spark, sf_dir)
-    fx = fixtures(t)
     return LeagueInputs(
-        fixtures=fx,
-        teams=teams(t),
-        team_mapping=team_mapping(t),
-        players=players(t),
-        player_gameweeks=player_gameweeks(t),
-        pl_matches=pl_matches(t, fx),
+        fixtures=lambda: fixtures(t),
+        teams=lambda: teams(t),
+        team_mapping=lambda: team_mapping(t),
+        players=lambda: players(t),
+        player_gameweeks=lambda: player_gameweeks(t),
+        pl_matches=lambda: pl_matches(t),
     )
