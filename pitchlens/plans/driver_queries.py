@@ -23,7 +23,7 @@ from pitchlens.operators.rolling import (
     sequence_number,
     trailing,
 )
-from pitchlens.plans.league_views import DriverTables
+from pitchlens.plans.league_views import driver_tables
 from pitchlens.sources import landing as L
 from pitchlens.sources.tables import check_grain
 
@@ -47,7 +47,7 @@ def event_segment():
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return DriverTables(spark, sf_dir).orders.select(
+    return driver_tables(spark, sf_dir).orders.select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
 
 
@@ -64,7 +64,7 @@ def _money_sum(df: DataFrame, aggs: dict[str, Agg]) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return DriverTables(spark, sf_dir).events.select("event_id", "user_id", "ts", "event_type", "value")
+    return driver_tables(spark, sf_dir).events.select("event_id", "user_id", "ts", "event_type", "value")
 
 
 def rolling_mean(spark, sf_dir):
@@ -169,21 +169,21 @@ def latest_non_null(spark, sf_dir):
 
 def first_by_tiebreak_q(spark, sf_dir):
     """D3: first order per (customer, status) by priority, then order key."""
-    od = DriverTables(spark, sf_dir).orders.select(
+    od = driver_tables(spark, sf_dir).orders.select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
     return first_by_tiebreak(od, ["o_custkey", "o_orderstatus"], ["o_orderpriority", "o_orderkey"])
 
 
 def next_event(spark, sf_dir):
     """Each customer's first open order (status 'O') by date, then key."""
-    od = DriverTables(spark, sf_dir).orders.select(
+    od = driver_tables(spark, sf_dir).orders.select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice")
     return next_per_key(od, ORDER_KEYS, ORDER_ORDER, where=F.col("o_orderstatus") == F.lit("O"))
 
 
 def json_fields(spark, sf_dir):
     """P8 + P9: a JSON path as text and as INT."""
-    ev = DriverTables(spark, sf_dir).events.select("event_id", "props")
+    ev = driver_tables(spark, sf_dir).events.select("event_id", "props")
     return ev.select("event_id", C.json_text("props", "$.k").alias("k_text"),
                      C.json_int("props", "$.k").alias("k"))
 
@@ -211,7 +211,7 @@ DOC_RECORDS = 64
 def customer_payloads(spark, sf_dir) -> DataFrame:
     """Landed-shape fixture: JSON documents ``{"elements": [customer, ...]}``,
     ``DOC_RECORDS`` customers each, built by Spark from the customer table."""
-    cu = DriverTables(spark, sf_dir).customer.select(*CUSTOMER_COLUMNS)
+    cu = driver_tables(spark, sf_dir).customer.select(*CUSTOMER_COLUMNS)
     bucket = F.floor(F.col("c_custkey") / F.lit(DOC_RECORDS)).alias("doc_id")
     return (cu.groupBy(bucket)
               .agg(F.to_json(F.struct(F.collect_list(F.struct(*CUSTOMER_COLUMNS)).alias("elements")))
@@ -226,7 +226,7 @@ def flatten_payload(spark, sf_dir):
 def order_histories(spark, sf_dir) -> DataFrame:
     """Per-customer documents ``{"history": [order, ...]}`` (a hot customer's
     history is split over several documents of at most DOC_RECORDS orders)."""
-    od = DriverTables(spark, sf_dir).orders.select(*ORDER_SCHEMA.fieldNames())
+    od = driver_tables(spark, sf_dir).orders.select(*ORDER_SCHEMA.fieldNames())
     part = F.floor(F.col("o_orderkey") / F.lit(DOC_RECORDS))
     return (od.groupBy(F.col("o_custkey").alias("customer_id"), part.alias("part"))
               .agg(F.to_json(F.struct(F.collect_list(F.struct(*ORDER_SCHEMA.fieldNames())).alias("history")))
@@ -235,7 +235,7 @@ def order_histories(spark, sf_dir) -> DataFrame:
 
 def flatten_history_q(spark, sf_dir):
     """S3: histories of active customers (positive balance, missing -> 0) only."""
-    cu = DriverTables(spark, sf_dir).customer
+    cu = driver_tables(spark, sf_dir).customer
     active = F.coalesce(F.col("c_acctbal"), F.lit(0.0)) > F.lit(0.0)
     return L.flatten_history(order_histories(spark, sf_dir), cu, active, "c_custkey", "customer_id",
                              elem_schema=ORDER_SCHEMA)
@@ -249,7 +249,7 @@ STANDINGS_SCHEMA = T.StructType([
 
 def standing_payloads(spark, sf_dir) -> DataFrame:
     """Two-level documents ``{"standings": [{"type": segment, "table": [...]}]}``."""
-    cu = DriverTables(spark, sf_dir).customer.select(*CUSTOMER_COLUMNS)
+    cu = driver_tables(spark, sf_dir).customer.select(*CUSTOMER_COLUMNS)
     bucket = F.floor(F.col("c_custkey") / F.lit(DOC_RECORDS))
     inner = (cu.groupBy(bucket.alias("doc_id"), F.col("c_mktsegment").alias("type"))
                .agg(F.collect_list(F.struct(*CUSTOMER_COLUMNS)).alias("table")))
@@ -266,10 +266,10 @@ def flatten_carry_q(spark, sf_dir):
 
 def grain_violations(spark, sf_dir):
     """S9 on a key that is not unique in the driver data."""
-    li = DriverTables(spark, sf_dir).lineitem
+    li = driver_tables(spark, sf_dir).lineitem
     return check_grain(li, ["l_orderkey", "l_linenumber"])
 
 
 def grain_ok(spark, sf_dir):
     """S9 on a unique key: no rows."""
-    return check_grain(DriverTables(spark, sf_dir).orders, ["o_orderkey"])
+    return check_grain(driver_tables(spark, sf_dir).orders, ["o_orderkey"])

@@ -285,8 +285,22 @@ class LeagueInputs:
         return self._built[name]
 
 
+_TABLES: dict[tuple[int, str], DriverTables] = {}
+
+
+def driver_tables(spark: SparkSession, sf_dir: str) -> DriverTables:
+    """One reader set per (session, folder): files are listed and their
+    footers read once per session, not once per query (only the plan objects
+    are shared; no data is cached)."""
+    key = (id(spark), sf_dir)
+    cached = _TABLES.get(key)
+    if cached is None or cached.spark is not spark:
+        cached = _TABLES[key] = DriverTables(spark, sf_dir)
+    return cached
+
+
 def league_inputs(spark: SparkSession, sf_dir: str) -> LeagueInputs:
-    t = DriverTables(spark, sf_dir)
+    t = driver_tables(spark, sf_dir)
     return LeagueInputs(
         fixtures=lambda: fixtures(t),
         teams=lambda: teams(t),
