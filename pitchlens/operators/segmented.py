@@ -33,6 +33,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitchlens.session import checkpoint_root
+
 _SEG, _HALO, _R, _NB, _N = "__pl_seg", "__pl_halo", "__pl_r", "__pl_nb", "__pl_n"
 
 
@@ -95,9 +97,15 @@ def _lend(base: DataFrame, keys: Sequence[str], order: Sequence, width: int, for
 
 
 def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], aggs: Mapping,
-                     segment: Column, seq_col: str | None = None) -> DataFrame:
+                     segment: Column, seq_col: str | None = None, materialize: bool = False) -> DataFrame:
     """Add the ``aggs`` columns (and an optional 1-based sequence number) as
-    ``rolling`` would, computing them per (keys, segment)."""
+    ``rolling`` would, computing them per (keys, segment).
+
+    ``materialize``: the input is read by up to three passes (rows, boundary
+    rows, segment totals); when it is an expensive plan (joins, shuffles),
+    write it once to the shared checkpoint folder (``DataFrame.checkpoint``:
+    reliable storage, lineage cut) and let the passes read that instead of
+    recomputing it."""
     from pitchlens.operators.rolling import agg_column  # local: avoid import cycle
 
     keys = list(keys)
@@ -110,6 +118,9 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], a
     after = max([a.frame.end for a in bounded.values() if a.frame.end > 0], default=0)
 
     base = df.withColumn(_SEG, segment)
+    if materialize:
+        checkpoint_root(df.sparkSession)
+        base = base.checkpoint(eager=True)
     out_types = {n: df.select(agg_column(a, Window.partitionBy(*keys).orderBy(*_asc(order)))).schema[0].dataType
                  for n, a in aggs.items()}
 

@@ -47,9 +47,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and materialised models.
 
     A cluster names it in ``spark.checkpoint.dir``; that value is always used.
-    Only when neither the setting nor a context checkpoint folder exists
-    (local runs, tests) a private folder is created and registered with the
-    context, so that every later caller sees the same one.
+    Only in local mode, when neither the setting nor a context checkpoint
+    folder exists (local runs, tests), a private folder is created and
+    registered with the context, so that every later caller sees the same
+    one.  On a cluster without the setting this is an error.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if root:
@@ -57,6 +58,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return os.path.dirname(existing.rstrip("/"))
+    if not spark.sparkContext.master.startswith("local"):
+        # a machine-local folder would not survive the loss of an executor
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder on a cluster")
     root = tempfile.mkdtemp(prefix="pitchlens-ckpt-")
     spark.sparkContext.setCheckpointDir(root)
     return root
