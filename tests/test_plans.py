@@ -1,0 +1,71 @@
+"""Physical-plan properties that matter at scale."""
+
+import contextlib
+import io
+import re
+
+import pytest
+
+import __spark_entry__ as E
+from tests.conftest import SF_SMALL
+
+
+def _plan(spark, name):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        E.queries()[name](spark, SF_SMALL).explain("formatted")
+    return buf.getvalue()
+
+
+def _tree(text):
+    lines = text.splitlines()
+    start = next(i for i, ln in enumerate(lines) if ln.startswith("== Physical Plan =="))
+    out = []
+    for ln in lines[start + 1:]:
+        if not ln.strip():
+            break
+        out.append(ln)
+    return "\n".join(out)
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_no_cross_join_no_python(spark, name):
+    text = _plan(spark, name)
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+                "FlatMapGroupsInPandas", "MapInPandas"):
+        assert bad not in text, f"{name}: {bad}"
+
+
+def test_team_performance_one_shuffle(spark):
+    tree = _tree(_plan(spark, "team_performance"))
+    assert len(re.findall(r"\bExchange \(", tree)) == 1
+    assert len(re.findall(r"\bWindow \(", tree)) == 2
+
+
+def test_next_n_limits_before_the_shuffle(spark):
+    tree = _tree(_plan(spark, "next_n_per_key"))
+    lines = [ln for ln in tree.splitlines() if re.search(r"WindowGroupLimit|Exchange", ln)]
+    kinds = ["limit" if "WindowGroupLimit" in ln else "exchange" for ln in lines]
+    # printed top-down: final limit, exchange, partial limit
+    assert kinds == ["limit", "exchange", "limit"]
+
+
+def test_latest_per_key_limits_before_the_shuffle(spark):
+    tree = _tree(_plan(spark, "latest_per_key"))
+    assert len(re.findall(r"WindowGroupLimit", tree)) == 2
+
+
+def test_scans_are_pruned(spark):
+    text = _plan(spark, "stg_players")
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    main = [s for s in schemas if "c_custkey" in s]
+    assert main and all(len(s.split(",")) <= 3 for s in main)
+    fx = _plan(spark, "team_performance")
+    assert "o_orderpriority" not in fx and "o_orderstatus" not in fx
+
+
+def test_no_broadcast_hints_in_library():
+    import pathlib
+    root = pathlib.Path(__file__).resolve().parents[1] / "pitchlens"
+    for path in root.rglob("*.py"):
+        assert "F.broadcast(" not in path.read_text(), path
