@@ -8,11 +8,7 @@ from pyspark.sql import functions as F
 from pitchlens.functions import columns as C
 from pitchlens.functions import score as S
 from pitchlens.operators.latest import first_rows
-from pitchlens.plans.intermediate import (
-    MATCH_ORDER,
-    latest_team_stats,
-    team_match_rows,
-)
+from pitchlens.plans.intermediate import latest_team_stats, team_match_rows
 
 # Eligibility of a live pick and the ticker horizon.
 MIN_CHANCE_OF_PLAYING = 50
