@@ -1,6 +1,6 @@
 """League input tables derived from the driver's TPC-H-like tables.
 
-The league models read raw FPL / match-feed tables.  The driver data has none,
+The league models read raw fantasy-feed / match-feed tables.  The driver data has none,
 so these functions derive tables of the same shape from ``orders``,
 ``customer``, ``supplier`` and ``lineitem`` (teams = suppliers, players =
 customers, fixtures = orders, appearances = line items of a player's orders).
