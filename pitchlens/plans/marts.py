@@ -149,11 +149,13 @@ def backtest_picks(player_rolling_lagged: DataFrame, stg_fixtures: DataFrame, te
     else:
         cond = (F.col("pr.team_id") == F.col("fc.team_id")) & (F.col("pr.gameweek") == F.col("fc.gameweek"))
         team_col = F.col("pr.team_id")
+    # own-team lookup first: it joins on the keys of the first join, so a
+    # sort-merge plan reuses that partitioning; the opponent lookup shuffles once
     j = (pr.join(fc, cond, "inner")
-           .join(opp, (F.col("fc.opponent_id") == F.col("opp.team_id"))
-                 & (F.col("fc.gameweek") == F.col("opp.gameweek")), "left")
            .join(own, (team_col == F.col("own.team_id"))
-                 & (F.col("pr.gameweek") == F.col("own.gameweek")), "left"))
+                 & (F.col("pr.gameweek") == F.col("own.gameweek")), "left")
+           .join(opp, (F.col("fc.opponent_id") == F.col("opp.team_id"))
+                 & (F.col("fc.gameweek") == F.col("opp.gameweek")), "left"))
     venue = F.col("fc.venue")
     x = S.ScoreInputs(
         position=F.col("pr.position"),
