@@ -7,7 +7,7 @@ import time
 from pyspark.sql import types as T
 
 from pitchlens.plans.league_views import league_inputs
-from pitchlens.plans.pipeline import build, top_picks
+from pitchlens.plans.build import build, top_picks
 from pitchlens.streaming.refresh import start_refresh
 from tests.conftest import SF_SMALL
 
