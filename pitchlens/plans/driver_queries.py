@@ -188,6 +188,18 @@ def json_fields(spark, sf_dir):
                      C.json_int("props", "$.k").alias("k"))
 
 
+def landed_columns(spark, sf_dir):
+    """S7 + S5: feed-shaped rows (camelCase names, a nested object) landed as
+    snake_case columns with the nested object kept as JSON text."""
+    ev = driver_tables(spark, sf_dir).events
+    feed = ev.select(
+        F.col("event_id").alias("eventId"),
+        F.struct(F.col("user_id").alias("userId"), F.col("event_type").alias("eventType")).alias("eventInfo"),
+        F.col("ts").alias("createdAt"),
+    )
+    return L.nested_as_json(L.normalize_columns(feed), depth=0)
+
+
 CUSTOMER_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 CUSTOMER_SCHEMA = T.StructType([
     T.StructField("c_custkey", T.LongType()),
