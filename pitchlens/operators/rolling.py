@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from pitchlens.operators.segmented import segmented_window
+from pitchlens.operators.segmented import hot_key_window, segmented_window
 
 ColumnOrName = Column | str
 
@@ -90,16 +90,20 @@ def agg_column(agg: Agg, spec: WindowSpec) -> Column:
 
 
 def rolling(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[ColumnOrName],
-            aggs: Mapping[str, Agg], segment: Column | None = None) -> DataFrame:
+            aggs: Mapping[str, Agg], segment: Column | None = None, hot_only: bool = False) -> DataFrame:
     """Add one column per ``Agg``; all share ``keys`` and ``order``.
 
     ``order`` must be a total order within a key (add tie-break columns), or
     the rows a frame sees are not deterministic.  ``segment`` (a column
     monotone in ``order``, e.g. a season or a month) splits every key into
     independent window partitions with exact results (``segmented.py``): use
-    it when one key may hold a large share of all rows.
+    it when one key may hold a large share of all rows.  ``hot_only=True``
+    splits only the keys that are measured to be hot and windows the others
+    per key as usual (``segmented.hot_key_window``).
     """
     if segment is not None:
+        if hot_only:
+            return hot_key_window(df, keys, order, aggs, segment)
         return segmented_window(df, keys, order, aggs, segment)
     spec = window(keys, order)
     return df.withColumns({name: agg_column(agg, spec) for name, agg in aggs.items()})
@@ -107,7 +111,8 @@ def rolling(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[ColumnO
 
 def rolling_by_subgroup(df: DataFrame, keys: Sequence[ColumnOrName], sub_col: str,
                         order: Sequence[ColumnOrName],
-                        aggs: Mapping[str, tuple[str, Agg]], segment: Column | None = None) -> DataFrame:
+                        aggs: Mapping[str, tuple[str, Agg]], segment: Column | None = None,
+                        hot_only: bool = False) -> DataFrame:
     """Windows over the rows of one subgroup, attached only to its rows.
 
     ``aggs`` is ``{out: (sub_value, Agg)}``: ``out`` is computed over the rows of
@@ -116,7 +121,8 @@ def rolling_by_subgroup(df: DataFrame, keys: Sequence[ColumnOrName], sub_col: st
     done as one window over ``keys + [sub_col]`` (no self-join, no extra scan).
     """
     if segment is not None:
-        out = segmented_window(df, [*keys, sub_col], order, {n: a for n, (_, a) in aggs.items()}, segment)
+        split = hot_key_window if hot_only else segmented_window
+        out = split(df, [*keys, sub_col], order, {n: a for n, (_, a) in aggs.items()}, segment)
         return out.withColumns({
             name: F.when(F.col(sub_col) == F.lit(value), F.col(name)) for name, (value, _) in aggs.items()
         })
@@ -129,12 +135,13 @@ def rolling_by_subgroup(df: DataFrame, keys: Sequence[ColumnOrName], sub_col: st
 
 def sequence_number(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[ColumnOrName],
                     out: str = "seq", aggs: Mapping[str, Agg] | None = None,
-                    segment: Column | None = None) -> DataFrame:
+                    segment: Column | None = None, hot_only: bool = False) -> DataFrame:
     """1, 2, 3 ... per key in order, as BIGINT, plus optional window
     aggregates over the same order (one window, one sort)."""
     aggs = dict(aggs or {})
     if segment is not None:
-        return segmented_window(df, keys, order, aggs, segment, seq_col=out)
+        split = hot_key_window if hot_only else segmented_window
+        return split(df, keys, order, aggs, segment, seq_col=out)
     spec = window(keys, order)
     return df.withColumns({out: F.row_number().over(spec).cast("bigint"),
                            **{n: agg_column(a, spec) for n, a in aggs.items()}})

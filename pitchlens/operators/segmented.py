@@ -169,3 +169,47 @@ def segmented_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], a
     out = rows.withColumns({n: c.cast(out_types[n]) if n in out_types else c for n, c in cols.items()})
     names = ([seq_col] if seq_col else []) + list(aggs)
     return out.where(own).select(*df.columns, *names)
+
+
+def hot_key_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], aggs: Mapping,
+                   segment: Column, seq_col: str | None = None, max_hot_keys: int = 1000,
+                   min_hot_rows: int = 1_000_000) -> DataFrame:
+    """Split only the hot keys; all other keys take the plain one-partition window.
+
+    A key is hot when it holds at least ``max(min_hot_rows, rows / max_hot_keys)``
+    rows, so there are at most ``max_hot_keys`` hot keys whatever the data:
+    that set is broadcast (its size bound is proven by construction) to flag
+    rows map-side.  The rows of non-hot keys are windowed per key as usual (one
+    shuffle); the hot keys' rows go through ``segmented_window``.  Every key is
+    handled whole by one branch, so the union is exact.
+    """
+    from pitchlens.operators.rolling import agg_column  # local: avoid import cycle
+
+    keys = list(keys)
+    total = df.select(F.count(F.lit(1))).scalar()
+    threshold = F.greatest(F.lit(min_hot_rows), F.ceil(total / F.lit(max_hot_keys)))
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__pl_rows"))
+             .where(F.col("__pl_rows") >= threshold)
+             .select(*keys, F.lit(True).alias("__pl_hot")))
+    flagged = df.alias("__pl_d").join(
+        F.broadcast(hot).alias("__pl_h"),
+        _null_safe_cond("__pl_d", "__pl_h", keys), "left",
+    ).select(*[F.col(f"__pl_d.{c}") for c in df.columns], F.col("__pl_h.__pl_hot"))
+    cold = flagged.where(F.col("__pl_hot").isNull()).drop("__pl_hot")
+    warm = flagged.where(F.col("__pl_hot")).drop("__pl_hot")
+    spec = Window.partitionBy(*keys).orderBy(*_asc(order))
+    plain_cols = {n: agg_column(a, spec) for n, a in aggs.items()}
+    if seq_col:
+        plain_cols = {seq_col: F.row_number().over(spec).cast("bigint"), **plain_cols}
+    names = ([seq_col] if seq_col else []) + list(aggs)
+    plain = cold.withColumns(plain_cols).select(*df.columns, *names)
+    split = segmented_window(warm, keys, order, aggs, segment, seq_col=seq_col).select(*df.columns, *names)
+    return plain.unionByName(split)
+
+
+def _null_safe_cond(left: str, right: str, on: Sequence[str]) -> Column:
+    cond = None
+    for c in on:
+        e = F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+        cond = e if cond is None else cond & e
+    return cond

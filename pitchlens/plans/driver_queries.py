@@ -36,8 +36,9 @@ EVENTS_UPCOMING_FROM = "2024-01-15 00:00:00"
 NEXT_N = 8
 
 
-# Window segments (monotone in the order): a customer's orders split per year,
-# a user's events per day, so no single key becomes a single task.
+# Window segments (monotone in the order): a hot customer's orders are split
+# per year, a hot user's events per day, so no single key becomes a single
+# task; keys that are not hot keep one window partition each.
 def order_segment():
     return F.year("o_orderdate")
 
@@ -59,7 +60,7 @@ MONEY_TOTAL = "decimal(18,2)"
 
 def _money_sum(df: DataFrame, aggs: dict[str, Agg]) -> DataFrame:
     df = df.withColumn("_money", F.col("o_totalprice").cast(MONEY))
-    out = rolling(df, ORDER_KEYS, ORDER_ORDER, aggs, segment=order_segment())
+    out = rolling(df, ORDER_KEYS, ORDER_ORDER, aggs, segment=order_segment(), hot_only=True)
     return out.withColumns({n: F.col(n).cast(MONEY_TOTAL) for n in aggs}).drop("_money")
 
 
@@ -70,14 +71,14 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rolling_mean(spark, sf_dir):
     """Mean order value over the customer's last 3 orders."""
     return rolling(_orders(spark, sf_dir), ORDER_KEYS, ORDER_ORDER,
-                   {"avg_price_3": Agg("avg", "o_totalprice", trailing(3))}, segment=order_segment())
+                   {"avg_price_3": Agg("avg", "o_totalprice", trailing(3))}, segment=order_segment(), hot_only=True)
 
 
 def rolling_mean_lagged(spark, sf_dir):
     """Same, over the 3 orders before the current one."""
     return rolling(_orders(spark, sf_dir), ORDER_KEYS, ORDER_ORDER,
                    {"avg_price_prev_3": Agg("avg", "o_totalprice", trailing(3, lag=1))},
-                   segment=order_segment())
+                   segment=order_segment(), hot_only=True)
 
 
 def rolling_sum(spark, sf_dir):
@@ -103,7 +104,7 @@ def cumulative_count(spark, sf_dir):
     return rolling(_orders(spark, sf_dir), ORDER_KEYS, ORDER_ORDER, {
         "orders_so_far": Agg("count", None, cumulative()),
         "orders_before": Agg("count", None, cumulative(lag=1)),
-    }, segment=order_segment())
+    }, segment=order_segment(), hot_only=True)
 
 
 def rolling_rate(spark, sf_dir):
@@ -112,7 +113,7 @@ def rolling_rate(spark, sf_dir):
     return rolling(ev, EVENT_KEYS, EVENT_ORDER, {
         "error_rate_5": Agg("avg", "is_error", trailing(5)),
         "error_rate_prev_5": Agg("avg", "is_error", trailing(5, lag=1)),
-    }, segment=event_segment()).drop("is_error")
+    }, segment=event_segment(), hot_only=True).drop("is_error")
 
 
 def rolling_by_subgroup_q(spark, sf_dir):
@@ -123,14 +124,14 @@ def rolling_by_subgroup_q(spark, sf_dir):
         "purchase_value_prev_3": ("purchase", Agg("avg", "value", trailing(3, lag=1))),
         "view_value_3": ("view", Agg("avg", "value", trailing(3))),
         "view_value_prev_3": ("view", Agg("avg", "value", trailing(3, lag=1))),
-    }, segment=event_segment())
+    }, segment=event_segment(), hot_only=True)
 
 
 def _with_lookahead(ev: DataFrame) -> DataFrame:
     return sequence_number(ev, EVENT_KEYS, EVENT_ORDER, "seq", {
         "next_value_3": Agg("avg", "value", ahead(3)),
         "next_value_5": Agg("avg", "value", ahead(5)),
-    }, segment=event_segment())
+    }, segment=event_segment(), hot_only=True)
 
 
 def lookahead_mean(spark, sf_dir):

@@ -130,3 +130,23 @@ def test_segmented_any_segment_size(spark, unit):
     plain = sequence_number(od, ["k"], order, "seq", aggs)
     split = sequence_number(od, ["k"], order, "seq", aggs, segment=F.date_trunc(unit, "o_orderdate"))
     assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+
+
+@pytest.mark.parametrize("min_hot_rows", [5, 10**9])
+def test_hot_key_split_equals_plain(spark, min_hot_rows):
+    """Hot keys split, others plain: same result whichever keys are hot."""
+    from pitchlens.operators.rolling import cumulative, sequence_number
+    from pitchlens.operators.segmented import hot_key_window
+
+    od = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select(
+        F.when(F.col("o_custkey") % 5 == 0, F.lit(None)).otherwise(F.col("o_custkey") % 4).alias("k"),
+        "o_orderkey", "o_orderdate", "o_totalprice",
+        F.col("o_totalprice").cast("decimal(15,2)").alias("m"))
+    aggs = {"a5": Agg("avg", "o_totalprice", trailing(5)), "f3": Agg("avg", "o_totalprice", ahead(3)),
+            "c": Agg("sum", "m", cumulative(lag=1)), "n": Agg("count", None, cumulative())}
+    order = ["o_orderdate", "o_orderkey"]
+    plain = sequence_number(od, ["k"], order, "seq", aggs)
+    split = hot_key_window(od, ["k"], order, aggs, F.date_trunc("month", "o_orderdate"), seq_col="seq",
+                           max_hot_keys=3, min_hot_rows=min_hot_rows)
+    assert plain.count() == split.count()
+    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
