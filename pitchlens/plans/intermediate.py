@@ -72,7 +72,8 @@ TEAM_OUTPUT = [
 ]
 
 
-def team_performance(stg_fixtures: DataFrame, lag: int = 0, segment: Column | None = None) -> DataFrame:
+def team_performance(stg_fixtures: DataFrame, lag: int = 0, segment: Column | None = None,
+                     hot_only: bool = False) -> DataFrame:
     """M6 (lag 0) / M7 (lag 1): rolling team form from finished fixtures.
 
     Blended columns use the last 5 matches and the season so far; venue
@@ -92,13 +93,13 @@ def team_performance(stg_fixtures: DataFrame, lag: int = 0, segment: Column | No
         "season_points": Agg("sum", "match_points", season),
         "season_goals_for": Agg("sum", "goals_for", season),
         "season_goals_against": Agg("sum", "goals_against", season),
-    }, segment=segment)
+    }, segment=segment, hot_only=hot_only)
     rows = rolling_by_subgroup(rows, TEAM_KEYS, "venue", MATCH_ORDER, {
         f"{venue}_{name}": (venue, Agg("avg", src, three))
         for venue in ("home", "away")
         for name, src in (("attack_3gw", "goals_for"), ("defense_3gw", "goals_against"),
                           ("cs_rate_3gw", "_clean"))
-    }, segment=segment)
+    }, segment=segment, hot_only=hot_only)
     return rows.select(*TEAM_OUTPUT)
 
 
@@ -107,7 +108,7 @@ PLAYER_CONTEXT = ["player_id", "player_name", "position", "team_id", "gameweek",
 
 
 def player_rolling(stg_player_gameweeks: DataFrame, stg_players: DataFrame, lag: int = 0,
-                   segment: Column | None = None) -> DataFrame:
+                   segment: Column | None = None, hot_only: bool = False) -> DataFrame:
     """M8 (lag 0) / M9 (lag 1): rolling player form per appearance.
 
     The inner join keeps appearances of players in the current snapshot and
@@ -135,7 +136,7 @@ def player_rolling(stg_player_gameweeks: DataFrame, stg_players: DataFrame, lag:
         f"season_points{suffix}": Agg("sum", "total_points", season),
         f"games_played{suffix}": Agg("count", None, season),
     }
-    rows = rolling(rows, PLAYER_KEYS, MATCH_ORDER, aggs, segment=segment)
+    rows = rolling(rows, PLAYER_KEYS, MATCH_ORDER, aggs, segment=segment, hot_only=hot_only)
     return rows.select(*PLAYER_CONTEXT, *aggs, "fixture_id", "kickoff_time")
 
 
@@ -169,7 +170,7 @@ FIXTURE_DIFFICULTY_OUTPUT = [
 
 def fixture_difficulty(stg_fixtures: DataFrame, team_perf: DataFrame, stg_teams: DataFrame,
                        team_stats: DataFrame | None = None, segment: Column | None = None,
-                       horizon: int | None = None) -> DataFrame:
+                       horizon: int | None = None, hot_only: bool = False) -> DataFrame:
     """Each team's upcoming fixtures with opponent context.
 
     Sequence number and look-ahead means share one window (same keys, same
@@ -188,7 +189,7 @@ def fixture_difficulty(stg_fixtures: DataFrame, team_perf: DataFrame, stg_teams:
         upcoming = first_n_with_ahead(upcoming, TEAM_KEYS, MATCH_ORDER, horizon, "fixture_order", ahead_means)
     else:
         upcoming = sequence_number(upcoming, TEAM_KEYS, MATCH_ORDER, "fixture_order", ahead_means,
-                                   segment=segment)
+                                   segment=segment, hot_only=hot_only)
     stats = team_stats if team_stats is not None else latest_team_stats(team_perf)
     u, o, t = upcoming.alias("u"), stats.alias("o"), stg_teams.alias("t")
     home = F.col("u.venue") == F.lit("home")
