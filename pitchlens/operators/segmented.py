@@ -186,11 +186,11 @@ def hot_key_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], agg
     from pitchlens.operators.rolling import agg_column  # local: avoid import cycle
 
     keys = list(keys)
-    total = df.select(F.count(F.lit(1))).scalar()
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__pl_rows"))
+    # the total comes from the per-key counts (a small table), not a second pass
+    total = counts.select(F.sum("__pl_rows")).scalar()
     threshold = F.greatest(F.lit(min_hot_rows), F.ceil(total / F.lit(max_hot_keys)))
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__pl_rows"))
-             .where(F.col("__pl_rows") >= threshold)
-             .select(*keys, F.lit(True).alias("__pl_hot")))
+    hot = counts.where(F.col("__pl_rows") >= threshold).select(*keys, F.lit(True).alias("__pl_hot"))
     flagged = df.alias("__pl_d").join(
         F.broadcast(hot).alias("__pl_h"),
         _null_safe_cond("__pl_d", "__pl_h", keys), "left",
