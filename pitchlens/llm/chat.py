@@ -38,20 +38,19 @@ from pyspark.sql import functions as F
 
 from pitchlens.llm.common import map_batches
 
-#: control strings of the template, without their last character (fixed values)
-_CONTROL = r"(<s|</s|\[INST|\[/INST|<\|[^|<>\n]*\|)"
-_PLAIN = re.compile(_CONTROL + r"(\\*)([>\]])")
-_ESCAPED = re.compile(_CONTROL + r"(\\*)\\([>\]])")
-_BARE = re.compile(_CONTROL + r"[>\]]")
+#: control strings of the template: as they are, and with backslashes before the last character
+_BARE = re.compile(r"</?s>|\[/?INST\]|<\|")
+_PLAIN = re.compile(r"(</?s(?=\\*>)|\[/?INST(?=\\*\])|<(?=\\*\|))(\\*)")
+_ESCAPED = re.compile(r"(</?s(?=\\+>)|\[/?INST(?=\\+\])|<(?=\\+\|))\\")
 _TURN = re.compile(r"\[INST\] (?P<user>.*?) \[/INST\]| (?P<assistant>.*?) </s>|<\|(?P<role>[^|<>\n]*)\|>(?P<other>.*?)<\|end\|>", re.S)
 
 
 def escape(text: str) -> str:
-    return _PLAIN.sub(r"\1\2\\\3", text)
+    return _PLAIN.sub(r"\1\2\\", text)
 
 
 def unescape(text: str) -> str:
-    return _ESCAPED.sub(r"\1\2\3", text)
+    return _ESCAPED.sub(r"\1", text)
 
 
 def _role_name(role: str) -> str:

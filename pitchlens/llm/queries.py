@@ -89,7 +89,7 @@ WITH turns AS (
 sized AS (
     SELECT *,
         -- a backslash for each control string, plain or escaped before
-        length(text) + len(regexp_extract_all(text, '(<s|</s|\[INST|\[/INST|<\|[^|<>\n]*\|)\\*[>\]]'))
+        length(text) + len(regexp_extract_all(text, '</?s\\*>|\[/?INST\\*\]|<\\*\|'))
         + CASE role WHEN 'user' THEN length('[INST]  [/INST]') WHEN 'assistant' THEN length('  </s>')
           ELSE length(role) + length('<||><|end|>') END AS formatted
     FROM turns
