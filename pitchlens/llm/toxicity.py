@@ -1,10 +1,11 @@
 """Toxic passages by maximum-scoring segments over token log-odds.
 
-1. Tokens of labelled documents are counted by class over all labelled rows of
-   the training part.  A token's score is its log-odds between the classes with
-   a Dirichlet prior in proportion to its overall frequency (total mass
-   ``PRIOR``).
-   A token enters the lexicon if the log-odds under a strong prior
+1. Tokens of labelled documents, and their beginnings of ``STEMS`` characters as
+   stems, are counted by class over all labelled rows of the training part.  A
+   term's score is its log-odds between the classes with a Dirichlet prior in
+   proportion to its overall frequency (total mass ``PRIOR``).  A token takes
+   its own score, else that of its longest stem in the lexicon.
+   A term enters the lexicon if its score is ``LEAST_SCORE``, the log-odds under a strong prior
    (``STRONG`` times its count) is ``LEAST_Z`` deviations above 0 and it occurs in
    at least ``LEAST_CONTEXTS`` different contexts (the token before it) of toxic
    documents: copies of one toxic text bring its words often, but always in the
@@ -14,8 +15,11 @@
 3. Scores are calibrated by extreme values: the best segment of n random tokens
    is Gumbel distributed, P(S >= s) = 1 - exp(-K n exp(-lambda s)); lambda
    solves sum p exp(lambda score) = 1 over the non-toxic tokens, K is fitted to the
-   non-toxic documents.  The document's score is a logistic function of
-   lambda s - ln(K n), fitted on a bounded sample of training documents.
+   non-toxic documents.  A document's r best segments have the sum statistic
+   T = sum of (lambda s - ln(K n)), whose chance is about
+   exp(-T) T^(r-1) / (r! (r-1)!); the evidence is the largest -ln of that over r,
+   less r ln 2 for the choice.  The score is a logistic function of the evidence
+   and of the text's length, fitted on a bounded sample of training documents.
 
 Inputs of a score are the text alone.  The lexicon's size is bounded by
 ``MAX_TERMS`` (strongest first), a model parameter.
@@ -32,6 +36,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +47,8 @@ from pitchlens.llm.common import map_batches, stored
 
 TOKEN = re.compile(r"\w+")
 PRIOR, STRONG = 100.0, 0.1
-LEAST_Z, LEAST_CONTEXTS, MAX_TERMS = 3.0, 8, 20_000
+LEAST_SCORE, LEAST_Z, LEAST_CONTEXTS, MAX_TERMS = 1.0, 3.0, 8, 20_000
+STEMS = (4, 5, 6, 7, 8)
 OTHER = -0.25
 LEAST_SEGMENT = 3.0
 MAX_CALIBRATION = 20_000  # training documents the calibration is fitted on, at most
@@ -85,22 +91,50 @@ class Model:
     scores: dict[str, float]
     rate: float = 1.0  # lambda
     log_k: float = 0.0
-    weights: tuple[float, float] = (0.0, 1.0)  # of the logistic function
-
-    def evidence(self, best: float, n: int) -> float:
-        """lambda s - ln(K n): minus the logarithm of the expected number of such segments by chance."""
-        return self.rate * best - self.log_k - math.log(max(n, 1))
-
-    def score(self, best: float, n: int) -> float:
+    weights: tuple[float, float, float] = (0.0, 1.0, 0.0)  # of the logistic function
+
+    def evidence(self, found: list[float], n: int) -> float:
+        """Minus the logarithm of the chance of the text's best segments, at least 0."""
+        chance = self.log_k + math.log(max(n, 1))
+        out = total = 0.0
+        for r, s in enumerate(sorted(found, reverse=True), 1):
+            total += self.rate * s - chance
+            if total > 0:
+                out = max(out, total - (r - 1) * math.log(max(total, 1.0)) + math.lgamma(r + 1) + math.lgamma(r) - r * math.log(2))
+        return out
+
+    def score(self, evidence: float, n: int) -> float:
         if not self.scores:
             return 0.0
-        z = self.weights[0] + self.weights[1] * self.evidence(best, n)
+        z = self.weights[0] + self.weights[1] * math.sqrt(evidence) + self.weights[2] * math.log1p(n)
         return 1 / (1 + math.exp(-z)) if z > -700 else 0.0
 
     def passages(self, words: list[str]) -> list[tuple[float, int, int]]:
-        known = self.scores
-        places = [i for i, w in enumerate(words) if w in known]
-        return segments(places, [known[words[i]] for i in places], len(words)) if places else []
+        known, openings, shortest = self.scores, self.openings, STEMS[0]
+        places, scores = [], []
+        for i, w in enumerate(words):
+            if w in known:
+                places.append(i)
+                scores.append(known[w])
+            elif w[:shortest] in openings:
+                stem = next((known[x] for k in reversed(STEMS) if len(w) > k and (x := w[:k] + "*") in known), None)
+                if stem is not None:
+                    places.append(i)
+                    scores.append(stem)
+        return segments(places, scores, len(words)) if places else []
+
+    @cached_property
+    def openings(self) -> frozenset[str]:
+        """The first characters of all stems."""
+        return frozenset(t[:STEMS[0]] for t in self.scores if t[-1] == "*")
+
+
+def with_stems(words: list[str]) -> Iterator[str]:
+    for w in words:
+        yield w
+        for k in STEMS:
+            if len(w) > k:
+                yield w[:k] + "*"
 
 
 def held_out() -> Column:
@@ -114,7 +148,7 @@ def _class_counts(labelled: DataFrame) -> DataFrame:
         for b in batches:
             by: tuple[Counter, Counter] = (Counter(), Counter())
             for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                by[toxic].update(tokens(text or ""))
+                by[toxic].update(with_stems(tokens(text or "")))
             for y, counts in enumerate(by):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(counts), pa.string()), pa.array([y] * len(counts), pa.int32()),
@@ -131,7 +165,8 @@ def _contexts(labelled: DataFrame, terms: set[str]) -> DataFrame:
             found = set()
             for text in b.column(0).to_pylist():
                 words = tokens(text or "")
-                found.update((w, words[i - 1] if i else "") for i, w in enumerate(words) if w in terms)
+                for i, w in enumerate(words):
+                    found.update((t, words[i - 1] if i else "") for t in with_stems([w]) if t in terms)
             token, before = zip(*found, strict=True) if found else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(token, pa.string()), pa.array(before, pa.string())],
                                              names=["token", "before"])
@@ -154,7 +189,8 @@ def learn(docs: DataFrame, labels: DataFrame, max_terms: int = MAX_TERMS,
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("y1"),
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("y0"))
     counts = stored(counts, "toxic-counts")
-    n1, n0 = (float(v or 0) for v in counts.agg(F.sum("y1"), F.sum("y0")).first())
+    whole = counts.where("token not like '%*'")  # stems count their tokens again
+    n1, n0 = (float(v or 0) for v in whole.agg(F.sum("y1"), F.sum("y0")).first())
     if not n1 or not n0:
         return Model({})
     y1, y0 = F.col("y1").cast("double"), F.col("y0").cast("double")
@@ -163,7 +199,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_terms: int = MAX_TERMS,
     z = _log_odds(y1, y0, n1, n0, strong, (n1 + n0) * STRONG) / F.sqrt(1 / (y1 + strong) + 1 / (y0 + strong))
     scored = (counts.where(F.col("y1") >= LEAST_CONTEXTS)
               .select("token", z.alias("z"), _log_odds(y1, y0, n1, n0, share * PRIOR, PRIOR).alias("score"), "y1", "y0")
-              .where((F.col("z") >= LEAST_Z) & (F.col("score") > 0)))
+              .where((F.col("z") >= LEAST_Z) & (F.col("score") >= LEAST_SCORE)))
     chosen = scored.orderBy(F.desc("z"), "token").limit(max_terms).collect()  # max_terms rows at most
     spread = {r["token"]: r["contexts"] for r in _contexts(training, {r["token"] for r in chosen}).collect()}
     # a token counts by its contexts where copies bring it more often
@@ -174,41 +210,44 @@ def learn(docs: DataFrame, labels: DataFrame, max_terms: int = MAX_TERMS,
     # the rate: scores of non-toxic tokens
     p = np.array([r["y0"] / n0 for r in chosen])
     s = np.array([r["score"] for r in chosen])
-    rest = 1 - p.sum()
+    rest = max(0.0, 1 - p.sum())
     low, high = 1e-3, 5.0
     for _ in range(80):
         mid = (low + high) / 2
         with np.errstate(over="ignore"):
             low, high = (mid, high) if (p * np.exp(mid * s)).sum() + rest * math.exp(mid * OTHER) < 1 else (low, mid)
     model = Model(model.scores, low)
-    sample = (with_best(training.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_calibration), model, "toxic")
-              .select("best", "n", "toxic").collect())
-    y = np.array([r["toxic"] for r in sample], float)
-    best, n = np.array([r["best"] for r in sample], float), np.array([max(r["n"], 1) for r in sample], float)
+    sample = training.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_calibration)
+    rows = with_best(sample, model, "toxic").select("best", "n", "toxic").collect()  # max_calibration rows at most
+    y = np.array([r["toxic"] for r in rows], float)
+    best, n = np.array([r["best"] for r in rows], float), np.array([max(r["n"], 1) for r in rows], float)
     clean = (y == 0) & (best > 0)
     # the mean of a Gumbel variable lies 0.5772 above ln(K n)
     log_k = float((model.rate * best[clean] - np.log(n[clean])).mean() - 0.5772) if clean.sum() >= 20 else \
-        math.log(max((y == 0).sum() and (clean.sum() + 0.5) / n[y == 0].sum(), 1e-12)) + model.rate * float(s.min())
-    x = model.rate * best - log_k - np.log(n)
-    return Model(model.scores, model.rate, log_k, fit_logistic(x, y))
-
-
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
-    """(intercept, slope) by Newton's method with a small ridge."""
-    if not len(x) or y.min() == y.max():
-        return (-20.0 if not y.any() else 20.0, 0.0)
-    mean, scale = x.mean(), x.std() or 1.0
-    a = np.stack((np.ones_like(x), (x - mean) / scale), 1)
-    w = np.zeros(2)
+        math.log((clean.sum() + 0.5) / max(n[y == 0].sum(), 1)) + model.rate * float(s.min())
+    model = Model(model.scores, model.rate, log_k)
+    rows = with_best(sample, model, "toxic").select("evidence", "n", "toxic").collect()
+    x = np.array([(math.sqrt(r["evidence"]), math.log1p(r["n"])) for r in rows])
+    return Model(model.scores, model.rate, log_k, fit_logistic(x, np.array([r["toxic"] for r in rows], float)))
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, ...]:
+    """(intercept, slopes) by Newton's method with a small ridge."""
+    if not len(y) or y.min() == y.max():
+        return (20.0 if len(y) and y.all() else -20.0, *[0.0] * x.shape[-1])
+    mean, scale = x.mean(0), np.where(x.std(0) > 0, x.std(0), 1.0)
+    a = np.column_stack((np.ones(len(x)), (x - mean) / scale))
+    w = np.zeros(a.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        h = (a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(2)
+        h = (a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(len(w))
         w += np.linalg.solve(h, a.T @ (y - p) - ridge * w)
-    return float(w[0] - w[1] * mean / scale), float(w[1] / scale)
+    slopes = w[1:] / scale
+    return (float(w[0] - (slopes * mean).sum()), *map(float, slopes))
 
 
 def with_best(docs: DataFrame, model: Model, *carried: str) -> DataFrame:
-    """doc_id, carried columns, n (tokens), best (segment score), score, passages."""
+    """doc_id, carried columns, n (tokens), best (segment score), evidence, score, passages."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     extra = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in carried)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # MAX_TERMS tokens
@@ -216,22 +255,24 @@ def with_best(docs: DataFrame, model: Model, *carried: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            n, best, score, found = [], [], [], []
+            n, best, evidence, score, found = [], [], [], [], []
             for text in b.column(0).to_pylist():
                 words = tokens(text or "")
                 all_ = m.passages(words)
                 top = max((s for s, _, _ in all_), default=0.0)
                 n.append(len(words))
                 best.append(top)
-                score.append(m.score(top, len(words)))
+                evidence.append(m.evidence([s for s, _, _ in all_], len(words)))
+                score.append(m.score(evidence[-1], len(words)))
                 found.append([{"first": a, "after": e, "score": s} for s, a, e in all_ if s >= LEAST_SEGMENT])
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[1:], pa.array(n, pa.int64()), pa.array(best, pa.float64()), pa.array(score, pa.float64()),
+                [*b.columns[1:], pa.array(n, pa.int64()), pa.array(best, pa.float64()),
+                 pa.array(evidence, pa.float64()), pa.array(score, pa.float64()),
                  pa.array(found, pa.list_(pa.struct([("first", pa.int64()), ("after", pa.int64()), ("score", pa.float64())])))],
-                names=["doc_id", *carried, "n", "best", "score", "passages"])
+                names=["doc_id", *carried, "n", "best", "evidence", "score", "passages"])
 
     return map_batches(docs.select("text", "doc_id", *carried), run,
-                       f"doc_id {kind}, {extra}n long, best double, score double, "
+                       f"doc_id {kind}, {extra}n long, best double, evidence double, score double, "
                        "passages array<struct<first:bigint,after:bigint,score:double>>")
 
 
