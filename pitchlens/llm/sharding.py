@@ -61,12 +61,12 @@ def first_map(loads: DataFrame, n_shards: int) -> DataFrame:
 
 def rebalanced(slot_map: DataFrame, n_shards: int, keep: float = KEEP) -> DataFrame:
     """The next version of a map (one row per slot): whole slots move until bytes are near equal."""
-    version = slot_map.agg(F.max("version") + 1)
     running = Window.partitionBy("shard").orderBy(F.desc("bytes"), "virtual_slot")
-    fair = (F.sum("bytes").over(Window.partitionBy()) / F.lit(n_shards))
+    fair = F.sum("bytes").over(Window.partitionBy(F.lit(0))) / F.lit(n_shards)  # one row per slot
     marked = slot_map.withColumn("kept", F.sum("bytes").over(running) <= fair * keep)
     # one row per slot (n_slots at most) is gathered; all steps below are expressions on arrays
     gathered = marked.agg(
+        (F.max("version") + 1).alias("next"),
         F.collect_list(F.when(F.col("kept"), F.struct("virtual_slot", "bytes", "rows", "shard"))).alias("kept"),
         F.sort_array(F.collect_list(F.when(~F.col("kept"), F.struct("bytes", "virtual_slot", "rows"))),
                      asc=False).alias("freed"))
@@ -84,8 +84,7 @@ def rebalanced(slot_map: DataFrame, n_shards: int, keep: float = KEEP) -> DataFr
         s["virtual_slot"].alias("virtual_slot"), s["bytes"].alias("bytes"), s["rows"].alias("rows"),
         F.element_at(F.col("to"), i + 1).alias("shard")))
     return (gathered.withColumn("base", base).withColumn("to", state["to"])
-            .select(F.inline(F.concat("kept", moved)))
-            .crossJoin(F.broadcast(version.toDF("version")))  # one row
+            .select(F.col("next").alias("version"), F.inline(F.concat("kept", moved)))
             .select("virtual_slot", "bytes", "rows", "version", "shard"))
 
 
