@@ -10,6 +10,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 ColumnOrName = Column | str
 
@@ -28,10 +29,6 @@ def code_label(code: ColumnOrName, labels: Mapping[object, str]) -> Column:
     return expr if expr is not None else F.lit(None).cast("string")
 
 
-def with_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
-    """Replace NULL by a default, per column (types kept)."""
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
-
 
 def text_number(c: ColumnOrName, default: str = "0") -> Column:
     """Numeric text -> DOUBLE, NULL -> default.
@@ -74,9 +71,26 @@ def outcome_from_winner(winner: ColumnOrName) -> Column:
     return expr.otherwise(F.lit("scheduled"))
 
 
+def parsed_json(c: ColumnOrName, schema: DataType) -> Column:
+    """JSON text by a declared schema; text that isn't such a document raises
+    (blank text too), a NULL document gives NULL."""
+    c = _col(c)
+    doc = F.from_json(c, schema, {"mode": "FAILFAST"})
+    return F.when(c.isNotNull() & (F.trim(c) == F.lit("")), F.raise_error(F.lit("blank JSON document"))).otherwise(doc)
+
+
+def checked_json(c: ColumnOrName) -> Column:
+    """The text itself where it parses as JSON; raises where it doesn't."""
+    c = _col(c)
+    # the parser gives no variant for text that isn't JSON
+    return (F.when(c.isNull() | F.try_parse_json(c).isNotNull(), c)
+            .otherwise(F.raise_error(F.concat(F.lit("malformed JSON: "), F.substring(c, 1, 80)))))
+
+
 def json_text(c: ColumnOrName, path: str) -> Column:
-    """JSON path -> text; JSON null and a NULL document give NULL."""
-    return F.get_json_object(_col(c), path)
+    """JSON path -> text; JSON null and a NULL document give NULL, a malformed
+    document raises."""
+    return F.get_json_object(checked_json(c), path)
 
 
 def json_int(c: ColumnOrName, path: str) -> Column:
@@ -109,20 +123,6 @@ def bucket_label(c: ColumnOrName, easy_max: int = 2, medium: int = 3, hard_min:
             .when(c >= F.lit(hard_min), F.lit("hard")))
 
 
-def flag(*conds: Column) -> Column:
-    """TRUE when every condition holds; a NULL condition counts as false."""
-    cond = conds[0]
-    for extra in conds[1:]:
-        cond = cond & extra
-    return F.when(cond, F.lit(True)).otherwise(F.lit(False))
-
-
-def first_present(*cols: ColumnOrName, default: float | None = None) -> Column:
-    """First non-NULL of several sources, then a default."""
-    parts = [_col(c) for c in cols]
-    if default is not None:
-        parts.append(F.lit(float(default)))
-    return F.coalesce(*parts)
 
 
 def venue_switch(venue: ColumnOrName, when_home: ColumnOrName, when_away: ColumnOrName,
@@ -145,14 +145,3 @@ def result_points(result: ColumnOrName, win_label: str, draw_label: str = "draw"
 def indicator(cond: Column) -> Column:
     """1.0 / 0.0 as DOUBLE (a DECIMAL average would lose digits)."""
     return F.when(cond, F.lit(1.0)).otherwise(F.lit(0.0))
-
-
-def tag(value: str) -> Column:
-    """Literal tag column."""
-    return F.lit(value)
-
-
-def select_renamed(df: DataFrame, mapping: Sequence[tuple[str, ColumnOrName]] | Mapping[str, ColumnOrName]) -> DataFrame:
-    """Project, rename and reorder: ``[(out_name, source), ...]``."""
-    items: Iterable[tuple[str, ColumnOrName]] = mapping.items() if isinstance(mapping, Mapping) else mapping
-    return df.select(*[_col(src).alias(out) for out, src in items])

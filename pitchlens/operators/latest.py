@@ -50,13 +50,6 @@ def latest_values(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnOrNa
     return df.groupBy(*keys).agg(*aggs)
 
 
-def first_values(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnOrName],
-                 values: Mapping[str, ColumnOrName]) -> DataFrame:
-    """D3 as an aggregation: the value of the first row per key by ``order``."""
-    ordering = _ordering(order)
-    return df.groupBy(*keys).agg(*[F.min_by(_col(src), ordering).alias(n) for n, src in values.items()])
-
-
 def first_rows(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[Column]) -> DataFrame:
     """Whole first row per key; ``order`` carries its own direction/nulls."""
     rn = "__pl_rn"

@@ -13,8 +13,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
-from pitchlens.operators.segmented import hot_key_window, segmented_window
+from pitchlens.operators.spread import spread_window
 
 ColumnOrName = Column | str
 
@@ -89,30 +90,31 @@ def agg_column(agg: Agg, spec: WindowSpec) -> Column:
     return _FUNCS[agg.fn](_col(agg.col)).over(framed)
 
 
+def result_type(df: DataFrame, agg: Agg) -> DataType:
+    """The type of an aggregate's output column."""
+    return df.select(agg_column(agg, Window.partitionBy(F.lit(0)).orderBy(F.lit(0)))).schema[0].dataType
+
+
 def rolling(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[ColumnOrName],
-            aggs: Mapping[str, Agg], segment: Column | None = None, hot_only: bool = False) -> DataFrame:
+            aggs: Mapping[str, Agg], spread: bool = False) -> DataFrame:
     """Add one column per ``Agg``; all share ``keys`` and ``order``.
 
     ``order`` must be a total order within a key (add tie-break columns), or
-    the rows a frame sees are not deterministic.  ``segment`` (a column
-    monotone in ``order``, e.g. a season or a month) splits every key into
-    independent window partitions with exact results (``segmented.py``): use
-    it when one key may hold a large share of all rows.  ``hot_only=True``
-    splits only the keys that are measured to be hot and windows the others
-    per key as usual (``segmented.hot_key_window``).
+    the rows a frame sees are not deterministic.  By default a key's rows are
+    one window partition: for keys whose rows are bounded by their meaning (a
+    team's matches of a season).  ``spread=True`` is for keys that may hold any
+    share of the rows: all keys then take the range-partitioned path of
+    ``spread.py``.
     """
-    if segment is not None:
-        if hot_only:
-            return hot_key_window(df, keys, order, aggs, segment)
-        return segmented_window(df, keys, order, aggs, segment)
+    if spread:
+        return spread_window(df, keys, order, aggs)
     spec = window(keys, order)
     return df.withColumns({name: agg_column(agg, spec) for name, agg in aggs.items()})
 
 
 def rolling_by_subgroup(df: DataFrame, keys: Sequence[ColumnOrName], sub_col: str,
                         order: Sequence[ColumnOrName],
-                        aggs: Mapping[str, tuple[str, Agg]], segment: Column | None = None,
-                        hot_only: bool = False) -> DataFrame:
+                        aggs: Mapping[str, tuple[str, Agg]], spread: bool = False) -> DataFrame:
     """Windows over the rows of one subgroup, attached only to its rows.
 
     ``aggs`` is ``{out: (sub_value, Agg)}``: ``out`` is computed over the rows of
@@ -120,43 +122,25 @@ def rolling_by_subgroup(df: DataFrame, keys: Sequence[ColumnOrName], sub_col: st
     This is the join of a filtered, windowed copy back onto the full rows,
     done as one window over ``keys + [sub_col]`` (no self-join, no extra scan).
     """
-    if segment is not None:
-        split = hot_key_window if hot_only else segmented_window
-        out = split(df, [*keys, sub_col], order, {n: a for n, (_, a) in aggs.items()}, segment)
-        return out.withColumns({
-            name: F.when(F.col(sub_col) == F.lit(value), F.col(name)) for name, (value, _) in aggs.items()
-        })
-    spec = window([*keys, sub_col], order)
-    return df.withColumns({
-        name: F.when(F.col(sub_col) == F.lit(value), agg_column(agg, spec))
-        for name, (value, agg) in aggs.items()
+    out = rolling(df, [*keys, sub_col], order, {n: a for n, (_, a) in aggs.items()}, spread=spread)
+    return out.withColumns({
+        name: F.when(F.col(sub_col) == F.lit(value), F.col(name)) for name, (value, _) in aggs.items()
     })
 
 
 def sequence_number(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[ColumnOrName],
                     out: str = "seq", aggs: Mapping[str, Agg] | None = None,
-                    segment: Column | None = None, hot_only: bool = False) -> DataFrame:
+                    spread: bool = False) -> DataFrame:
     """1, 2, 3 ... per key in order, as BIGINT, plus optional window
     aggregates over the same order (one window, one sort)."""
     aggs = dict(aggs or {})
-    if segment is not None:
-        split = hot_key_window if hot_only else segmented_window
-        return split(df, keys, order, aggs, segment, seq_col=out)
+    if spread:
+        return spread_window(df, keys, order, aggs, seq_col=out)
     spec = window(keys, order)
     return df.withColumns({out: F.row_number().over(spec).cast("bigint"),
                            **{n: agg_column(a, spec) for n, a in aggs.items()}})
 
 
-def first_n_per_key(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[ColumnOrName],
-                    n: int, seq_col: str = "seq") -> DataFrame:
-    """keep the first ``n`` rows per key and number them.
-
-    The filter on ``row_number`` lets Spark insert a group limit on both sides
-    of the shuffle, so at most ``n`` rows per key and map task are exchanged.
-    """
-    return sequence_number(df, keys, order, seq_col).where(F.col(seq_col) <= F.lit(n))
-
-
 def first_n_with_ahead(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence[ColumnOrName],
                        n: int, seq_col: str = "seq", aggs: Mapping[str, Agg] | None = None) -> DataFrame:
     """F7 after W10: the first ``n`` rows per key, numbered, with look-ahead

@@ -1,42 +1,31 @@
 """Build the stored models: the weekly full rebuild, as Spark jobs.
 
-Staging and intermediate models are views (lazy DataFrames).  The two team
-performance models are read by several marts, so they are written once to
-shared storage and read back: that cuts the lineage (a lost executor costs a
-re-read of files, not a recomputation from the raw tables) and stops each
-mart from recomputing them.  Marts are written whole, replacing the previous
-build (S6 / S11).
+Staging and intermediate models are views (lazy DataFrames).  What several marts
+read is stored once by the model graph (``models.py``), so a lost executor costs
+a re-read of files.  Marts are written whole, replacing the previous build (S6 /
+S11).
 """
 
 from __future__ import annotations
 
 import argparse
-import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from pitchlens.plans.league_views import LeagueInputs, league_inputs
 from pitchlens.plans.marts import weekly_top_picks
 from pitchlens.plans.models import LeagueModels
-from pitchlens.session import checkpoint_root, get_session
-from pitchlens.sources.tables import full_model, read_table, replace_table
+from pitchlens.session import get_session
+from pitchlens.sources.tables import read_table, replace_table
 
-SHARED = ("team_performance", "team_performance_lagged")
 MARTS = ("player_picks", "fixture_ticker", "backtest_picks")
 
 
-def build(spark: SparkSession, raw: LeagueInputs, out_root: str | None = None,
-          segment_gameweeks: int | None = None) -> dict[str, str]:
-    """Materialise the marts under ``out_root/marts``; return their paths.
-
-    Shared intermediates go to a per-run folder under the cluster's
-    checkpoint directory (``spark.checkpoint.dir``).
-    """
-    root = (out_root or checkpoint_root(spark)).rstrip("/")
-    work = f"{checkpoint_root(spark).rstrip('/')}/pitchlens-run-{uuid.uuid4().hex[:12]}"
-    m = LeagueModels(raw, segment_gameweeks=segment_gameweeks)
-    for name in SHARED:
-        m.__dict__[name] = full_model(spark, name, m.model(name), root=work)
+def build(spark: SparkSession, raw: LeagueInputs, out_root: str, season: Sequence[str] = ()) -> dict[str, str]:
+    """Materialise the marts under ``out_root/marts``; return their paths."""
+    root = out_root.rstrip("/")
+    m = LeagueModels(raw, season=season)
     paths = {}
     for name in MARTS:
         path = f"{root}/marts/{name}"

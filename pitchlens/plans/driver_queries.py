@@ -7,6 +7,8 @@ table works (orders per customer, events per user).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,30 +25,19 @@ from pitchlens.operators.rolling import (
     sequence_number,
     trailing,
 )
-from pitchlens.plans.league_views import driver_tables
+from pitchlens.plans.league_views import driver_tables, team_mapping
+from pitchlens.session import checkpoint_root
 from pitchlens.sources import landing as L
-from pitchlens.sources.tables import check_grain
+from pitchlens.sources.tables import check_grain, full_model, load_seed, model_path, read_table, register_view
 
 ORDER_KEYS = ["o_custkey"]
 ORDER_ORDER = ["o_orderdate", "o_orderkey"]
 EVENT_KEYS = ["user_id"]
 EVENT_ORDER = ["ts", "event_id"]
-# The "upcoming" cut for event look-ahead queries and the horizon.
-EVENTS_UPCOMING_FROM = "2024-01-15 00:00:00"
+# Fixed value: the horizon of the next-N query.
 NEXT_N = 8
 
 
-# Window segments (monotone in the order): a hot customer's orders are split
-# per year, a hot user's events per day, so no single key becomes a single
-# task; keys that are not hot keep one window partition each.
-def order_segment():
-    return F.year("o_orderdate")
-
-
-def event_segment():
-    return F.to_date("ts")
-
-
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return driver_tables(spark, sf_dir).orders.select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
@@ -60,7 +51,7 @@ MONEY_TOTAL = "decimal(18,2)"
 
 def _money_sum(df: DataFrame, aggs: dict[str, Agg]) -> DataFrame:
     df = df.withColumn("_money", F.col("o_totalprice").cast(MONEY))
-    out = rolling(df, ORDER_KEYS, ORDER_ORDER, aggs, segment=order_segment(), hot_only=True)
+    out = rolling(df, ORDER_KEYS, ORDER_ORDER, aggs, spread=True)
     return out.withColumns({n: F.col(n).cast(MONEY_TOTAL) for n in aggs}).drop("_money")
 
 
@@ -71,14 +62,13 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rolling_mean(spark, sf_dir):
     """Mean order value over the customer's last 3 orders."""
     return rolling(_orders(spark, sf_dir), ORDER_KEYS, ORDER_ORDER,
-                   {"avg_price_3": Agg("avg", "o_totalprice", trailing(3))}, segment=order_segment(), hot_only=True)
+                   {"avg_price_3": Agg("avg", "o_totalprice", trailing(3))}, spread=True)
 
 
 def rolling_mean_lagged(spark, sf_dir):
     """Same, over the 3 orders before the current one."""
     return rolling(_orders(spark, sf_dir), ORDER_KEYS, ORDER_ORDER,
-                   {"avg_price_prev_3": Agg("avg", "o_totalprice", trailing(3, lag=1))},
-                   segment=order_segment(), hot_only=True)
+                   {"avg_price_prev_3": Agg("avg", "o_totalprice", trailing(3, lag=1))}, spread=True)
 
 
 def rolling_sum(spark, sf_dir):
@@ -104,7 +94,7 @@ def cumulative_count(spark, sf_dir):
     return rolling(_orders(spark, sf_dir), ORDER_KEYS, ORDER_ORDER, {
         "orders_so_far": Agg("count", None, cumulative()),
         "orders_before": Agg("count", None, cumulative(lag=1)),
-    }, segment=order_segment(), hot_only=True)
+    }, spread=True)
 
 
 def rolling_rate(spark, sf_dir):
@@ -113,7 +103,7 @@ def rolling_rate(spark, sf_dir):
     return rolling(ev, EVENT_KEYS, EVENT_ORDER, {
         "error_rate_5": Agg("avg", "is_error", trailing(5)),
         "error_rate_prev_5": Agg("avg", "is_error", trailing(5, lag=1)),
-    }, segment=event_segment(), hot_only=True).drop("is_error")
+    }, spread=True).drop("is_error")
 
 
 def rolling_by_subgroup_q(spark, sf_dir):
@@ -124,14 +114,14 @@ def rolling_by_subgroup_q(spark, sf_dir):
         "purchase_value_prev_3": ("purchase", Agg("avg", "value", trailing(3, lag=1))),
         "view_value_3": ("view", Agg("avg", "value", trailing(3))),
         "view_value_prev_3": ("view", Agg("avg", "value", trailing(3, lag=1))),
-    }, segment=event_segment(), hot_only=True)
+    }, spread=True)
 
 
 def _with_lookahead(ev: DataFrame) -> DataFrame:
     return sequence_number(ev, EVENT_KEYS, EVENT_ORDER, "seq", {
         "next_value_3": Agg("avg", "value", ahead(3)),
         "next_value_5": Agg("avg", "value", ahead(5)),
-    }, segment=event_segment(), hot_only=True)
+    }, spread=True)
 
 
 def lookahead_mean(spark, sf_dir):
@@ -140,12 +130,11 @@ def lookahead_mean(spark, sf_dir):
 
 
 def next_n_per_key(spark, sf_dir):
-    """F7 after W10: each user's next 8 upcoming events with look-ahead means.
+    """F7 after W10: each user's first 8 events with look-ahead means.
 
     Cut at 8 + 4 rows first (row 8 needs rows 9..12): a group limit before the
     shuffle bounds what moves per user, also for a user with most events."""
-    ev = _events(spark, sf_dir).where(F.col("ts") >= F.lit(EVENTS_UPCOMING_FROM).cast("timestamp_ntz"))
-    return first_n_with_ahead(ev, EVENT_KEYS, EVENT_ORDER, NEXT_N, "seq", {
+    return first_n_with_ahead(_events(spark, sf_dir), EVENT_KEYS, EVENT_ORDER, NEXT_N, "seq", {
         "next_value_3": Agg("avg", "value", ahead(3)),
         "next_value_5": Agg("avg", "value", ahead(5)),
     })
@@ -277,6 +266,44 @@ def flatten_carry_q(spark, sf_dir):
                            {"standing_type": "type"}, outer_schema=STANDINGS_SCHEMA)
 
 
+def _shared_folder(spark: SparkSession, tag: str) -> str:
+    return f"{checkpoint_root(spark)}/pitchlens-{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def loaded_array(spark, sf_dir):
+    """Customers written as top-level JSON arrays (a document per line, at most
+    DOC_RECORDS records each) and loaded again."""
+    cu = driver_tables(spark, sf_dir).customer.select(*CUSTOMER_COLUMNS)
+    arrays = (cu.groupBy(F.floor(F.col("c_custkey") / F.lit(DOC_RECORDS)).alias("doc_id"))
+              .agg(F.to_json(F.collect_list(F.struct(*CUSTOMER_COLUMNS))).alias("value")).select("value"))
+    path = _shared_folder(spark, "arrays")
+    arrays.write.text(path)
+    return L.load_array(spark, path, CUSTOMER_SCHEMA, multi_line=False)
+
+
+def loaded_seed(spark, sf_dir):
+    """The team mapping written as CSV with a header and loaded as a seed."""
+    path = _shared_folder(spark, "seed")
+    team_mapping(driver_tables(spark, sf_dir)).write.option("header", True).csv(path)
+    return load_seed(spark, path)
+
+
+def replaced_model(spark, sf_dir):
+    """S6 + S11 + S12: a model stored twice and read back; the second build replaces the first."""
+    cu = driver_tables(spark, sf_dir).customer.select(*CUSTOMER_COLUMNS)
+    root = _shared_folder(spark, "stored")
+    full_model(spark, "customers", cu, root)
+    full_model(spark, "customers", cu.where(F.col("c_acctbal") > F.lit(0)), root)
+    return read_table(spark, model_path(spark, "customers", root))
+
+
+def named_view(spark, sf_dir):
+    """S10 + S12: a named view over a table, read by name."""
+    register_view("customers_by_nation", driver_tables(spark, sf_dir).customer.groupBy("c_nationkey")
+                  .agg(F.count(F.lit(1)).alias("customers")))
+    return read_table(spark, "customers_by_nation")
+
+
 def grain_violations(spark, sf_dir):
     """S9 on a key that is not unique in the driver data."""
     li = driver_tables(spark, sf_dir).lineitem

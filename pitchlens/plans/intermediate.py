@@ -8,10 +8,19 @@ Ordering inside a team or player is (gameweek, kickoff_time, fixture_id): the
 gameweek alone is not unique when a team plays twice in one gameweek, and
 frames over a non-total order are not deterministic.  The two tie-break
 columns are appended to the outputs that are keyed by match.
+
+``season`` is the list of columns that tell seasons (and competitions) apart.
+It leads every window key and every lookup: a team or player starts anew each
+season, gameweeks may restart at 1, and a key's rows are bounded by a season's
+matches, so plain windows are the right plan.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,19 +41,8 @@ from pitchlens.operators.sides import two_sided
 MATCH_ORDER = ["gameweek", "kickoff_time", "fixture_id"]
 TEAM_KEYS = ["team_id"]
 PLAYER_KEYS = ["player_id"]
-# A season is 38 gameweeks; windows are split per season block.
-SEASON_GAMEWEEKS = 38
-
-
-def season_block(gameweeks: int | None = SEASON_GAMEWEEKS) -> Column | None:
-    """Window segment for hot keys: consecutive blocks of ``gameweeks``
-    (monotone in the match order).  ``None`` keeps one window partition per key."""
-    if not gameweeks:
-        return None
-    return F.floor((F.col("gameweek") - F.lit(1)) / F.lit(gameweeks))
 
-
-def team_match_rows(stg_fixtures: DataFrame, finished: bool) -> DataFrame:
+def team_match_rows(stg_fixtures: DataFrame, finished: bool, season: Sequence[str] = ()) -> DataFrame:
     """U1 + P17 + P19: one row per team and (un)finished fixture."""
     fx = stg_fixtures.where(F.col("finished") == F.lit(finished))
     home = {
@@ -59,7 +57,13 @@ def team_match_rows(stg_fixtures: DataFrame, finished: bool) -> DataFrame:
         "result": "result", "match_points": C.result_points("result", "away_win"),
         "kickoff_time": "kickoff_time", "fixture_id": "fixture_id",
     }
-    return two_sided(fx, home, away, tag_col="venue")
+    return two_sided(fx, home, away, tag_col="venue", keep=season)
+
+
+def same(left: str, right: str, season: Sequence[str], **columns: str) -> Column:
+    """Join condition: equal season columns, and left column = right column for each pair."""
+    pairs = [*((c, c) for c in season), *columns.items()]
+    return reduce(and_, (F.col(f"{left}.{a}") == F.col(f"{right}.{b}") for a, b in pairs))
 
 
 TEAM_OUTPUT = [
@@ -72,8 +76,7 @@ TEAM_OUTPUT = [
 ]
 
 
-def team_performance(stg_fixtures: DataFrame, lag: int = 0, segment: Column | None = None,
-                     hot_only: bool = False) -> DataFrame:
+def team_performance(stg_fixtures: DataFrame, lag: int = 0, season: Sequence[str] = ()) -> DataFrame:
     """M6 (lag 0) / M7 (lag 1): rolling team form from finished fixtures.
 
     Blended columns use the last 5 matches and the season so far; venue
@@ -81,26 +84,27 @@ def team_performance(stg_fixtures: DataFrame, lag: int = 0, segment: Column | No
     only (W7: a window over (team, venue) instead of a self-join).  One
     shuffle on team_id serves both window groups.
     """
-    rows = team_match_rows(stg_fixtures, finished=True).withColumn(
+    keys = [*season, *TEAM_KEYS]
+    rows = team_match_rows(stg_fixtures, True, season).withColumn(
         "_clean", C.indicator(F.col("goals_against") == F.lit(0)))
-    five, three, season = trailing(5, lag), trailing(3, lag), cumulative(lag)
+    five, three, so_far = trailing(5, lag), trailing(3, lag), cumulative(lag)
     # blended window first: its shuffle on team_id also serves (team_id, venue)
-    rows = rolling(rows, TEAM_KEYS, MATCH_ORDER, {
+    rows = rolling(rows, keys, MATCH_ORDER, {
         "form_5gw": Agg("avg", "match_points", five),
         "attack_strength_5gw": Agg("avg", "goals_for", five),
         "defense_weakness_5gw": Agg("avg", "goals_against", five),
         "clean_sheet_rate_5gw": Agg("avg", "_clean", five),
-        "season_points": Agg("sum", "match_points", season),
-        "season_goals_for": Agg("sum", "goals_for", season),
-        "season_goals_against": Agg("sum", "goals_against", season),
-    }, segment=segment, hot_only=hot_only)
-    rows = rolling_by_subgroup(rows, TEAM_KEYS, "venue", MATCH_ORDER, {
+        "season_points": Agg("sum", "match_points", so_far),
+        "season_goals_for": Agg("sum", "goals_for", so_far),
+        "season_goals_against": Agg("sum", "goals_against", so_far),
+    })
+    rows = rolling_by_subgroup(rows, keys, "venue", MATCH_ORDER, {
         f"{venue}_{name}": (venue, Agg("avg", src, three))
         for venue in ("home", "away")
         for name, src in (("attack_3gw", "goals_for"), ("defense_3gw", "goals_against"),
                           ("cs_rate_3gw", "_clean"))
-    }, segment=segment, hot_only=hot_only)
-    return rows.select(*TEAM_OUTPUT)
+    })
+    return rows.select(*season, *TEAM_OUTPUT)
 
 
 PLAYER_CONTEXT = ["player_id", "player_name", "position", "team_id", "gameweek",
@@ -108,20 +112,21 @@ PLAYER_CONTEXT = ["player_id", "player_name", "position", "team_id", "gameweek",
 
 
 def player_rolling(stg_player_gameweeks: DataFrame, stg_players: DataFrame, lag: int = 0,
-                   segment: Column | None = None, hot_only: bool = False) -> DataFrame:
+                   season: Sequence[str] = ()) -> DataFrame:
     """M8 (lag 0) / M9 (lag 1): rolling player form per appearance.
 
     The inner join keeps appearances of players in the current snapshot and
     takes position and team from it.  The join's hash partitioning on
     player_id is reused by the window, so there is no second shuffle.
     """
+    keys = [*season, *PLAYER_KEYS]
     pg = stg_player_gameweeks.select(
-        "player_id", "gameweek", "opponent_team_id", "was_home", "total_points", "minutes",
+        *keys, "gameweek", "opponent_team_id", "was_home", "total_points", "minutes",
         "xgi", "xgc", "ict_index", "price", "selected_by", "defensive_contribution",
         "yellow_cards", "red_cards", "bonus", "kickoff_time", "fixture_id")
-    pl = stg_players.select("player_id", "position", "team_id", "player_name")
-    rows = pg.join(pl, "player_id", "inner")
-    three, five, season = trailing(3, lag), trailing(5, lag), cumulative(lag)
+    pl = stg_players.select(*keys, "position", "team_id", "player_name")
+    rows = pg.join(pl, keys, "inner")
+    three, five, so_far = trailing(3, lag), trailing(5, lag), cumulative(lag)
     suffix = "_before" if lag else ""
     aggs = {
         "form_3gw": Agg("avg", "total_points", three),
@@ -133,11 +138,11 @@ def player_rolling(stg_player_gameweeks: DataFrame, stg_players: DataFrame, lag:
         "bonus_rolling_5gw": Agg("avg", "bonus", five),
         "ict_rolling_3gw": Agg("avg", "ict_index", three),
         "defcon_rolling_3gw": Agg("avg", "defensive_contribution", three),
-        f"season_points{suffix}": Agg("sum", "total_points", season),
-        f"games_played{suffix}": Agg("count", None, season),
+        f"season_points{suffix}": Agg("sum", "total_points", so_far),
+        f"games_played{suffix}": Agg("count", None, so_far),
     }
-    rows = rolling(rows, PLAYER_KEYS, MATCH_ORDER, aggs, segment=segment, hot_only=hot_only)
-    return rows.select(*PLAYER_CONTEXT, *aggs, "fixture_id", "kickoff_time")
+    rows = rolling(rows, keys, MATCH_ORDER, aggs)
+    return rows.select(*season, *PLAYER_CONTEXT, *aggs, "fixture_id", "kickoff_time")
 
 
 TEAM_STAT_COLUMNS = {
@@ -154,10 +159,10 @@ TEAM_STAT_COLUMNS = {
 }
 
 
-def latest_team_stats(team_perf: DataFrame) -> DataFrame:
+def latest_team_stats(team_perf: DataFrame, season: Sequence[str] = ()) -> DataFrame:
     """D1 + D2 in one aggregation: each team's latest blended stats, and its
     latest home / away stats among the matches where they exist."""
-    return latest_values(team_perf, TEAM_KEYS, MATCH_ORDER, TEAM_STAT_COLUMNS)
+    return latest_values(team_perf, [*season, *TEAM_KEYS], MATCH_ORDER, TEAM_STAT_COLUMNS)
 
 
 FIXTURE_DIFFICULTY_OUTPUT = [
@@ -168,9 +173,8 @@ FIXTURE_DIFFICULTY_OUTPUT = [
 ]
 
 
-def fixture_difficulty(stg_fixtures: DataFrame, team_perf: DataFrame, stg_teams: DataFrame,
-                       team_stats: DataFrame | None = None, segment: Column | None = None,
-                       horizon: int | None = None, hot_only: bool = False) -> DataFrame:
+def fixture_difficulty(stg_fixtures: DataFrame, team_stats: DataFrame, stg_teams: DataFrame,
+                       horizon: int | None = None, season: Sequence[str] = ()) -> DataFrame:
     """Each team's upcoming fixtures with opponent context.
 
     Sequence number and look-ahead means share one window (same keys, same
@@ -179,30 +183,27 @@ def fixture_difficulty(stg_fixtures: DataFrame, team_perf: DataFrame, stg_teams:
     ticker's 8, the picks' 1).  Then rows are cut at horizon + 4 before the
     shuffle (group limit), the look-ahead means stay exact.
     """
-    upcoming = team_match_rows(stg_fixtures, finished=False).select(
-        "team_id", "gameweek", "opponent_id", "fdr", "venue", "kickoff_time", "fixture_id")
+    keys = [*season, *TEAM_KEYS]
+    upcoming = team_match_rows(stg_fixtures, False, season).select(
+        *keys, "gameweek", "opponent_id", "fdr", "venue", "kickoff_time", "fixture_id")
     ahead_means = {
         "avg_fdr_next_3": Agg("avg", "fdr", ahead(3)),
         "avg_fdr_next_5": Agg("avg", "fdr", ahead(5)),
     }
     if horizon is not None:
-        upcoming = first_n_with_ahead(upcoming, TEAM_KEYS, MATCH_ORDER, horizon, "fixture_order", ahead_means)
+        upcoming = first_n_with_ahead(upcoming, keys, MATCH_ORDER, horizon, "fixture_order", ahead_means)
     else:
-        upcoming = sequence_number(upcoming, TEAM_KEYS, MATCH_ORDER, "fixture_order", ahead_means,
-                                   segment=segment, hot_only=hot_only)
-    stats = team_stats if team_stats is not None else latest_team_stats(team_perf)
-    u, o, t = upcoming.alias("u"), stats.alias("o"), stg_teams.alias("t")
-    home = F.col("u.venue") == F.lit("home")
-    away = F.col("u.venue") == F.lit("away")
+        upcoming = sequence_number(upcoming, keys, MATCH_ORDER, "fixture_order", ahead_means)
+    u, o, t = upcoming.alias("u"), team_stats.alias("o"), stg_teams.alias("t")
 
     def switch(away_stat: str, home_stat: str):
         # the opponent of a home side plays away, and vice versa
-        return F.when(home, F.col(f"o.{away_stat}")).when(away, F.col(f"o.{home_stat}"))
+        return C.venue_switch("u.venue", f"o.{away_stat}", f"o.{home_stat}")
 
-    joined = (u.join(t, F.col("u.opponent_id") == F.col("t.team_id"), "left")
-               .join(o, F.col("u.opponent_id") == F.col("o.team_id"), "left"))
+    joined = (u.join(t, same("u", "t", season, opponent_id="team_id"), "left")
+               .join(o, same("u", "o", season, opponent_id="team_id"), "left"))
     return joined.select(
-        "u.team_id", "u.gameweek", "u.opponent_id", "u.fdr", "u.venue",
+        *[F.col(f"u.{c}").alias(c) for c in season], "u.team_id", "u.gameweek", "u.opponent_id", "u.fdr", "u.venue",
         F.col("t.team_name").alias("opponent_name"),
         F.col("o.form_5gw").alias("opponent_form"),
         F.col("o.attack_strength_5gw").alias("opponent_attack"),

@@ -13,7 +13,7 @@ used as a constant), not a join.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,18 +26,16 @@ SEED_SKIP_MOD = 5                  # suppliers with id % 5 = 0 have no mapping r
 
 @dataclass
 class DriverTables:
-    """Lazy readers of the driver parquet files under ``sf_dir``."""
+    """Readers of the driver parquet files under ``sf_dir``.  Every access lists
+    the files anew: a table may have been replaced meanwhile."""
 
     spark: SparkSession
     sf_dir: str
-    _cache: dict = field(default_factory=dict)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name in ("spark", "sf_dir"):
             raise AttributeError(name)
-        if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        return self._cache[name]
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
 
 def _team_count(t: DriverTables) -> Column:
@@ -167,8 +165,10 @@ def players(t: DriverTables) -> DataFrame:
     )
 
 
-def player_gameweeks(t: DriverTables) -> DataFrame:
-    """One row per (customer, gameweek) of the customer's orders' line items.
+def player_gameweeks(t: DriverTables, per_fixture: bool = False) -> DataFrame:
+    """One row per (customer, gameweek) of the customer's orders' line items; with
+    ``per_fixture`` one per (customer, order), so that a customer with two orders
+    in a gameweek plays twice in it.
 
     The fixture of an order is derived from the order row itself (carrying
     its customer), so line items join orders once: one shuffle of each side
@@ -178,7 +178,8 @@ def player_gameweeks(t: DriverTables) -> DataFrame:
     fx = fixtures(t, keep=("o_custkey",)).where(F.col("event").isNotNull()).select(
         "id", "o_custkey", "event", "kickoff_time", "team_a", "team_h_score", "team_a_score")
     joined = li.join(fx, li.l_orderkey == fx.id)
-    agg = joined.groupBy(F.col("o_custkey").alias("element"), F.col("event").alias("round")).agg(
+    keys = [F.col("o_custkey").alias("element"), F.col("event").alias("round")]
+    agg = joined.groupBy(*keys, *([F.col("id").alias("own_fixture")] if per_fixture else [])).agg(
         F.min("id").alias("fixture"),
         F.min("kickoff_time").alias("kickoff_time"),
         F.min("team_a").alias("opponent_team"),
@@ -285,18 +286,8 @@ class LeagueInputs:
         return self._built[name]
 
 
-_TABLES: dict[tuple[int, str], DriverTables] = {}
-
-
 def driver_tables(spark: SparkSession, sf_dir: str) -> DriverTables:
-    """One reader set per (session, folder): files are listed and their
-    footers read once per session, not once per query (only the plan objects
-    are shared; no data is cached)."""
-    key = (id(spark), sf_dir)
-    cached = _TABLES.get(key)
-    if cached is None or cached.spark is not spark:
-        cached = _TABLES[key] = DriverTables(spark, sf_dir)
-    return cached
+    return DriverTables(spark, sf_dir)
 
 
 def league_inputs(spark: SparkSession, sf_dir: str) -> LeagueInputs:
@@ -309,3 +300,41 @@ def league_inputs(spark: SparkSession, sf_dir: str) -> LeagueInputs:
         player_gameweeks=lambda: player_gameweeks(t),
         pl_matches=lambda: pl_matches(t),
     )
+
+
+# Fixed value of the two-season form: gameweeks after this one are gameweek 1, 2, ...
+# of the second season.
+FIRST_SEASON_GAMEWEEKS = 150
+
+
+def _in_seasons(df: DataFrame, gameweek: str) -> DataFrame:
+    g, n = F.col(gameweek), F.lit(FIRST_SEASON_GAMEWEEKS)
+    return df.select(F.when(g > n, F.lit(2)).otherwise(F.lit(1)).alias("season"),
+                     *[F.when(g > n, g - n).otherwise(g).alias(c) if c == gameweek else F.col(c) for c in df.columns])
+
+
+def _each_season(df: DataFrame) -> DataFrame:
+    return df.select(F.explode(F.array(F.lit(1), F.lit(2))).alias("season"), "*")
+
+
+def two_season_inputs(spark: SparkSession, sf_dir: str) -> LeagueInputs:
+    """The same tables as two seasons whose gameweeks both count from 1 (column
+    ``season``); teams and players take part in both."""
+    t = driver_tables(spark, sf_dir)
+    return LeagueInputs(
+        fixtures=lambda: _in_seasons(fixtures(t), "event"),
+        teams=lambda: _each_season(teams(t)),
+        team_mapping=lambda: team_mapping(t),
+        players=lambda: _each_season(players(t)),
+        player_gameweeks=lambda: _in_seasons(player_gameweeks(t), "round"),
+    )
+
+
+def appearance_inputs(spark: SparkSession, sf_dir: str) -> LeagueInputs:
+    """``league_inputs`` with one appearance per fixture (double gameweeks)."""
+    t = driver_tables(spark, sf_dir)
+    return LeagueInputs(
+        fixtures=lambda: fixtures(t),
+        players=lambda: players(t),
+        player_gameweeks=lambda: player_gameweeks(t, per_fixture=True),
+    )

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchlens.functions import columns as C
 from pitchlens.functions import score as S
 from pitchlens.operators.latest import first_rows
-from pitchlens.plans.intermediate import latest_team_stats, team_match_rows
+from pitchlens.plans.intermediate import same, team_match_rows
 
 # Eligibility of a live pick and the ticker horizon.
 MIN_CHANCE_OF_PLAYING = 50
@@ -31,22 +33,21 @@ PLAYER_PICKS_OUTPUT = [
 
 
 def player_picks(stg_players: DataFrame, stg_teams: DataFrame, fixture_diff: DataFrame,
-                 team_perf: DataFrame, team_stats: DataFrame | None = None) -> DataFrame:
+                 team_stats: DataFrame, season: Sequence[str] = ()) -> DataFrame:
     """One row per eligible player with next-fixture context and score.
 
     Every right side has one row per team (the next fixture is the row with
     fixture_order 1), so all three joins are lookups the planner can
     broadcast when their measured size allows it.
     """
-    stats = team_stats if team_stats is not None else latest_team_stats(team_perf)
     p = stg_players.where((F.col("minutes") > F.lit(0))
                           & (F.col("chance_of_playing") >= F.lit(MIN_CHANCE_OF_PLAYING))).alias("p")
     t = stg_teams.alias("t")
     nf = fixture_diff.where(F.col("fixture_order") == F.lit(1)).alias("nf")
-    tp = stats.alias("tp")
-    j = (p.join(t, F.col("p.team_id") == F.col("t.team_id"), "left")
-          .join(nf, F.col("p.team_id") == F.col("nf.team_id"), "left")
-          .join(tp, F.col("p.team_id") == F.col("tp.team_id"), "left"))
+    tp = team_stats.alias("tp")
+    j = (p.join(t, same("p", "t", season, team_id="team_id"), "left")
+          .join(nf, same("p", "nf", season, team_id="team_id"), "left")
+          .join(tp, same("p", "tp", season, team_id="team_id"), "left"))
     x = S.ScoreInputs(
         position=F.col("p.position"),
         form=F.col("p.form"),
@@ -56,6 +57,7 @@ def player_picks(stg_players: DataFrame, stg_teams: DataFrame, fixture_diff: Dat
         clean_sheet=F.col("tp.clean_sheet_rate_5gw"),
     )
     return j.select(
+        *[F.col(f"p.{c}").alias(c) for c in season],
         "p.player_id", "p.player_name", "p.position", "t.team_name",
         F.col("t.short_name").alias("team_short"),
         "p.price", "p.ownership_pct", "p.transfers_in_gw", "p.transfers_out_gw",
@@ -83,16 +85,17 @@ def player_picks(stg_players: DataFrame, stg_teams: DataFrame, fixture_diff: Dat
     )
 
 
-def fixture_ticker(fixture_diff: DataFrame, stg_teams: DataFrame, horizon: int = TICKER_FIXTURES) -> DataFrame:
+def fixture_ticker(fixture_diff: DataFrame, stg_teams: DataFrame, horizon: int = TICKER_FIXTURES,
+                   season: Sequence[str] = ()) -> DataFrame:
     """The next ``horizon`` fixtures of every team, labelled and sorted."""
     fd = fixture_diff.where(F.col("fixture_order") <= F.lit(horizon)).alias("fd")
     t = stg_teams.alias("t")
-    return (fd.join(t, F.col("fd.team_id") == F.col("t.team_id"), "left")
-              .select("fd.team_id", "t.team_name", "t.short_name", "fd.gameweek", "fd.fixture_order",
+    return (fd.join(t, same("fd", "t", season, team_id="team_id"), "left")
+              .select(*[F.col(f"fd.{c}").alias(c) for c in season], "fd.team_id", "t.team_name", "t.short_name", "fd.gameweek", "fd.fixture_order",
                       "fd.opponent_name", "fd.venue", "fd.fdr", "fd.opponent_form", "fd.opponent_attack",
                       "fd.opponent_defense_weakness", "fd.avg_fdr_next_3", "fd.avg_fdr_next_5",
                       C.bucket_label("fd.fdr").alias("difficulty_label"))
-              .orderBy(F.col("team_id").asc_nulls_last(), F.col("fixture_order").asc_nulls_last()))
+              .orderBy(*season, F.col("team_id").asc_nulls_last(), F.col("fixture_order").asc_nulls_last()))
 
 
 def weekly_top_picks(picks: DataFrame, k: int = 10) -> DataFrame:
@@ -117,45 +120,43 @@ BACKTEST_OUTPUT = [
 ]
 
 
-def team_stats_by_gameweek(team_perf_lagged: DataFrame) -> DataFrame:
+def team_stats_by_gameweek(team_perf_lagged: DataFrame, season: Sequence[str] = ()) -> DataFrame:
     """D3: one row per (team, gameweek); with two matches in a gameweek the
     away row wins (venue ascending), then kickoff and fixture id."""
-    first = first_rows(team_perf_lagged, ["team_id", "gameweek"],
+    first = first_rows(team_perf_lagged, [*season, "team_id", "gameweek"],
                        [F.col("venue").asc_nulls_last(), F.col("kickoff_time").asc_nulls_last(),
                         F.col("fixture_id").asc_nulls_last()])
-    return first.select("team_id", "gameweek", *TEAM_STATS_BY_GAMEWEEK)
+    return first.select(*season, "team_id", "gameweek", *TEAM_STATS_BY_GAMEWEEK)
 
 
-def backtest_picks(player_rolling_lagged: DataFrame, stg_fixtures: DataFrame, team_perf_lagged: DataFrame,
-                   on_fixture: bool = False, first_gameweek: int = BACKTEST_FIRST_GAMEWEEK) -> DataFrame:
+def backtest_picks(player_rolling_lagged: DataFrame, stg_fixtures: DataFrame, gameweek_stats: DataFrame,
+                   on_fixture: bool = False, first_gameweek: int = BACKTEST_FIRST_GAMEWEEK,
+                   season: Sequence[str] = ()) -> DataFrame:
     """Pick scores for every past appearance from pre-match data only.
 
     Default join (J3) is on (team, gameweek) like the reference; with
     ``on_fixture=True`` the appearance joins its own fixture and side, which
     removes the fan-out of double gameweeks and follows transferred players.
     The warm-up filter runs after the windows (they are computed upstream).
+    ``gameweek_stats`` (``team_stats_by_gameweek``) is read for both sides; the two
+    reads prune different columns, so hand in a stored table to compute it once.
     """
-    fc = team_match_rows(stg_fixtures, finished=True).select(
-        "team_id", "opponent_id", "gameweek", "fdr", "venue", "fixture_id").alias("fc")
+    fc = team_match_rows(stg_fixtures, True, season).select(
+        *season, "team_id", "opponent_id", "gameweek", "fdr", "venue", "fixture_id").alias("fc")
     pr = player_rolling_lagged.alias("pr")
-    # one D3 result serves both lookups (opponent and own team): the two join
-    # sides are the same plan, so Spark builds and exchanges it once
-    stats = team_stats_by_gameweek(team_perf_lagged)
-    opp, own = stats.alias("opp"), stats.alias("own")
+    opp, own = gameweek_stats.alias("opp"), gameweek_stats.alias("own")
     if on_fixture:
         side = F.when(F.col("pr.was_home"), F.lit("home")).otherwise(F.lit("away"))
-        cond = (F.col("pr.fixture_id") == F.col("fc.fixture_id")) & (F.col("fc.venue") == side)
+        cond = same("pr", "fc", season, fixture_id="fixture_id") & (F.col("fc.venue") == side)
         team_col = F.col("fc.team_id")
     else:
-        cond = (F.col("pr.team_id") == F.col("fc.team_id")) & (F.col("pr.gameweek") == F.col("fc.gameweek"))
+        cond = same("pr", "fc", season, team_id="team_id", gameweek="gameweek")
         team_col = F.col("pr.team_id")
     # own-team lookup first: it joins on the keys of the first join, so a
     # sort-merge plan reuses that partitioning; the opponent lookup shuffles once
     j = (pr.join(fc, cond, "inner")
-           .join(own, (team_col == F.col("own.team_id"))
-                 & (F.col("pr.gameweek") == F.col("own.gameweek")), "left")
-           .join(opp, (F.col("fc.opponent_id") == F.col("opp.team_id"))
-                 & (F.col("fc.gameweek") == F.col("opp.gameweek")), "left"))
+           .join(own, (team_col == F.col("own.team_id")) & same("pr", "own", season, gameweek="gameweek"), "left")
+           .join(opp, same("fc", "opp", season, opponent_id="team_id", gameweek="gameweek"), "left"))
     venue = F.col("fc.venue")
     x = S.ScoreInputs(
         position=F.col("pr.position"),
@@ -168,6 +169,7 @@ def backtest_picks(player_rolling_lagged: DataFrame, stg_fixtures: DataFrame, te
         clean_sheet=F.coalesce(F.col("own.clean_sheet_rate_5gw"), F.lit(0.0)),
     )
     out = j.select(
+        *[F.col(f"pr.{c}").alias(c) for c in season],
         "pr.player_id", "pr.player_name", "pr.position", team_col.alias("team_id"), "pr.gameweek",
         "pr.total_points", "pr.minutes", "pr.price", "pr.selected_by",
         "pr.form_3gw", "pr.form_5gw", "pr.xgi_rolling_3gw", "pr.xgc_rolling_3gw", "pr.defcon_rolling_3gw",

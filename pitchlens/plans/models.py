@@ -1,53 +1,49 @@
 """The model graph: raw league tables -> staging -> intermediate -> marts.
 
-``LeagueModels`` builds each model once, lazily, from its inputs; a model
-read by several others is the same DataFrame object, so shared subplans are
-identical and Spark reuses their exchanges.  ``materialize`` writes chosen
-models to shared storage and reads them back, cutting the lineage there.
+``LeagueModels`` builds each model once, lazily, from its inputs.  Staging and
+intermediate models are views.  Two small relations are read by several models
+with different columns, which Spark would compute anew for each: the latest stats
+of every team, and every team's stats by gameweek.  They are *stored*: written
+once to the shared folder when first used and read back, which also cuts the
+lineage there.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
 from pitchlens.plans import intermediate as I
 from pitchlens.plans import marts as M
 from pitchlens.plans import staging as S
 from pitchlens.plans.league_views import LeagueInputs
+from pitchlens.sources.tables import stored_copy
 
 
 class LeagueModels:
-    """``segment_gameweeks``: split every team / player window into blocks of
-    that many gameweeks (exact; for histories where one key can hold a large
-    share of the rows, e.g. all competitions of a club over many seasons).
-    ``None`` (default) keeps one window partition per key: a team plays at
-    most one match per gameweek and a player one per fixture, so a key's
-    history is bounded by the season length and a plain window is cheapest."""
-
-    def __init__(self, raw: LeagueInputs, on_fixture: bool = False,
-                 segment_gameweeks: int | None = None):
+    """``season``: the input columns that tell seasons (and competitions) apart;
+    none for inputs of one season.  They lead every window key, every lookup and
+    every output."""
+
+    def __init__(self, raw: LeagueInputs, on_fixture: bool = False, season: Sequence[str] = ()):
         self.raw = raw
         self.on_fixture = on_fixture
-        self.segment_gameweeks = segment_gameweeks
-
-    @property
-    def segment(self) -> Column | None:
-        return I.season_block(self.segment_gameweeks)
+        self.season = tuple(season)
 
     # staging (views) ---------------------------------------------------
     @cached_property
     def stg_players(self) -> DataFrame:
-        return S.stg_players(self.raw.players)
+        return S.stg_players(self.raw.players, self.season)
 
     @cached_property
     def stg_teams(self) -> DataFrame:
-        return S.stg_teams(self.raw.teams, self.raw.team_mapping)
+        return S.stg_teams(self.raw.teams, self.raw.team_mapping, self.season)
 
     @cached_property
     def stg_fixtures(self) -> DataFrame:
-        return S.stg_fixtures(self.raw.fixtures)
+        return S.stg_fixtures(self.raw.fixtures, self.season)
 
     @cached_property
     def stg_matches(self) -> DataFrame:
@@ -55,53 +51,55 @@ class LeagueModels:
 
     @cached_property
     def stg_player_gameweeks(self) -> DataFrame:
-        return S.stg_player_gameweeks(self.raw.player_gameweeks)
+        return S.stg_player_gameweeks(self.raw.player_gameweeks, self.season)
 
     # intermediate (views) ----------------------------------------------
     @cached_property
     def team_performance(self) -> DataFrame:
-        return I.team_performance(self.stg_fixtures, lag=0, segment=self.segment)
+        return I.team_performance(self.stg_fixtures, 0, self.season)
 
     @cached_property
     def team_performance_lagged(self) -> DataFrame:
-        return I.team_performance(self.stg_fixtures, lag=1, segment=self.segment)
+        return I.team_performance(self.stg_fixtures, 1, self.season)
 
     @cached_property
     def player_rolling(self) -> DataFrame:
-        return I.player_rolling(self.stg_player_gameweeks, self.stg_players, lag=0, segment=self.segment)
+        return I.player_rolling(self.stg_player_gameweeks, self.stg_players, 0, self.season)
 
     @cached_property
     def player_rolling_lagged(self) -> DataFrame:
-        return I.player_rolling(self.stg_player_gameweeks, self.stg_players, lag=1, segment=self.segment)
-
-    @cached_property
-    def latest_team_stats(self) -> DataFrame:
-        return I.latest_team_stats(self.team_performance)
+        return I.player_rolling(self.stg_player_gameweeks, self.stg_players, 1, self.season)
 
     @cached_property
     def fixture_difficulty(self) -> DataFrame:
-        return I.fixture_difficulty(self.stg_fixtures, self.team_performance, self.stg_teams,
-                                    team_stats=self.latest_team_stats, segment=self.segment)
+        return I.fixture_difficulty(self.stg_fixtures, self.latest_team_stats, self.stg_teams, season=self.season)
 
     def upcoming_head(self, horizon: int) -> DataFrame:
         """fixture_difficulty cut to the next ``horizon`` fixtures per team."""
-        return I.fixture_difficulty(self.stg_fixtures, self.team_performance, self.stg_teams,
-                                    team_stats=self.latest_team_stats, horizon=horizon)
+        return I.fixture_difficulty(self.stg_fixtures, self.latest_team_stats, self.stg_teams, horizon, self.season)
+
+    # stored: read more than once ----------------------------------------
+    @cached_property
+    def latest_team_stats(self) -> DataFrame:
+        return stored_copy(I.latest_team_stats(self.team_performance, self.season), "latest-team-stats")
+
+    @cached_property
+    def team_stats_by_gameweek(self) -> DataFrame:
+        return stored_copy(M.team_stats_by_gameweek(self.team_performance_lagged, self.season), "team-stats-by-gameweek")
 
     # marts (full) ------------------------------------------------------
     @cached_property
     def player_picks(self) -> DataFrame:
-        return M.player_picks(self.stg_players, self.stg_teams, self.upcoming_head(1),
-                              self.team_performance, team_stats=self.latest_team_stats)
+        return M.player_picks(self.stg_players, self.stg_teams, self.upcoming_head(1), self.latest_team_stats, self.season)
 
     @cached_property
     def fixture_ticker(self) -> DataFrame:
-        return M.fixture_ticker(self.upcoming_head(M.TICKER_FIXTURES), self.stg_teams)
+        return M.fixture_ticker(self.upcoming_head(M.TICKER_FIXTURES), self.stg_teams, season=self.season)
 
     @cached_property
     def backtest_picks(self) -> DataFrame:
-        return M.backtest_picks(self.player_rolling_lagged, self.stg_fixtures,
-                                self.team_performance_lagged, on_fixture=self.on_fixture)
+        return M.backtest_picks(self.player_rolling_lagged, self.stg_fixtures, self.team_stats_by_gameweek,
+                                on_fixture=self.on_fixture, season=self.season)
 
     @cached_property
     def weekly_top_picks(self) -> DataFrame:

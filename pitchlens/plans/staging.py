@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,10 +22,15 @@ def _zero(c: str):
     return F.coalesce(F.col(c), F.lit(0))
 
 
-def stg_players(players: DataFrame) -> DataFrame:
-    """M1: one row per available player (status NULL or 'u' is dropped)."""
+def stg_players(players: DataFrame, season: Sequence[str] = ()) -> DataFrame:
+    """M1: one row per available player (status NULL or 'u' is dropped).
+
+    ``season`` names the columns that tell seasons (and competitions) apart,
+    here and in the other models; they come first in every output.
+    """
     num = C.text_number
     return players.where(F.col("status") != F.lit("u")).select(
+        *season,
         F.col("id").alias("player_id"),
         F.col("web_name").alias("player_name"),
         "first_name",
@@ -59,10 +66,11 @@ def stg_players(players: DataFrame) -> DataFrame:
     )
 
 
-def stg_teams(teams: DataFrame, team_mapping: DataFrame) -> DataFrame:
+def stg_teams(teams: DataFrame, team_mapping: DataFrame, season: Sequence[str] = ()) -> DataFrame:
     """M2: teams with strength ratings and their match-feed name (left join)."""
     t, m = teams.alias("t"), team_mapping.alias("m")
     return t.join(m, F.col("t.id") == F.col("m.fpl_team_id"), "left").select(
+        *[F.col(f"t.{c}").alias(c) for c in season],
         F.col("t.id").alias("team_id"),
         F.col("t.name").alias("team_name"),
         F.col("t.short_name").alias("short_name"),
@@ -74,9 +82,10 @@ def stg_teams(teams: DataFrame, team_mapping: DataFrame) -> DataFrame:
     )
 
 
-def stg_fixtures(fixtures: DataFrame) -> DataFrame:
+def stg_fixtures(fixtures: DataFrame, season: Sequence[str] = ()) -> DataFrame:
     """M3: scheduled fixtures (gameweek known) with result label."""
     return fixtures.where(F.col("event").isNotNull()).select(
+        *season,
         F.col("id").alias("fixture_id"),
         F.col("event").alias("gameweek"),
         "finished",
@@ -92,7 +101,8 @@ def stg_fixtures(fixtures: DataFrame) -> DataFrame:
 
 
 # Every leaf is read as text and cast afterwards, exactly like a JSON path
-# extraction followed by CAST (so malformed numbers raise instead of nulling).
+# extraction followed by CAST: malformed numbers raise in the cast, malformed
+# documents in the parser (FAILFAST); nothing malformed turns into NULL.
 _TEAM_JSON = T.StructType([T.StructField("id", T.StringType()), T.StructField("name", T.StringType())])
 _SIDES = T.StructType([T.StructField("home", T.StringType()), T.StructField("away", T.StringType())])
 _SCORE_JSON = T.StructType([
@@ -106,9 +116,9 @@ def stg_matches(pl_matches: DataFrame) -> DataFrame:
     """M4: match-feed results; JSON columns parsed once each."""
     parsed = pl_matches.where(F.col("status").isin(KEPT_MATCH_STATUSES)).select(
         "id", "matchday", "utc_date", "status",
-        F.from_json("home_team", _TEAM_JSON).alias("h"),
-        F.from_json("away_team", _TEAM_JSON).alias("a"),
-        F.from_json("score", _SCORE_JSON).alias("s"),
+        C.parsed_json("home_team", _TEAM_JSON).alias("h"),
+        C.parsed_json("away_team", _TEAM_JSON).alias("a"),
+        C.parsed_json("score", _SCORE_JSON).alias("s"),
     )
     return parsed.select(
         F.col("id").alias("match_id"),
@@ -127,10 +137,11 @@ def stg_matches(pl_matches: DataFrame) -> DataFrame:
     )
 
 
-def stg_player_gameweeks(player_gameweeks: DataFrame) -> DataFrame:
+def stg_player_gameweeks(player_gameweeks: DataFrame, season: Sequence[str] = ()) -> DataFrame:
     """M5: one row per player and fixture actually played (minutes > 0)."""
     num = C.text_number
     return player_gameweeks.where(F.col("minutes") > F.lit(0)).select(
+        *season,
         F.col("element").alias("player_id"),
         F.col("round").alias("gameweek"),
         F.col("fixture").alias("fixture_id"),

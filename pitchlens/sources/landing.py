@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pitchlens.functions.columns import parsed_json
+
 
 def read_documents(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """Read JSON documents (JSON Lines by default) with a fixed schema."""
@@ -29,7 +31,7 @@ def _as_struct(docs: DataFrame, doc_col: str, field: str, elem_schema: T.StructT
         if elem_schema is None:
             raise ValueError("a JSON text column needs elem_schema")
         doc_schema = T.StructType([T.StructField(field, T.ArrayType(elem_schema))])
-        return F.from_json(F.col(doc_col), doc_schema).getField(field)
+        return parsed_json(doc_col, doc_schema).getField(field)
     return F.col(doc_col).getField(field)
 
 
@@ -38,22 +40,25 @@ def explode_payload(docs: DataFrame, field: str, elem_schema: T.StructType | Non
     """One record array of every document -> one row per record.
 
     ``doc_col`` is a parsed struct or JSON text (then ``elem_schema`` gives the
-    record type).  NULL or empty arrays give no rows.
+    record type).  NULL or empty arrays give no rows; a document that doesn't parse
+    fails the load (a truncated one, a value of another type, blank text).
     """
     arr = _as_struct(docs, doc_col, field, elem_schema)
     return docs.select(*keep, F.inline(arr))
 
 
-def load_array(spark: SparkSession, path: str, elem_schema: T.StructType, root: str | None = None) -> DataFrame:
-    """A top-level JSON array (``root=None``) or the array under ``root``.
+def load_array(spark: SparkSession, path: str, elem_schema: T.StructType, root: str | None = None,
+               multi_line: bool = True) -> DataFrame:
+    """Top-level JSON arrays (``root=None``) or the arrays under ``root``.
 
     Spark turns a top-level array into one row per element; an array under a
-    key is read as a one-field document and exploded.
+    key is read as a one-field document and exploded.  Documents are whole files,
+    or lines with ``multi_line=False`` (then a large file splits over tasks).
     """
     if root is None:
-        return read_documents(spark, path, elem_schema, multi_line=True)
+        return read_documents(spark, path, elem_schema, multi_line)
     schema = T.StructType([T.StructField(root, T.ArrayType(elem_schema))])
-    return read_documents(spark, path, schema, multi_line=True).select(F.inline(F.col(root)))
+    return read_documents(spark, path, schema, multi_line).select(F.inline(F.col(root)))
 
 
 def flatten_history(entity_docs: DataFrame, entities: DataFrame, active: Column, entity_key: str,

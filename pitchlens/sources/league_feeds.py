@@ -3,21 +3,28 @@
 Declared schemas (never inferred) for the fantasy feed's documents --
 the bootstrap document (``elements``, ``teams``, ``events``), the fixtures
 array and the per-player history documents -- and for the match feed's
-``matches`` document.  Only the fields the models read are declared; JSON
-keys keep their names, top-level columns become snake_case (S7), and the
-match feed's nested team / score objects stay JSON text (S5), which the
-staging model parses.
+``matches``, ``standings`` and ``scorers`` documents.  The declared fields are those
+the models read; every record also keeps its whole source text in ``_record``, so
+no other field is lost.  JSON keys keep their names, top-level columns become
+snake_case (S7), and the match feed's nested team / score objects stay JSON
+text (S5), which the staging model parses.
+
+``store_raw_tables`` parses every document once and stores each raw table whole,
+replacing the last load (S6); the models read the stored tables.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchlens.plans.league_views import LeagueInputs
-from pitchlens.sources.landing import explode_payload, flatten_history, nested_as_json, normalize_columns, read_documents
-from pitchlens.sources.tables import TEAM_MAPPING_SCHEMA, load_seed
+from pitchlens.functions.columns import parsed_json
+from pitchlens.sources.landing import nested_as_json, normalize_columns
+from pitchlens.sources.tables import TEAM_MAPPING_SCHEMA, load_seed, read_table, replace_table, stored_copy
 
 L, S, B, TS = T.LongType(), T.StringType(), T.BooleanType(), T.TimestampType()
 
@@ -61,55 +68,101 @@ MATCH_FIELDS = {
     "id": L, "matchday": L, "utcDate": TS, "status": S, "homeTeam": _TEAM_REF, "awayTeam": _TEAM_REF,
     "score": _struct({"winner": S, "fullTime": _SIDE, "halfTime": _SIDE}),
 }
+STANDING_FIELDS = {
+    "position": L, "team": _TEAM_REF, "playedGames": L, "won": L, "draw": L, "lost": L, "points": L,
+    "goalsFor": L, "goalsAgainst": L, "goalDifference": L,
+}
+SCORER_FIELDS = {
+    "player": _TEAM_REF, "team": _TEAM_REF, "playedMatches": L, "goals": L, "assists": L, "penalties": L,
+}
+RECORD = "_record"
+
 
-BOOTSTRAP_SCHEMA = _struct({
-    "elements": T.ArrayType(_struct(PLAYER_FIELDS)),
-    "teams": T.ArrayType(_struct(TEAM_FIELDS)),
-    "events": T.ArrayType(_struct(GAMEWEEK_FIELDS)),
-})
-HISTORY_DOC_SCHEMA = _struct({"history": T.ArrayType(_struct(HISTORY_FIELDS))})
-MATCHES_DOC_SCHEMA = _struct({"matches": T.ArrayType(_struct(MATCH_FIELDS))})
+def whole_records(docs: DataFrame, field: str, fields: dict, doc_col: str = "value") -> DataFrame:
+    """S1 over document texts: the declared fields of each record of array ``field``
+    (of the top-level array when empty), and its whole text in ``_record``.
+
+    The records are taken as variants, so nothing undeclared is dropped; a document
+    or field that doesn't parse fails the load.
+    """
+    whole = F.parse_json(doc_col)
+    array = F.variant_get(whole, f"$.{field}" if field else "$", "array<variant>")
+    kept = [c for c in docs.columns if c != doc_col]
+    rows = docs.select(*kept, F.explode(array).alias("v")).select(*kept, F.to_json("v").alias(RECORD))
+    parsed = rows.withColumn("r", parsed_json(RECORD, _struct(fields)))
+    return parsed.select(*kept, "r.*", RECORD)
+
+
+def read_texts(spark: SparkSession, path: str) -> DataFrame:
+    """One row per landed file: its text and name."""
+    return spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("file"))
 
 
 def land_bootstrap(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """Players, teams and gameweeks from bootstrap documents."""
-    docs = read_documents(spark, path, BOOTSTRAP_SCHEMA, multi_line=True)
-    doc = docs.select(F.struct(*docs.columns).alias("doc"))
-    return {"players": explode_payload(doc, "elements"), "teams": explode_payload(doc, "teams"),
-            "gameweeks": explode_payload(doc, "events")}
+    docs = read_texts(spark, path).select("value")
+    return {"players": whole_records(docs, "elements", PLAYER_FIELDS), "teams": whole_records(docs, "teams", TEAM_FIELDS),
+            "gameweeks": whole_records(docs, "events", GAMEWEEK_FIELDS)}
 
 
 def land_fixtures(spark: SparkSession, path: str) -> DataFrame:
     """The fixtures endpoint is a top-level array."""
-    return read_documents(spark, path, _struct(FIXTURE_FIELDS), multi_line=True)
+    return whole_records(read_texts(spark, path).select("value"), "", FIXTURE_FIELDS)
 
 
 def land_histories(spark: SparkSession, path: str, players: DataFrame) -> DataFrame:
-    """S3: per-player history documents (one file per player, ``element-<id>.json``)
-    of active players (minutes, missing -> 0, > 0)."""
-    docs = read_documents(spark, path, HISTORY_DOC_SCHEMA, multi_line=True)
-    docs = docs.select(
-        F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)", 1).cast("bigint").alias("player"),
-        F.struct("history").alias("doc"))
-    active = F.coalesce(F.col("minutes"), F.lit(0)) > F.lit(0)
-    return flatten_history(docs, players, active, "id", "player")
+    """S3: per-player history documents (files ``element-<id>.json``) of active
+    players (minutes, missing -> 0, > 0).  A file of another name fails the load."""
+    docs = read_texts(spark, path)
+    number = F.regexp_extract("file", r"^element-([0-9]+)\.json$", 1)
+    docs = docs.select("value", F.when(number != "", number.cast("bigint")).otherwise(
+        F.raise_error(F.concat(F.lit("not a history document: "), F.col("file")))).alias("player"))
+    active = players.where(F.coalesce(F.col("minutes"), F.lit(0)) > F.lit(0)).select(F.col("id").alias("player"))
+    return whole_records(docs.join(active, "player", "left_semi"), "history", HISTORY_FIELDS).drop("player")
+
+
+def _match_feed(rows: DataFrame) -> DataFrame:
+    """S7 + S5: snake_case columns, nested objects as JSON text."""
+    return nested_as_json(normalize_columns(rows), depth=0)
 
 
 def land_matches(spark: SparkSession, path: str) -> DataFrame:
-    """S1 + S7 + S5: match rows, snake_case columns, nested objects as JSON text."""
-    docs = read_documents(spark, path, MATCHES_DOC_SCHEMA, multi_line=True)
-    rows = explode_payload(docs.select(F.struct("matches").alias("doc")), "matches")
-    return nested_as_json(normalize_columns(rows), depth=0)
+    """Match rows."""
+    return _match_feed(whole_records(read_texts(spark, path).select("value"), "matches", MATCH_FIELDS))
+
+
+def land_standings(spark: SparkSession, path: str) -> DataFrame:
+    """Table rows of every standing, with the standing's type as ``standing_type``."""
+    docs = read_texts(spark, path).select("value")
+    outer = whole_records(docs, "standings", {"type": S}).select(F.col("type").alias("standing_type"), F.col(RECORD).alias("value"))
+    return _match_feed(whole_records(outer, "table", STANDING_FIELDS))
+
+
+def land_scorers(spark: SparkSession, path: str) -> DataFrame:
+    """Top scorers."""
+    return _match_feed(whole_records(read_texts(spark, path).select("value"), "scorers", SCORER_FIELDS))
+
+
+def store_raw_tables(spark: SparkSession, tables: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """Write every raw table whole and return readers of the stored tables.
+
+    All tables are parsed into a load folder before any is replaced, so a document
+    that doesn't parse leaves the last load as it was.
+    """
+    loaded = {name: stored_copy(df, f"load-{name}") for name, df in tables.items()}
+    for name, df in loaded.items():
+        replace_table(df, f"{root.rstrip('/')}/{name}")
+    return {name: read_table(spark, f"{root.rstrip('/')}/{name}") for name in tables}
 
 
 def league_inputs_from_feeds(spark: SparkSession, bootstrap: str, fixtures: str, histories: str,
-                             matches: str, team_mapping_csv: str) -> LeagueInputs:
-    boot = land_bootstrap(spark, bootstrap)
-    return LeagueInputs(
-        fixtures=land_fixtures(spark, fixtures),
-        teams=boot["teams"],
-        team_mapping=load_seed(spark, team_mapping_csv, TEAM_MAPPING_SCHEMA),
-        players=boot["players"],
-        player_gameweeks=land_histories(spark, histories, boot["players"]),
-        pl_matches=land_matches(spark, matches),
-    )
+                             matches: str, team_mapping_csv: str, raw_root: str) -> LeagueInputs:
+    """Land the feeds, store the raw tables under ``raw_root`` and read them as the models' inputs."""
+    boot = store_raw_tables(spark, land_bootstrap(spark, bootstrap), raw_root)
+    raw = store_raw_tables(spark, {
+        "fixtures": land_fixtures(spark, fixtures),
+        "player_gameweeks": land_histories(spark, histories, boot["players"]),
+        "pl_matches": land_matches(spark, matches),
+    }, raw_root)
+    return LeagueInputs(teams=boot["teams"], players=boot["players"],
+                        team_mapping=load_seed(spark, team_mapping_csv, TEAM_MAPPING_SCHEMA), **raw)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,14 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet",
     writer.save(path)
 
 
+def stored_copy(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and return a reader of the files: a
+    lineage cut that survives the loss of any executor."""
+    path = f"{checkpoint_root(df.sparkSession)}/pitchlens-{tag}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def load_seed(spark: SparkSession, path: str, schema: T.StructType = TEAM_MAPPING_SCHEMA) -> DataFrame:
     """CSV with a header row and a fixed schema; malformed rows fail the load."""
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)

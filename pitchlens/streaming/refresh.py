@@ -2,12 +2,15 @@
 
 The reference refreshes weekly: a new payload is fetched and every raw table
 is replaced.  As a Structured Streaming job this is a file source over the
-landing folder and a ``foreachBatch`` sink: each micro-batch holds the newly
-landed payload documents, the newest document wins (a backlog of several
-weeks replaces the tables once, with the latest week), its record arrays are
-exploded (S1) and each table is overwritten (S6).  The checkpoint (offsets of
-files already processed) lives under the cluster's shared checkpoint folder,
-so a restarted job resumes without reloading old files.
+landing folder and a ``foreachBatch`` sink.  A load is a folder of files
+(``<landing>/<load>/*.json``; files directly in the landing folder are one load):
+each micro-batch holds the newly landed documents, the newest load wins with all
+its files (a backlog of several weeks replaces the tables once), its record arrays
+are exploded (S1) and each table is overwritten (S6).  All tables are parsed and
+stored aside before any is replaced, so a document that doesn't parse stops the
+batch and leaves every table alone.  The checkpoint (offsets of files already
+processed) lives under the cluster's shared checkpoint folder, so a restarted job
+resumes without reloading old files.
 
 Run it on a schedule with ``trigger(availableNow=True)``: it processes what
 has landed and stops.
@@ -24,31 +27,33 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pitchlens.session import checkpoint_root
 from pitchlens.sources.landing import explode_payload
-from pitchlens.sources.tables import replace_table
+from pitchlens.sources.tables import replace_table, stored_copy
 
-_MTIME, _FILE = "__pl_mtime", "__pl_file"
+_MTIME, _LOAD = "__pl_mtime", "__pl_load"
 
 
-def latest_document(batch: DataFrame) -> DataFrame:
-    """Rows of the newest landed file in the batch (by modification time, then name)."""
-    newest = batch.select(F.max(F.struct(_MTIME, _FILE)).alias("m")).scalar()
-    return batch.where(F.struct(_MTIME, _FILE) == newest)
+def latest_load(batch: DataFrame) -> DataFrame:
+    """All documents of the newest load in the batch (by its last modification time, then name)."""
+    newest = batch.select(F.max(F.struct(_MTIME, _LOAD)).getField(_LOAD)).scalar()
+    return batch.where(F.col(_LOAD) == newest)
 
 
 def replace_tables_from_payload(batch: DataFrame, tables: Mapping[str, str], out_root: str) -> None:
     """``tables`` maps an array field of the document to a table name."""
-    doc = latest_document(batch)
+    doc = latest_load(batch)
     doc = doc.select(F.struct(*[c for c in doc.columns if not c.startswith("__pl_")]).alias("doc"))
-    for field, table in tables.items():
-        replace_table(explode_payload(doc, field), f"{out_root.rstrip('/')}/{table}")
+    parsed = {table: stored_copy(explode_payload(doc, field), f"load-{table}") for field, table in tables.items()}
+    for table, rows in parsed.items():
+        replace_table(rows, f"{out_root.rstrip('/')}/{table}")
 
 
 def start_refresh(spark: SparkSession, landing_dir: str, doc_schema: T.StructType,
                   tables: Mapping[str, str], out_root: str, name: str = "bootstrap",
                   available_now: bool = True) -> StreamingQuery:
-    stream = (spark.readStream.schema(doc_schema).option("multiLine", True).json(landing_dir)
+    stream = (spark.readStream.schema(doc_schema).option("multiLine", True).option("mode", "FAILFAST")
+              .option("recursiveFileLookup", True).json(landing_dir)
               .select("*", F.col("_metadata.file_modification_time").alias(_MTIME),
-                      F.col("_metadata.file_path").alias(_FILE)))
+                      F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias(_LOAD)))
     checkpoint = f"{checkpoint_root(spark).rstrip('/')}/streams/{name}"
 
     def sink(batch: DataFrame, _epoch: int) -> None:

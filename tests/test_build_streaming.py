@@ -4,6 +4,7 @@ import json
 import os
 import time
 
+import pytest
 from pyspark.sql import types as T
 
 from pitchlens.plans.league_views import league_inputs
@@ -31,24 +32,39 @@ ELEM = T.StructType([T.StructField("id", T.LongType()), T.StructField("web_name"
 DOC = T.StructType([T.StructField("elements", T.ArrayType(ELEM)), T.StructField("teams", T.ArrayType(ELEM))])
 
 
-def test_streaming_refresh_replaces_with_latest_payload(spark, tmp_dir):
-    landing, out = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "raw")
-    os.makedirs(landing)
-    for week, ids in ((1, [1, 2, 3]), (2, [1, 2])):
-        p = os.path.join(landing, f"bootstrap-week{week}.json")
-        with open(p, "w") as f:
-            json.dump({"elements": [{"id": i, "web_name": f"p{i}"} for i in ids],
-                       "teams": [{"id": 9, "web_name": "t"}]}, f)
-        os.utime(p, (time.time() + week, time.time() + week))
-    q = start_refresh(spark, landing, DOC, {"elements": "players", "teams": "teams"}, out, name="t1")
+def _land(landing, load, name, doc, age):
+    os.makedirs(os.path.join(landing, load), exist_ok=True)
+    p = os.path.join(landing, load, name)
+    with open(p, "w") as f:
+        f.write(doc if isinstance(doc, str) else json.dumps(doc))
+    os.utime(p, (time.time() + age, time.time() + age))
+
+
+def _refresh(spark, landing, out, name):
+    q = start_refresh(spark, landing, DOC, {"elements": "players", "teams": "teams"}, out, name=name)
     q.awaitTermination(120)
-    players = spark.read.parquet(os.path.join(out, "players"))
-    assert sorted(r.id for r in players.collect()) == [1, 2]     # week 2 wins
+    return sorted(r.id for r in spark.read.parquet(os.path.join(out, "players")).collect())
+
+
+def test_streaming_refresh_replaces_with_the_latest_load(spark, tmp_dir):
+    landing, out = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "raw")
+    person = lambda i: {"id": i, "web_name": f"p{i}"}
+    _land(landing, "week1", "a.json", {"elements": [person(1), person(2), person(3)], "teams": []}, 1)
+    _land(landing, "week2", "a.json", {"elements": [person(1)], "teams": [person(9)]}, 2)
+    _land(landing, "week2", "b.json", {"elements": [person(2)], "teams": []}, 3)
+    assert _refresh(spark, landing, out, "t1") == [1, 2]      # week 2 wins, with both its files
     assert spark.read.parquet(os.path.join(out, "teams")).count() == 1
     # week 3 lands: the next run replaces again; old files are not re-read
-    p = os.path.join(landing, "bootstrap-week3.json")
-    with open(p, "w") as f:
-        json.dump({"elements": [{"id": 7, "web_name": "p7"}], "teams": []}, f)
-    q = start_refresh(spark, landing, DOC, {"elements": "players", "teams": "teams"}, out, name="t1")
-    q.awaitTermination(120)
-    assert [r.id for r in spark.read.parquet(os.path.join(out, "players")).collect()] == [7]
+    _land(landing, "week3", "a.json", {"elements": [person(7)], "teams": []}, 4)
+    assert _refresh(spark, landing, out, "t1") == [7]
+
+
+def test_a_corrupt_payload_stops_the_batch(spark, tmp_dir):
+    landing, out = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "raw")
+    _land(landing, "week1", "a.json", {"elements": [{"id": 1}], "teams": [{"id": 2}]}, 1)
+    assert _refresh(spark, landing, out, "t2") == [1]
+    _land(landing, "week2", "a.json", '{"elements": [{"id": 5}], "teams": [{"id"', 2)
+    with pytest.raises(Exception):
+        _refresh(spark, landing, out, "t2")
+    assert [r.id for r in spark.read.parquet(os.path.join(out, "players")).collect()] == [1]
+    assert spark.read.parquet(os.path.join(out, "teams")).count() == 1

@@ -139,7 +139,7 @@ def test_fixture_difficulty_edges(spark):
     ])
     stg = ST.stg_fixtures(fx)
     teams = spark.createDataFrame([(1, "One"), (2, "Two")], "team_id long, team_name string")
-    fd = I.fixture_difficulty(stg, I.team_performance(stg), teams)
+    fd = I.fixture_difficulty(stg, I.latest_team_stats(I.team_performance(stg)), teams)
     rows = {(r.team_id, r.gameweek): r for r in fd.collect()}
     # team 1 is at home in gw 2 -> opponent 2 plays away -> 2's away stats (none yet)
     assert rows[(1, 2)].opponent_venue_attack is None
@@ -176,7 +176,7 @@ def _backtest_inputs(spark):
         for gw in range(1, 7)])
     stg_fx = ST.stg_fixtures(fx)
     pr = I.player_rolling(ST.stg_player_gameweeks(pg), ST.stg_players(players), lag=1)
-    return pr, stg_fx, I.team_performance(stg_fx, lag=1)
+    return pr, stg_fx, M.team_stats_by_gameweek(I.team_performance(stg_fx, lag=1))
 
 
 def test_backtest_current_team_vs_played_fixture(spark):
@@ -196,27 +196,7 @@ def test_top_k_tie_lowest_id_first(spark):
     assert [r.player_id for r in M.weekly_top_picks(df, k=3).collect()] == [1, 2, 3]
 
 
-def test_attach_left_with_fact_side_predicate(spark):
-    from pitchlens.operators.enrich import attach, attach_many
-
-    fact = spark.createDataFrame([(1, 10, "home"), (2, 10, "away"), (3, 99, "home")],
-                                 "id long, team long, venue string")
-    dim = spark.createDataFrame([(10, "Ten", 1.5)], "team_id long, name string, stat double")
-    out = attach(fact, dim, {"team": "team_id"}, {"team_name": "name"},
-                 extra=F.col("f.venue") == F.lit("home"))
-    rows = {r.id: r.team_name for r in out.collect()}
-    assert rows == {1: "Ten", 2: None, 3: None}      # unmatched rows stay, with NULLs
-    both = attach_many(fact, [(dim, {"team": "team_id"}, {"n1": "name"}),
-                              (dim, {"team": "team_id"}, {"s2": "stat"})])
-    assert {r.id: (r.n1, r.s2) for r in both.collect()}[2] == ("Ten", 1.5)
-
-
 def test_column_helpers(spark):
-    df = spark.createDataFrame([(1, None, 2), (None, 3, 4)], "a long, b long, fdr long")
-    out = C.with_defaults(df, {"a": 0, "b": 7})
-    assert [(r.a, r.b) for r in out.collect()] == [(1, 7), (0, 3)]
-    renamed = C.select_renamed(df, [("x", "fdr"), ("y", F.col("a") + 1)])
-    assert renamed.columns == ["x", "y"]
     labels = spark.createDataFrame([(1,), (2,), (3,), (4,), (5,), (None,)], "fdr long").select(
         C.bucket_label("fdr").alias("l")).collect()
     assert [r.l for r in labels] == ["easy", "easy", "medium", "hard", "hard", None]
@@ -226,3 +206,46 @@ def test_column_helpers(spark):
     pts = spark.createDataFrame([("home_win",), ("draw",), ("away_win",), (None,)], "r string").select(
         C.result_points("r", "home_win").alias("p")).collect()
     assert [r.p for r in pts] == [3, 1, 0, 0]
+
+
+BROKEN = ['{"id": 5, "name": "A"', "", "  ", "not json"]
+
+
+@pytest.mark.parametrize("text", BROKEN)
+@pytest.mark.parametrize("column", ["home_team", "score"])
+def test_a_broken_match_document_raises(spark, text, column):
+    row = {"home_team": '{"id": 5}', "away_team": '{"id": 6}', "score": '{"winner": null}', column: text}
+    df = spark.createDataFrame([(1, 1, None, "FINISHED", row["home_team"], row["away_team"], row["score"])],
+                               "id long, matchday long, utc_date timestamp_ntz, status string, "
+                               "home_team string, away_team string, score string")
+    with pytest.raises(Exception):
+        ST.stg_matches(df).collect()
+
+
+@pytest.mark.parametrize("text", BROKEN)
+def test_a_broken_document_has_no_path(spark, text):
+    df = spark.createDataFrame([('{"k": 1}',), (None,), ('{"k": null}',), ("{}",)], "d string")
+    assert [r.k for r in df.select(C.json_int("d", "$.k").alias("k")).collect()] == [1, None, None, None]
+    with pytest.raises(Exception):
+        df.union(spark.createDataFrame([(text,)], "d string")).select(C.json_text("d", "$.k").alias("k")).collect()
+
+
+def test_latest_value_may_be_null(spark):
+    """D1 takes the last row's value, NULL too; D2 the last row where its probe is set."""
+    from pitchlens.operators.latest import latest_values
+
+    df = spark.createDataFrame([(1, 1, 5.0, 7.0), (1, 2, None, 8.0), (1, 3, None, None), (2, 1, None, None)],
+                               "k long, t long, a double, b double")
+    rows = {r.k: r for r in latest_values(df, ["k"], ["t"], {"a": "a", "a_when_b": ("a", "b"), "b": ("b", "b")}).collect()}
+    assert (rows[1].a, rows[1].a_when_b, rows[1].b) == (None, None, 8.0)
+    assert (rows[2].a, rows[2].a_when_b, rows[2].b) == (None, None, None)
+
+
+def test_seasons_start_anew(spark):
+    one = fixtures_df(spark, [fixture(i, i, home=1, away=2, hs=1, as_=0) for i in (1, 2, 3)])
+    both = one.withColumn("season", F.lit(1)).unionByName(one.withColumn("season", F.lit(2)))
+    tp = I.team_performance(ST.stg_fixtures(both, ["season"]), season=["season"]).where("team_id = 1")
+    points = sorted((r.season, r.gameweek, r.season_points) for r in tp.collect())
+    assert points == [(s, g, 3 * g) for s in (1, 2) for g in (1, 2, 3)]
+    stats = I.latest_team_stats(tp, ["season"]).collect()
+    assert sorted((r.season, r.team_id) for r in stats) == [(1, 1), (2, 1)]

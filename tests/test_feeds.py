@@ -3,8 +3,12 @@
 import json
 import os
 
+import pytest
+
 from pitchlens.plans.models import LeagueModels
-from pitchlens.sources.league_feeds import league_inputs_from_feeds
+from pitchlens.sources.league_feeds import (
+    land_bootstrap, land_histories, land_scorers, land_standings, league_inputs_from_feeds, store_raw_tables,
+)
 
 
 def _player(pid, team, pos, form, minutes=900, status="a"):
@@ -53,8 +57,10 @@ def test_models_from_landed_feeds(spark, tmp_dir):
         f.write("fpl_team_id,fpl_name,fpl_short_name,football_data_name,football_data_id\n1,One,ONE,One FC,57\n")
 
     raw = league_inputs_from_feeds(spark, paths["bootstrap"], paths["fixtures"], hist_dir,
-                                   paths["matches"], seed)
+                                   paths["matches"], seed, os.path.join(tmp_dir, "raw"))
     m = LeagueModels(raw)
+    # fields that no model reads are kept in the record's text
+    assert all(json.loads(r["_record"])["unknown"] == 1 for r in raw.players.collect())
     # history of the inactive player (minutes 0) is not landed
     assert sorted({r.element for r in raw.player_gameweeks.collect()}) == [1, 2]
     matches_rows = {r.match_id: r for r in m.stg_matches.collect()}
@@ -67,3 +73,43 @@ def test_models_from_landed_feeds(spark, tmp_dir):
     assert picks[1].next_gw == 4 and picks[1].pick_score is not None
     assert m.backtest_picks.count() == 0              # gameweeks < 5 only
     assert m.player_rolling_lagged.count() == 6
+
+
+def test_standings_and_scorers(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "standings.json")
+    _write(path, {"standings": [
+        {"type": kind, "stage": "REGULAR", "table": [
+            {"position": k, "team": {"id": k, "name": f"T{k}"}, "playedGames": 3, "points": 9 - k, "form": "W"} for k in (1, 2)]}
+        for kind in ("TOTAL", "HOME")]})
+    rows = land_standings(spark, path).collect()
+    assert sorted((r.standing_type, r.position, r.played_games, r.points) for r in rows) == [
+        (kind, k, 3, 9 - k) for kind in ("HOME", "TOTAL") for k in (1, 2)]
+    assert all(json.loads(r.team)["name"] == f"T{r.position}" and json.loads(r["_record"])["form"] == "W" for r in rows)
+    path = os.path.join(tmp_dir, "scorers.json")
+    _write(path, {"scorers": [{"player": {"id": 4, "name": "P"}, "team": {"id": 1}, "goals": 7, "playedMatches": 5}]})
+    row = land_scorers(spark, path).collect()[0]
+    assert (json.loads(row.player)["name"], row.goals, row.played_matches) == ("P", 7, 5)
+
+
+def test_a_broken_load_leaves_the_tables(spark, tmp_dir):
+    good, bad, root = (os.path.join(tmp_dir, n) for n in ("good.json", "bad.json", "raw"))
+    _write(good, {"elements": [{"id": 1}], "teams": [{"id": 2}], "events": []})
+    with open(bad, "w") as f:
+        f.write('{"elements": [{"id": 9}], "teams": [{"id"')
+    store_raw_tables(spark, land_bootstrap(spark, good), root)
+    with pytest.raises(Exception):
+        store_raw_tables(spark, land_bootstrap(spark, bad), root)
+    _write(bad, {"elements": [{"id": 9}], "teams": [{"id": "two"}], "events": []})
+    with pytest.raises(Exception):
+        store_raw_tables(spark, land_bootstrap(spark, bad), root)
+    assert [r.id for r in spark.read.parquet(f"{root}/players").collect()] == [1]
+    _write(good, {"elements": [{"id": 3}, {"id": 4}], "teams": [], "events": []})
+    stored = store_raw_tables(spark, land_bootstrap(spark, good), root)
+    assert sorted(r.id for r in stored["players"].collect()) == [3, 4] and stored["teams"].count() == 0
+
+
+def test_a_history_document_of_another_name_raises(spark, tmp_dir):
+    _write(os.path.join(tmp_dir, "other-7.json"), {"history": []})
+    players = spark.createDataFrame([(7, 90)], "id long, minutes long")
+    with pytest.raises(Exception):
+        land_histories(spark, tmp_dir, players).collect()

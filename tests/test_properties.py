@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from pitchlens.operators.rolling import Agg, ahead, rolling, rolling_by_subgroup, trailing
+from pitchlens.operators.rolling import Agg, ahead, cumulative, rolling, rolling_by_subgroup, sequence_number, trailing
+from pitchlens.operators.spread import spread_window
 from pitchlens.plans.intermediate import team_match_rows
 from pitchlens.plans.league_views import league_inputs
 from pitchlens.plans.models import LeagueModels
@@ -66,35 +67,62 @@ def test_fixture_ticker_sorted(models):
     assert rows == sorted(rows)
 
 
-def test_segmented_windows_equal_plain_on_a_hot_key(spark):
-    """All orders in one key (the worst skew): the (key, segment) windows must
-    give exactly what one window over the key gives."""
-    from pitchlens.operators.rolling import cumulative, sequence_number
+ORDER = ["o_orderdate", "o_orderkey"]
+KEYS = {
+    "one key": "1",
+    "few keys and NULL": "CASE WHEN o_custkey % 5 <> 0 THEN o_custkey % 40 END",
+    "a key per row": "o_orderkey",
+}
 
-    od = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select(
-        F.lit(1).alias("k"), "o_orderkey", "o_orderdate", "o_totalprice",
-        F.col("o_totalprice").cast("decimal(15,2)").alias("m"))
+
+def _orders(spark, key):
+    return spark.read.parquet(f"{SF_SMALL}/orders.parquet").select(
+        F.expr(key).alias("k"), "o_orderkey", "o_orderdate", "o_totalprice", F.col("o_totalprice").cast("decimal(15,2)").alias("m"))
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 400])
+@pytest.mark.parametrize("key", sorted(KEYS))
+def test_spread_windows_equal_plain_windows(spark, key, partitions):
+    """Whatever share of the rows a key has, and with ranges larger and smaller than
+    the frames (400 ranges: 3 or 4 rows each)."""
+    od = _orders(spark, KEYS[key])
     aggs = {
         "a3": Agg("avg", "o_totalprice", trailing(3)), "a5l": Agg("avg", "o_totalprice", trailing(5, lag=1)),
         "s5": Agg("sum", "m", trailing(5)), "c": Agg("sum", "m", cumulative()),
         "cl": Agg("sum", "m", cumulative(lag=1)), "n": Agg("count", None, cumulative()),
         "nl": Agg("count", None, cumulative(lag=1)), "ahead5": Agg("avg", "o_totalprice", ahead(5)),
     }
-    order = ["o_orderdate", "o_orderkey"]
-    plain = sequence_number(od, ["k"], order, "seq", aggs)
-    split = sequence_number(od, ["k"], order, "seq", aggs, segment=F.date_trunc("month", "o_orderdate"))
+    plain = sequence_number(od, ["k"], ORDER, "seq", aggs)
+    split = spread_window(od, ["k"], ORDER, aggs, "seq", partitions)
     assert [(f.name, f.dataType) for f in plain.schema] == [(f.name, f.dataType) for f in split.schema]
+    assert split.count() == plain.count()
     assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
 
 
-def test_segmented_keeps_null_keys_and_segments(spark):
-    df = spark.createDataFrame([(None, 1, 1.0), (None, 2, 2.0), (1, None, 3.0), (1, 5, 4.0)],
-                               "k long, t long, v double")
-    aggs = {"a": Agg("avg", "v", trailing(2))}
-    plain = rolling(df, ["k"], ["t"], aggs)
-    split = rolling(df, ["k"], ["t"], aggs, segment=F.col("t"))
-    assert split.count() == 4
-    assert plain.exceptAll(split).count() == 0
+@pytest.mark.parametrize("aggs", [
+    {"f": Agg("avg", "o_totalprice", ahead(5))}, {"p": Agg("avg", "o_totalprice", trailing(4, lag=1))},
+    {"n": Agg("count", None, cumulative())}])
+def test_spread_windows_of_one_kind(spark, aggs):
+    od = _orders(spark, KEYS["few keys and NULL"])
+    plain = rolling(od, ["k"], ORDER, aggs)
+    split = spread_window(od, ["k"], ORDER, aggs, partitions=50)
+    assert plain.exceptAll(split).count() == 0 and split.count() == plain.count()
+
+
+def test_running_sums_of_doubles_are_exact(spark):
+    """Bit-equal to the rule (the exact sum of the values, to 12 decimals), however
+    the rows are split."""
+    from decimal import Decimal
+
+    od = _orders(spark, KEYS["one key"]).withColumn("v", F.col("o_totalprice") / F.lit(7.0))
+    aggs = {"c": Agg("sum", "v", cumulative()), "m": Agg("avg", "v", cumulative(lag=1))}
+    got = [{r.o_orderkey: (r.c, r.m) for r in spread_window(od, ["k"], ORDER, aggs, partitions=n).collect()} for n in (1, 13)]
+    assert got[0] == got[1]
+    total, want = Decimal(0), {}
+    for r in od.withColumn("d", F.col("v").cast("decimal(38,12)")).orderBy(*ORDER).collect():
+        total += r.d
+        want[r.o_orderkey] = float(total)
+    assert {k: c for k, (c, _) in got[0].items()} == want
 
 
 def test_cut_before_lookahead_is_exact(models):
@@ -105,7 +133,7 @@ def test_cut_before_lookahead_is_exact(models):
 
 
 def test_first_n_with_ahead_on_a_hot_key(spark):
-    from pitchlens.operators.rolling import first_n_with_ahead, sequence_number
+    from pitchlens.operators.rolling import first_n_with_ahead
 
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").withColumn("user_id", F.lit(7))
     aggs = {"n3": Agg("avg", "value", ahead(3)), "p2": Agg("avg", "value", trailing(2))}
@@ -113,40 +141,3 @@ def test_first_n_with_ahead_on_a_hot_key(spark):
     full = sequence_number(ev, ["user_id"], order, "seq", aggs).where("seq <= 8")
     head = first_n_with_ahead(ev, ["user_id"], order, 8, "seq", aggs)
     assert head.count() == 8 and head.exceptAll(full).count() == 0
-
-
-@pytest.mark.parametrize("unit", ["day", "month", "year"])
-def test_segmented_any_segment_size(spark, unit):
-    """Segments smaller than the frame (one row a day) and larger ones alike."""
-    from pitchlens.operators.rolling import cumulative, sequence_number
-
-    od = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select(
-        (F.col("o_custkey") % 3).alias("k"), "o_orderkey", "o_orderdate", "o_totalprice",
-        F.col("o_totalprice").cast("decimal(15,2)").alias("m"))
-    aggs = {"a5": Agg("avg", "o_totalprice", trailing(5)), "a4l": Agg("avg", "o_totalprice", trailing(4, lag=1)),
-            "f5": Agg("avg", "o_totalprice", ahead(5)), "c": Agg("sum", "m", cumulative(lag=1)),
-            "n": Agg("count", None, cumulative())}
-    order = ["o_orderdate", "o_orderkey"]
-    plain = sequence_number(od, ["k"], order, "seq", aggs)
-    split = sequence_number(od, ["k"], order, "seq", aggs, segment=F.date_trunc(unit, "o_orderdate"))
-    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
-
-
-@pytest.mark.parametrize("min_hot_rows", [5, 10**9])
-def test_hot_key_split_equals_plain(spark, min_hot_rows):
-    """Hot keys split, others plain: same result whichever keys are hot."""
-    from pitchlens.operators.rolling import cumulative, sequence_number
-    from pitchlens.operators.segmented import hot_key_window
-
-    od = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select(
-        F.when(F.col("o_custkey") % 5 == 0, F.lit(None)).otherwise(F.col("o_custkey") % 4).alias("k"),
-        "o_orderkey", "o_orderdate", "o_totalprice",
-        F.col("o_totalprice").cast("decimal(15,2)").alias("m"))
-    aggs = {"a5": Agg("avg", "o_totalprice", trailing(5)), "f3": Agg("avg", "o_totalprice", ahead(3)),
-            "c": Agg("sum", "m", cumulative(lag=1)), "n": Agg("count", None, cumulative())}
-    order = ["o_orderdate", "o_orderkey"]
-    plain = sequence_number(od, ["k"], order, "seq", aggs)
-    split = hot_key_window(od, ["k"], order, aggs, F.date_trunc("month", "o_orderdate"), seq_col="seq",
-                           max_hot_keys=3, min_hot_rows=min_hot_rows)
-    assert plain.count() == split.count()
-    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0

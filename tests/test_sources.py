@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,3 +92,10 @@ def test_seed_grain_and_stored_models(spark, tmp_dir):
     TB.register_view("seed_view", s)
     assert TB.read_table(spark, "seed_view").count() == 3
     assert TB.read_table(spark, TB.model_path(spark, "m", tmp_dir)).count() == 1
+
+
+@pytest.mark.parametrize("text", ['{"elements": [{"id": 1, "minutes": 2}', '{"elements": [{"id": "x"}]}', "", "[1]"])
+def test_a_broken_document_fails_the_load(spark, text):
+    docs = spark.createDataFrame([('{"elements": [{"id": 1, "minutes": 2}]}',), (text,)], "doc string")
+    with pytest.raises(Exception):
+        L.explode_payload(docs, "elements", ELEM).collect()

@@ -2,9 +2,9 @@
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from pitchlens.operators.rolling import Agg, ahead, cumulative, first_n_with_ahead, sequence_number, trailing
+from pitchlens.operators.spread import spread_window
 
 AGGS = {
     "t3": Agg("avg", "v", trailing(3)), "t2l": Agg("sum", "v", trailing(2, lag=1)),
@@ -59,7 +59,7 @@ def test_windows_match_brute_force(spark, rows, width):
     df = spark.createDataFrame(rows, "k long, t long, v long")
     expected = brute(rows)
     plain = sequence_number(df, ["k"], ["t"], "seq", AGGS)
-    split = sequence_number(df, ["k"], ["t"], "seq", AGGS, segment=F.floor(F.col("t") / F.lit(width)))
+    split = spread_window(df, ["k"], ["t"], AGGS, "seq", partitions=width)
     for result in (plain, split):
         got = {(r.k, r.t): r.asDict() for r in result.collect()}
         assert set(got) == set(expected)
