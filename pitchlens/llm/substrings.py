@@ -164,11 +164,13 @@ def repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", gram: int
     if keep not in ("none", "first"):
         raise ValueError("keep is 'none' or 'first'")
     gram = gram or max(1, length // 2)
-    shared = _blocks(docs, length, gram, False).groupBy("anchor").count().where("count > 1").select("anchor")
+    # stored, so that both sides of the join are plain shuffles, which split where an anchor is hot
+    shared = stored(_blocks(docs, length, gram, False).groupBy("anchor").count().where("count > 1").select("anchor"),
+                    "repeat-anchors")
     blocks = stored(_blocks(docs, length, gram, True).join(shared, "anchor", "left_semi"), "repeat-blocks")
     kinds = stored(blocks.groupBy("anchor", "digest").agg(
         F.count("*").alias("n"), F.min(F.struct("key", "first", "last")).alias("rep")), "repeat-kinds")
-    several = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    several = stored(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"), "repeat-several")
     whole = blocks.join(kinds.where("n > 1").select("anchor", "digest", "rep"), ["anchor", "digest"])
     if keep == "first":
         whole = whole.where(~((F.col("key") == F.col("rep.key")) & (F.col("first") == F.col("rep.first"))))
