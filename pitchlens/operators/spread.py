@@ -21,8 +21,9 @@ range bounds are sampled), no threshold, no per-key counts.
 
 Bounded frames see the same rows in the same order as one window per key, so
 results are identical, doubles too.  Running sums and means of FLOAT / DOUBLE
-columns are added as DECIMAL(38, ``SCALE``) and then cast back: the result is the
-exact sum of the values cast so, however the rows are split.
+columns are added as DECIMAL(27, ``SCALE``) and then cast back: the result is the
+exact sum of the values cast so, however the rows are split (a value of 1e15 or
+more raises).
 
 Rows are kept as they are; NULL keys are a key like any other; ties in the order
 may come in any order, as in a plain window.
@@ -53,7 +54,7 @@ def _asc(order) -> list[Column]:
 def _exact(df: DataFrame, c) -> Column:
     """A running sum's input: exact whatever the order of adding."""
     kind = df.select(_col(c)).schema[0].dataType
-    return _col(c).cast(T.DecimalType(38, SCALE)) if isinstance(kind, (T.FloatType, T.DoubleType)) else _col(c)
+    return _col(c).cast(T.DecimalType(27, SCALE)) if isinstance(kind, (T.FloatType, T.DoubleType)) else _col(c)
 
 
 def running(df: DataFrame, agg, spec) -> tuple[Column, Column]:
@@ -68,6 +69,9 @@ def running(df: DataFrame, agg, spec) -> tuple[Column, Column]:
 def finished(agg, total: Column, n: Column, kind: T.DataType) -> Column:
     if agg.fn == "count":
         return n.cast(kind)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        # by way of text: the nearest double, which the direct cast misses for long decimals
+        total = total.cast("string").cast("double")
     return (total if agg.fn == "sum" else F.when(n > 0, total / n)).cast(kind)
 
 
