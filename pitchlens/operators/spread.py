@@ -136,7 +136,9 @@ def spread_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], aggs
     for k in bounded:
         columns[k] = F.when(F.col(f"e.{_P}").isNotNull(), F.col(f"e.__pl_f_{k}")).otherwise(F.col(f"r.__pl_b_{k}"))
     for i, (k, a) in enumerate(totals.items()):
-        s, t = F.col(f"r.__pl_s{i}"), F.col(f"o.__pl_os{i}")
+        # the sum of run totals has a wider type; cast back, or adding the two would cost a decimal
+        s = F.col(f"r.__pl_s{i}")
+        t = F.col(f"o.__pl_os{i}").cast(rows.schema[f"__pl_s{i}"].dataType)
         total = F.when(s.isNull() & t.isNull(), F.lit(None)).otherwise(F.coalesce(s, F.lit(0)) + F.coalesce(t, F.lit(0)))
         count = F.coalesce(f"r.__pl_n{i}", F.lit(0)) + F.coalesce(f"o.__pl_on{i}", F.lit(0))
         columns[k] = finished(a, total, count, kinds[k])
