@@ -2,19 +2,25 @@
 
 1. Shingles are ``SHINGLE`` consecutive words (white-space separated); a text
    of fewer words, but not none, is one shingle.  A shingle's weight in a text
-   is its count there times ln(1 + N / df).  df is counted over all documents
-   for ``FEATURES`` hashed features, a table of fixed size however large the
-   corpus is: frequent shingles stand out from it, rare ones share the largest
-   weight.
+   is its count there times a damped inverse frequency, ``FLOOR`` + (1 - ``FLOOR``)
+   ln(1 + N / df) / ln(1 + N): a rare shingle weighs up to a third more than the
+   commonest.  (Undamped, a passage that a large group of near copies shares counts
+   so little that the group's few edits make its members look unlike.)  df is
+   counted over all documents for ``FEATURES`` hashed features, a table of fixed
+   size however large the corpus is.
 2. Improved consistent weighted sampling draws ``BANDS * ROWS`` samples per
    distinct text; two texts agree in a sample with the probability of their
    weighted Jaccard similarity.  ``ROWS`` samples make a band.  At similarity
    0.8 two texts share none of the 13 bands with probability 9e-5.
-3. Candidates: in every band's bucket each text meets the bucket's smallest and
-   largest text; in later rounds, texts that are still in another class than a
-   differently chosen member meet that member.  A bucket's rows are only
-   aggregated and joined, so a bucket of a third of all texts splits like any
-   skewed join and never becomes pairs.
+3. Candidates are found by rounds; after each, verified links make classes.
+   First, in every band's bucket each text meets the bucket's smallest and
+   largest text: aggregations and joins that split like any skewed join.  What is
+   still in different classes then meets inside the bucket: in a task, block
+   against block, sketches are compared (a byte per sample), and only pairs whose
+   sketches agree leave the task: round k asks for each text's k * ``BEST`` best
+   agreeing texts of other classes, and rounds go on until one brings no link.
+   A bucket of more than ``BUCKET`` texts is first split by each second band its
+   texts have in common.
 4. Candidates are verified by the exact weighted Jaccard similarity of the
    whole texts, at least ``SIMILARITY``.
 5. Classes are the connected components of verified links, by label
@@ -31,6 +37,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -44,9 +51,10 @@ SHINGLE = 5
 SIMILARITY = 0.8
 ROWS, BANDS = 3, 13
 FEATURES = 1 << 18  # hashed features document frequencies are counted for
-ROUNDS = 3
-# a pair of at least SIMILARITY agrees in fewer of its samples with probability below 1e-6
-LEAST_AGREEING = 19
+FLOOR = 0.75  # weight of a shingle that every document has, against 1 for the rarest
+BUCKET, BEST = 4096, 8
+# a pair of at least SIMILARITY agrees in fewer of its samples with probability 3e-4 (0.85: 2e-6)
+LEAST_AGREEING = 22
 PIECE_BYTES = 1 << 20
 
 
@@ -156,7 +164,7 @@ def bands(sample: np.ndarray) -> np.ndarray:
 
 
 def inverse_frequencies(docs: DataFrame) -> np.ndarray:
-    """ln(1 + N / df) per hashed feature, over all documents; ``FEATURES`` numbers."""
+    """The damped inverse frequency per hashed feature, over all documents; ``FEATURES`` numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(FEATURES, np.int64)
@@ -173,7 +181,8 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     counts = np.zeros(FEATURES + 1, np.float64)
     for r in total.collect():  # FEATURES + 1 rows at most
         counts[r["feature"]] = r["n"]
-    return np.log1p(counts[-1] / np.maximum(counts[:-1], 1)).astype(np.float32) + np.float32(1e-6)
+    n = max(counts[-1], 1)
+    return (FLOOR + (1 - FLOOR) * np.log1p(n / np.maximum(counts[:-1], 1)) / np.log1p(n)).astype(np.float32)
 
 
 def text_digest():
@@ -221,6 +230,62 @@ def _agreeing(pairs: DataFrame) -> DataFrame:
     return map_batches(pairs.select("a", "sketch_a", "b", "sketch_b"), run, "a binary, b binary", batch_rows=10_000)
 
 
+def _split_buckets(members: DataFrame, bucket: int) -> DataFrame:
+    """band, node, sketch; buckets of more than ``bucket`` texts by pairs of bands."""
+    large = F.col("n") > bucket
+    small = members.where(~large).select("band", "node", "sketch")
+    pairs = (members.where(large).select("node", "sketch", "band", F.explode("bands").alias("second"))
+             .where("band != second").select(F.xxhash64("band", "second").alias("band"), "node", "sketch"))
+    return small.unionByName(pairs)
+
+
+def _across(members: DataFrame, best: int) -> DataFrame:
+    """Pairs (a, b) of a bucket's texts in different classes (root) whose sketches agree
+    often enough: each text's ``best``, in the bucket's largest class only as partners."""
+
+    def pairs(nodes: list, sketches: np.ndarray, roots: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
+        largest = np.bincount(roots).argmax()
+        own = np.flatnonzero(roots != largest)  # texts of the largest class needn't ask
+        for at in range(0, len(own), 64):
+            rows = own[at:at + 64]
+            near = np.concatenate([
+                (sketches[rows, None, :] == sketches[None, other:other + 2048, :]).sum(2, dtype=np.uint8)
+                for other in range(0, len(nodes), 2048)], axis=1)
+            near[roots[rows, None] == roots[None, :]] = 0
+            i, j = np.nonzero(near >= LEAST_AGREEING)
+            order = np.lexsort((-near[i, j].astype(int), i))
+            i, j = i[order], j[order]
+            rank = np.arange(len(i)) - np.searchsorted(i, i)
+            i, j = i[rank < best], j[rank < best]
+            yield from ((nodes[x], nodes[y]) for x, y in zip(rows[i].tolist(), j.tolist(), strict=True))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def found() -> Iterator[pa.RecordBatch]:
+            _, nodes, sketches, roots = zip(*held, strict=True)
+            ids = np.unique(np.array(roots, dtype=object), return_inverse=True)[1] if len(set(roots)) > 1 else None
+            if ids is not None:
+                table = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(nodes), -1)
+                out = {(min(x, y), max(x, y)) for x, y in pairs(nodes, table, ids)}
+                if out:
+                    a, b = zip(*sorted(out), strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+        for b in batches:
+            for row in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
+                if held and held[-1][0] != row[0]:
+                    yield from found()
+                    held = []
+                held.append(row)
+        if held:
+            yield from found()
+
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return map_batches(members.select("band", "node", "sketch", "root").repartition(n, "band").sortWithinPartitions("band"),
+                       run, "a binary, b binary", batch_rows=10_000)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, idf, similarity: float) -> DataFrame:
     """The pairs (a, b) whose whole texts are similar."""
 
@@ -265,43 +330,39 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("node", "root")
 
 
-def classes(docs: DataFrame, similarity: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
+def classes(docs: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKET) -> DataFrame:
     """Per distinct text with words: node (digest), class_id (smallest doc_id of its
     class), copies (documents with this text), links (verified links of the text)
     and class_size (documents in the class)."""
     spark: SparkSession = docs.sparkSession
     idf = spark.sparkContext.broadcast(inverse_frequencies(docs))  # FEATURES numbers
     nodes = stored(_texts(docs, idf), "near-texts")
-    rows = nodes.select("node", "sketch", F.explode("bands").alias("band"))
-    shared = rows.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high")).where("n > 1")
-    members = stored(rows.join(shared, "band").select("band", "node", "sketch", "low", "high"), "near-buckets")
+    rows = nodes.select("node", "sketch", "bands", F.explode("bands").alias("band"))
+    # stored, so that the join's sides are plain shuffles, which split where a bucket is hot
+    shared = stored(rows.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high"))
+                    .where("n > 1"), "near-shared")
+    members = stored(rows.join(shared, "band"), "near-buckets")
     sketches = members.groupBy("node").agg(F.first("sketch").alias("sketch"))
     texts = stored(docs.where("text is not null").select(text_digest().alias("node"), "text")
                    .join(sketches.select("node"), "node", "left_semi").dropDuplicates(["node"]), "near-text")
-    links = tried = roots = None
-    for k in range(rounds):
-        if k == 0:
-            pairs = members.select("node", "sketch", F.explode(F.array("low", "high")).alias("other"))
-        else:
-            own = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            center = own.groupBy("band").agg(
-                F.min_by(F.struct("node", "root"), F.struct(F.xxhash64("node", "band", F.lit(k)), "node")).alias("center"))
-            pairs = (own.join(center, "band").where("root != center.root")
-                     .select("node", "sketch", F.col("center.node").alias("other")))
-        pairs = (pairs.where("node != other")
-                 .select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a"), F.col("other").alias("b"))
-                 .dropDuplicates(["a", "b"])
-                 .join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b")), "b"))
-        pairs = (_agreeing(pairs).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "near-pairs")
-        if k and pairs.isEmpty():
-            break
-        found = stored(_verified(pairs, texts, idf, similarity), "near-links")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
+    buckets = stored(_split_buckets(members, bucket), "near-blocks")
+
+    # first round: the ends of every bucket
+    ends = (members.select("node", "sketch", F.explode(F.array("low", "high")).alias("other")).where("node != other")
+            .select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a"), F.col("other").alias("b"))
+            .dropDuplicates(["a", "b"])
+            .join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b")), "b"))
+    pairs = _agreeing(ends).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    tried = stored(pairs, "near-pairs")
+    links = stored(_verified(tried, texts, idf, similarity), "near-links")
+    for k in count(1):
         roots = components(links)
+        rooted = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        pairs = stored(_across(rooted, k * BEST).distinct().join(tried, ["a", "b"], "left_anti"), "near-pairs")
+        found = stored(_verified(pairs, texts, idf, similarity), "near-links")
+        if found.isEmpty():
+            break
+        tried, links = tried.unionByName(pairs), links.unionByName(found)
     ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
     named = nodes.select("node", "first", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     whole = named.groupBy("root").agg(F.min("first").alias("class_id"), F.sum("copies").alias("class_size"))
@@ -309,9 +370,9 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, rounds: int = ROUND
         "node", "class_id", "copies", F.coalesce("links", F.lit(0)).cast("long").alias("links"), "class_size"), "near-classes")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKET) -> DataFrame:
     """Per document: doc_id, class_id, copies, links, class_size."""
-    found = classes(docs, similarity)
+    found = classes(docs, similarity, bucket)
     return (docs.select("doc_id", text_digest().alias("node")).join(found, "node", "left")
             .select("doc_id",
                     F.when(F.col("copies").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),

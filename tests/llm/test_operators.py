@@ -158,17 +158,31 @@ def near_copies(rng, n_groups, copies, size=150):
     return out
 
 
-def test_near_duplicates_match_all_pairs(spark):
+@pytest.mark.parametrize("bucket", [neardup.BUCKET, 3])  # 3: every larger bucket is split by second bands
+def test_near_duplicates_match_all_pairs(spark, bucket):
     rng = random.Random(7)
     passage = words(rng, 60)
     texts = near_copies(rng, 6, 5) + [f"{words(rng, 60)} {passage} {words(rng, 60)}" for _ in range(15)]
     texts += ["one two", "one two", "one", None, "", " ", texts[0]]
     df = docs(spark, texts)
-    got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(clashing(df)).collect()}
+    got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(clashing(df), bucket=bucket).collect()}
     idf = neardup.inverse_frequencies(df)
     assert got == brute_classes(list(enumerate(texts)), idf)
 
 
+def test_a_chain_of_near_copies_is_one_class(spark):
+    """Neighbours are similar, the ends are not: links between members must not be lost."""
+    rng = random.Random(21)
+    w = words(rng, 150).split()
+    texts = []
+    for k in range(24):
+        texts.append(" ".join(w))
+        w[(k * 6) % 150] = f"y{k}"
+    df = docs(spark, rng.sample(texts, len(texts)))
+    got = {r["class_id"] for r in neardup.near_duplicates(df).collect()}
+    assert got == {0}
+
+
 def test_one_per_class_keeps_the_smallest_id(spark, mixed):
     many = clashing(mixed)
     kept = neardup.one_per_class(many)
