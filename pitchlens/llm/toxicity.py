@@ -92,6 +92,7 @@ class Model:
     rate: float = 1.0  # lambda
     log_k: float = 0.0
     weights: tuple[float, float, float] = (0.0, 1.0, 0.0)  # of the logistic function
+    lengths: tuple[float, float] = (0.0, 50.0)  # range of ln(1 + tokens) the function was fitted on
 
     def evidence(self, found: list[float], n: int) -> float:
         """Minus the logarithm of the chance of the text's best segments, at least 0."""
@@ -106,7 +107,8 @@ class Model:
     def score(self, evidence: float, n: int) -> float:
         if not self.scores:
             return 0.0
-        z = self.weights[0] + self.weights[1] * math.sqrt(evidence) + self.weights[2] * math.log1p(n)
+        length = min(max(math.log1p(n), self.lengths[0]), self.lengths[1])
+        z = self.weights[0] + self.weights[1] * math.sqrt(evidence) + self.weights[2] * length
         return 1 / (1 + math.exp(-z)) if z > -700 else 0.0
 
     def passages(self, words: list[str]) -> list[tuple[float, int, int]]:
@@ -228,7 +230,9 @@ def learn(docs: DataFrame, labels: DataFrame, max_terms: int = MAX_TERMS,
     model = Model(model.scores, model.rate, log_k)
     rows = with_best(sample, model, "toxic").select("evidence", "n", "toxic").collect()
     x = np.array([(math.sqrt(r["evidence"]), math.log1p(r["n"])) for r in rows])
-    return Model(model.scores, model.rate, log_k, fit_logistic(x, np.array([r["toxic"] for r in rows], float)))
+    low, high = map(float, np.quantile(x[:, 1], (0.05, 0.95)))
+    x[:, 1] = np.clip(x[:, 1], low, high)
+    return Model(model.scores, model.rate, log_k, fit_logistic(x, np.array([r["toxic"] for r in rows], float)), (low, high))
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, ...]:
