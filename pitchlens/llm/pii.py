@@ -147,7 +147,9 @@ def learned_patterns(occurrences: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     edges = stored(occurrences.groupBy("pattern", "instance").agg(F.count("*").alias("n"), F.max("kind").alias("kind")),
                    "pii-edges")
     # a pattern needs LEAST_SUPPORT instances, whatever their scores: others can't become trusted
-    able = edges.groupBy("pattern").agg(F.count("*").alias("support")).where(F.col("support") >= LEAST_SUPPORT)
+    # (nor can the start of a text, which has no tokens to tell contexts apart)
+    able = (edges.where(F.translate("pattern", "\x1f", "") != "").groupBy("pattern")
+            .agg(F.count("*").alias("support")).where(F.col("support") >= LEAST_SUPPORT))
     edges = stored(edges.join(able, "pattern"), "pii-edges")
     trust = edges.groupBy("instance").agg(F.max(F.col("kind").isNotNull().cast("double")).alias("trust"))
     for _ in range(rounds):

@@ -289,6 +289,7 @@ def test_patterns_find_unseen_identifiers(spark):
     texts += [f"{words(rng, 20)} api token = ZX{rng.randint(10**9, 10**10)}q {words(rng, 5)}" for _ in range(3)]
     texts += [f"{words(rng, 20)} version build{rng.randint(1000, 9999)}x {words(rng, 5)}" for _ in range(20)]
     texts += [None, "", "write to a.b@c.de or 10.0.0.1"]
+    texts += [f"+1 (234) 555-{k:04d} {words(rng, 5)}" for k in range(20)] + [f"12345678{k}2345678 x" for k in range(3)]
     got = {r["doc_id"]: r for r in pii.report(clashing(docs(spark, texts))).collect()}
     for i, t in enumerate(texts):
         base = pii.rendered(brute_base(t or ""))
@@ -297,6 +298,7 @@ def test_patterns_find_unseen_identifiers(spark):
         at = texts[i].index("token = ") + 8
         assert f"secret:{at}:{texts[i].index(' ', at)}" in got[i]["spans"].split(",")
     assert all(got[i]["spans"] == "" for i in range(23, 45))
+    assert all(got[i]["spans"] == pii.rendered(brute_base(t)) for i, t in enumerate(texts) if i > 45)  # a text's start teaches nothing
     assert got[45]["spans"] == "email:9:17,ip:21:29"
 
 
