@@ -184,9 +184,11 @@ def _log_odds(y1: Column, y0: Column, n1: float, n0: float, a: Column, mass: flo
 def learn(docs: DataFrame, labels: DataFrame, max_terms: int = MAX_TERMS,
           max_calibration: int = MAX_CALIBRATION) -> Model:
     """Learn from ``labels`` (doc_id, toxic 0/1) outside the held-out quarter."""
-    training = (docs.select("doc_id", "text").join(
-        labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out()).select("doc_id", F.col("toxic").cast("int")), "doc_id"))
-    training = stored(training.where("text is not null"), "toxic-training")
+    known = (labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out())
+             .select("doc_id", F.col("toxic").cast("int")))
+    # both sides grow with the corpus: one plan at every size
+    training = docs.where("text is not null").where(~held_out()).select("doc_id", "text").join(known.hint("merge"), "doc_id")
+    training = stored(training, "toxic-training")
     counts = _class_counts(training).groupBy("token").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("y1"),
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("y0"))
@@ -219,8 +221,11 @@ def learn(docs: DataFrame, labels: DataFrame, max_terms: int = MAX_TERMS,
         with np.errstate(over="ignore"):
             low, high = (mid, high) if (p * np.exp(mid * s)).sum() + rest * math.exp(mid * OTHER) < 1 else (low, mid)
     model = Model(model.scores, low)
-    sample = training.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_calibration)
-    rows = with_best(sample, model, "toxic").select("best", "n", "toxic").collect()  # max_calibration rows at most
+    # the sample is chosen by id; only numbers reach the driver
+    ids = training.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_calibration).distinct()
+    sample = training.join(F.broadcast(ids), "doc_id")  # max_calibration ids at most
+    rows = (with_best(sample, model, "toxic").select("n", "toxic", "best", "found").orderBy(F.xxhash64("doc_id"))
+            .limit(2 * max_calibration).collect())  # ids may repeat
     y = np.array([r["toxic"] for r in rows], float)
     best, n = np.array([r["best"] for r in rows], float), np.array([max(r["n"], 1) for r in rows], float)
     clean = (y == 0) & (best > 0)
@@ -228,11 +233,10 @@ def learn(docs: DataFrame, labels: DataFrame, max_terms: int = MAX_TERMS,
     log_k = float((model.rate * best[clean] - np.log(n[clean])).mean() - 0.5772) if clean.sum() >= 20 else \
         math.log((clean.sum() + 0.5) / max(n[y == 0].sum(), 1)) + model.rate * float(s.min())
     model = Model(model.scores, model.rate, log_k)
-    rows = with_best(sample, model, "toxic").select("evidence", "n", "toxic").collect()
-    x = np.array([(math.sqrt(r["evidence"]), math.log1p(r["n"])) for r in rows])
+    x = np.array([(math.sqrt(model.evidence(r["found"], r["n"])), math.log1p(r["n"])) for r in rows])
     low, high = map(float, np.quantile(x[:, 1], (0.05, 0.95)))
     x[:, 1] = np.clip(x[:, 1], low, high)
-    return Model(model.scores, model.rate, log_k, fit_logistic(x, np.array([r["toxic"] for r in rows], float)), (low, high))
+    return Model(model.scores, model.rate, log_k, fit_logistic(x, y), (low, high))
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, ...]:
@@ -251,7 +255,8 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[flo
 
 
 def with_best(docs: DataFrame, model: Model, *carried: str) -> DataFrame:
-    """doc_id, carried columns, n (tokens), best (segment score), evidence, score, passages."""
+    """doc_id, carried columns, n (tokens), best (segment score), score, found (scores of
+    all maximal segments), passages."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     extra = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in carried)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # MAX_TERMS tokens
@@ -259,24 +264,24 @@ def with_best(docs: DataFrame, model: Model, *carried: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            n, best, evidence, score, found = [], [], [], [], []
+            n, best, score, every, found = [], [], [], [], []
             for text in b.column(0).to_pylist():
                 words = tokens(text or "")
                 all_ = m.passages(words)
                 top = max((s for s, _, _ in all_), default=0.0)
                 n.append(len(words))
                 best.append(top)
-                evidence.append(m.evidence([s for s, _, _ in all_], len(words)))
-                score.append(m.score(evidence[-1], len(words)))
+                every.append([s for s, _, _ in all_])
+                score.append(m.score(m.evidence(every[-1], len(words)), len(words)))
                 found.append([{"first": a, "after": e, "score": s} for s, a, e in all_ if s >= LEAST_SEGMENT])
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[1:], pa.array(n, pa.int64()), pa.array(best, pa.float64()),
-                 pa.array(evidence, pa.float64()), pa.array(score, pa.float64()),
+                 pa.array(score, pa.float64()), pa.array(every, pa.list_(pa.float64())),
                  pa.array(found, pa.list_(pa.struct([("first", pa.int64()), ("after", pa.int64()), ("score", pa.float64())])))],
-                names=["doc_id", *carried, "n", "best", "evidence", "score", "passages"])
+                names=["doc_id", *carried, "n", "best", "score", "found", "passages"])
 
     return map_batches(docs.select("text", "doc_id", *carried), run,
-                       f"doc_id {kind}, {extra}n long, best double, evidence double, score double, "
+                       f"doc_id {kind}, {extra}n long, best double, score double, found array<double>, "
                        "passages array<struct<first:bigint,after:bigint,score:double>>")
 
 
