@@ -144,13 +144,15 @@ def held_out() -> Column:
 
 
 def _class_counts(labelled: DataFrame) -> DataFrame:
-    """token, toxic, n."""
+    """token, toxic, n; the empty token counts all tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             by: tuple[Counter, Counter] = (Counter(), Counter())
             for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                by[toxic].update(with_stems(tokens(text or "")))
+                words = tokens(text or "")
+                by[toxic].update(with_stems(words))
+                by[toxic][""] += len(words)
             for y, counts in enumerate(by):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(counts), pa.string()), pa.array([y] * len(counts), pa.int32()),
@@ -192,16 +194,16 @@ def learn(docs: DataFrame, labels: DataFrame, max_terms: int = MAX_TERMS,
     counts = _class_counts(training).groupBy("token").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("y1"),
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("y0"))
-    counts = stored(counts, "toxic-counts")
-    whole = counts.where("token not like '%*'")  # stems count their tokens again
-    n1, n0 = (float(v or 0) for v in whole.agg(F.sum("y1"), F.sum("y0")).first())
+    # rarer terms can't enter the lexicon
+    counts = stored(counts.where((F.col("y1") >= LEAST_CONTEXTS) | (F.col("token") == "")), "toxic-counts")
+    n1, n0 = (float(v or 0) for v in counts.where("token = ''").agg(F.sum("y1"), F.sum("y0")).first())
     if not n1 or not n0:
         return Model({})
     y1, y0 = F.col("y1").cast("double"), F.col("y0").cast("double")
     share = (y1 + y0) / (n1 + n0)
     strong = (y1 + y0) * STRONG
     z = _log_odds(y1, y0, n1, n0, strong, (n1 + n0) * STRONG) / F.sqrt(1 / (y1 + strong) + 1 / (y0 + strong))
-    scored = (counts.where(F.col("y1") >= LEAST_CONTEXTS)
+    scored = (counts.where(F.col("token") != "")
               .select("token", z.alias("z"), _log_odds(y1, y0, n1, n0, share * PRIOR, PRIOR).alias("score"), "y1", "y0")
               .where((F.col("z") >= LEAST_Z) & (F.col("score") >= LEAST_SCORE)))
     chosen = scored.orderBy(F.desc("z"), "token").limit(max_terms).collect()  # max_terms rows at most
