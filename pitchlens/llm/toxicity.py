@@ -1,15 +1,18 @@
 """Toxic passages by maximum-scoring segments over token log-odds.
 
 1. Tokens of labelled documents, and their beginnings of ``STEMS`` characters as
-   stems, are counted by class over all labelled rows of the training part.  A
-   term's score is its log-odds between the classes with a Dirichlet prior in
+   stems, are counted by class over all distinct labelled texts of the training
+   part: copies of a text count once in a class.  A term's score is its log-odds between the classes with a Dirichlet prior in
    proportion to its overall frequency (total mass ``PRIOR``).  A token takes
    its own score, else that of its longest stem in the lexicon.
    A term enters the lexicon if its score is ``LEAST_SCORE``, the log-odds under a strong prior
    (``STRONG`` times its count) is ``LEAST_Z`` deviations above 0 and it occurs in
    at least ``LEAST_CONTEXTS`` different contexts (the token before it) of toxic
-   documents: copies of one toxic text bring its words often, but always in the
-   same context.  All other tokens score ``OTHER``.
+   documents.  Near copies of one toxic text bring its words often, but mostly in
+   the same context, so a context counts no more occurrences than the term's
+   ``LEAST_CONTEXTS``-th most frequent one: more near copies never take a term's
+   other occurrences away, and no share of a count that grows with the corpus is
+   asked for.  All other tokens score ``OTHER``.
 2. A linear scan (Ruzzo and Tompa) finds every maximal-scoring segment of a
    text; all of them at or above ``LEAST_SEGMENT`` are passages.
 3. Scores are calibrated by extreme values: the best segment of n random tokens
@@ -44,6 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchlens.llm.common import map_batches, stored
+from pitchlens.llm.neardup import text_digest
 
 TOKEN = re.compile(r"\w+")
 PRIOR, STRONG = 100.0, 0.1
@@ -161,22 +165,34 @@ def _class_counts(labelled: DataFrame) -> DataFrame:
     return map_batches(labelled.select("text", "toxic"), run, "token string, toxic int, n long")
 
 
-def _contexts(labelled: DataFrame, terms: set[str]) -> DataFrame:
-    """token, contexts: in how many different contexts toxic documents have it."""
+def _contexts(labelled: DataFrame, terms: DataFrame) -> DataFrame:
+    """token, contexts (how many different ones toxic documents have it in), y1 (its
+    occurrences there, of a context no more than of the ``LEAST_CONTEXTS``-th most frequent)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = set()
+            found: Counter = Counter()
             for text in b.column(0).to_pylist():
                 words = tokens(text or "")
-                for i, w in enumerate(words):
-                    found.update((t, words[i - 1] if i else "") for t in with_stems([w]) if t in terms)
+                for before, w in zip(["", *words], words, strict=False):
+                    found.update((t, before) for t in with_stems([w]))
             token, before = zip(*found, strict=True) if found else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(token, pa.string()), pa.array(before, pa.string())],
-                                             names=["token", "before"])
+            yield pa.RecordBatch.from_arrays([pa.array(token, pa.string()), pa.array(before, pa.string()),
+                                              pa.array(list(found.values()), pa.int64())], names=["token", "before", "n"])
 
-    pairs = map_batches(labelled.where("toxic = 1").select("text"), run, "token string, before string")
-    return pairs.distinct().groupBy("token").agg(F.count("*").alias("contexts"))
+    def cut(seen: Column, x: Column) -> Column:
+        return F.when(seen["contexts"] >= LEAST_CONTEXTS, seen).otherwise(
+            F.struct((seen["contexts"] + x["k"]).alias("contexts"), x["n"].alias("n")))
+
+    pairs = map_batches(labelled.where("toxic = 1").select("text"), run, "token string, before string, n long")
+    by = (pairs.join(terms.select("token"), "token", "left_semi").groupBy("token", "before").agg(F.sum("n").alias("n"))
+          .groupBy("token", "n").agg(F.count("*").alias("k")))
+    # distinct counts of a term: at most the root of twice its occurrences
+    by = by.groupBy("token").agg(F.sum("k").alias("contexts"), F.sort_array(F.collect_list(F.struct("n", "k")), asc=False).alias("by"))
+    none = F.struct(F.lit(0).cast("long").alias("contexts"), F.lit(0).cast("long").alias("n"))
+    by = by.withColumn("most", F.aggregate("by", none, cut)["n"])
+    total = F.aggregate("by", F.lit(0).cast("long"), lambda out, x: out + F.least(x["n"], F.col("most")) * x["k"])
+    return by.select("token", "contexts", total.alias("y1"))
 
 
 def _log_odds(y1: Column, y0: Column, n1: float, n0: float, a: Column, mass: float) -> Column:
@@ -188,9 +204,13 @@ def learn(docs: DataFrame, labels: DataFrame, max_terms: int = MAX_TERMS,
     """Learn from ``labels`` (doc_id, toxic 0/1) outside the held-out quarter."""
     known = (labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out())
              .select("doc_id", F.col("toxic").cast("int")))
-    # both sides grow with the corpus: one plan at every size
-    training = docs.where("text is not null").where(~held_out()).select("doc_id", "text").join(known.hint("merge"), "doc_id")
-    training = stored(training, "toxic-training")
+    texts = docs.where("text is not null").where(~held_out()).select("doc_id", text_digest().alias("digest"), "text")
+    # of each text one row a class; both sides grow with the corpus: one plan at every size
+    firsts = (texts.select("doc_id", "digest").join(known.hint("merge"), "doc_id")
+              .groupBy("digest", "toxic").agg(F.min("doc_id").alias("doc_id")))
+    training = (texts.join(stored(firsts, "toxic-firsts").hint("merge"), ["doc_id", "digest"])
+                .groupBy("doc_id", "digest", "toxic").agg(F.first("text").alias("text")))
+    training = stored(training.select("doc_id", "text", "toxic"), "toxic-training")
     counts = _class_counts(training).groupBy("token").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("y1"),
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("y0"))
@@ -199,17 +219,18 @@ def learn(docs: DataFrame, labels: DataFrame, max_terms: int = MAX_TERMS,
     n1, n0 = (float(v or 0) for v in counts.where("token = ''").agg(F.sum("y1"), F.sum("y0")).first())
     if not n1 or not n0:
         return Model({})
-    y1, y0 = F.col("y1").cast("double"), F.col("y0").cast("double")
-    share = (y1 + y0) / (n1 + n0)
-    strong = (y1 + y0) * STRONG
-    z = _log_odds(y1, y0, n1, n0, strong, (n1 + n0) * STRONG) / F.sqrt(1 / (y1 + strong) + 1 / (y0 + strong))
-    scored = (counts.where(F.col("token") != "")
-              .select("token", z.alias("z"), _log_odds(y1, y0, n1, n0, share * PRIOR, PRIOR).alias("score"), "y1", "y0")
-              .where((F.col("z") >= LEAST_Z) & (F.col("score") >= LEAST_SCORE)))
+
+    def passing(rows: DataFrame) -> DataFrame:
+        y1, y0 = F.col("y1").cast("double"), F.col("y0").cast("double")
+        share, strong = (y1 + y0) / (n1 + n0), (y1 + y0) * STRONG
+        z = _log_odds(y1, y0, n1, n0, strong, (n1 + n0) * STRONG) / F.sqrt(1 / (y1 + strong) + 1 / (y0 + strong))
+        return (rows.select("token", z.alias("z"), _log_odds(y1, y0, n1, n0, share * PRIOR, PRIOR).alias("score"), "y1", "y0")
+                .where((F.col("z") >= LEAST_Z) & (F.col("score") >= LEAST_SCORE)))
+
+    terms = stored(passing(counts.where(F.col("token") != "")), "toxic-terms")
+    spread = _contexts(training, terms).where(F.col("contexts") >= LEAST_CONTEXTS)
+    scored = passing(spread.join(terms.select("token", "y0"), "token"))
     chosen = scored.orderBy(F.desc("z"), "token").limit(max_terms).collect()  # max_terms rows at most
-    spread = {r["token"]: r["contexts"] for r in _contexts(training, {r["token"] for r in chosen}).collect()}
-    # a token counts by its contexts where copies bring it more often
-    chosen = [r for r in chosen if spread.get(r["token"], 0) >= max(LEAST_CONTEXTS, 0.2 * r["y1"])]
     model = Model({r["token"]: float(r["score"]) for r in chosen})
     if not chosen:
         return model

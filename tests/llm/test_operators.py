@@ -349,6 +349,20 @@ def test_toxicity_on_held_out_rows(spark):
     assert by[1, 1] / (by[1, 1] + by[1, 0]) > 0.85 and by[1, 1] / (by[1, 1] + by[0, 1]) > 0.85
 
 
+@pytest.mark.parametrize("edited", [False, True])
+def test_copies_of_a_toxic_text_neither_take_nor_make_terms(spark, edited):
+    rng = random.Random(31)
+    plain = [words(rng, 1) for _ in range(400)]
+    text = lambda *more: " ".join(rng.sample([*rng.sample(plain, 40), *more], 40 + len(more)))
+    copied = "you utter zzidiot and zzmoron with your zzlamp"
+    texts = [text("zzidiot", "zzmoron") for _ in range(60)] + [text() for _ in range(600)]
+    texts += [f"{copied} {plain[i % 400]} {i}" if edited else copied for i in range(3000)]
+    toxic = [1] * 60 + [0] * 600 + [1] * 3000
+    labels = spark.createDataFrame([(i, 1, t) for i, t in enumerate(toxic)], "doc_id long, quality int, toxic int")
+    known = toxicity.learn(docs(spark, texts), labels).scores
+    assert {"zzidiot", "zzmoron"} <= set(known) and not {"zzlamp", "utter"} & set(known)
+
+
 def test_toxicity_edge_cases(spark, mixed):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     rows = toxicity.scored(clashing(mixed), toxicity.learn(clashing(mixed), none)).collect()
