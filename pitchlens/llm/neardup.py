@@ -17,8 +17,9 @@
    largest text: aggregations and joins that split like any skewed join.  What is
    still in different classes then meets inside the bucket: in a task, block
    against block, sketches are compared (a byte per sample), and only pairs whose
-   sketches agree leave the task: round k asks for each text's k * ``BEST`` best
-   agreeing texts of other classes, and rounds go on until one brings no link.
+   sketches agree leave the task: each text's ``BEST`` best agreeing texts of other
+   classes, ``GROWTH`` times as many in each further round, and rounds go on until
+   one leaves out no agreeing text: then every agreeing pair between classes was tried.
    A bucket of more than ``BUCKET`` texts is first split by each second band its
    texts have in common.
 4. Candidates are verified by the exact weighted Jaccard similarity of the
@@ -52,7 +53,7 @@ SIMILARITY = 0.8
 ROWS, BANDS = 3, 13
 FEATURES = 1 << 18  # hashed features document frequencies are counted for
 FLOOR = 0.75  # weight of a shingle that every document has, against 1 for the rarest
-BUCKET, BEST = 4096, 8
+BUCKET, BEST, GROWTH = 4096, 8, 8
 # a pair of at least SIMILARITY agrees in fewer of its samples with probability 3e-4 (0.85: 2e-6)
 LEAST_AGREEING = 22
 PIECE_BYTES = 1 << 20
@@ -241,9 +242,10 @@ def _split_buckets(members: DataFrame, bucket: int) -> DataFrame:
 
 def _across(members: DataFrame, best: int) -> DataFrame:
     """Pairs (a, b) of a bucket's texts in different classes (root) whose sketches agree
-    often enough: each text's ``best``, in the bucket's largest class only as partners."""
+    often enough: each text's ``best``, in the bucket's largest class only as partners.
+    A pair without b says that texts agree with more."""
 
-    def pairs(nodes: list, sketches: np.ndarray, roots: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
+    def pairs(nodes: list, sketches: np.ndarray, roots: np.ndarray) -> Iterator[tuple[bytes, bytes | None]]:
         largest = np.bincount(roots).argmax()
         own = np.flatnonzero(roots != largest)  # texts of the largest class needn't ask
         for at in range(0, len(own), 64):
@@ -256,6 +258,8 @@ def _across(members: DataFrame, best: int) -> DataFrame:
             order = np.lexsort((-near[i, j].astype(int), i))
             i, j = i[order], j[order]
             rank = np.arange(len(i)) - np.searchsorted(i, i)
+            if (rank >= best).any():
+                yield nodes[rows[i[rank >= best][0]]], None
             i, j = i[rank < best], j[rank < best]
             yield from ((nodes[x], nodes[y]) for x, y in zip(rows[i].tolist(), j.tolist(), strict=True))
 
@@ -267,9 +271,9 @@ def _across(members: DataFrame, best: int) -> DataFrame:
             ids = np.unique(np.array(roots, dtype=object), return_inverse=True)[1] if len(set(roots)) > 1 else None
             if ids is not None:
                 table = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(nodes), -1)
-                out = {(min(x, y), max(x, y)) for x, y in pairs(nodes, table, ids)}
+                out = {(x, y) if y is None else (min(x, y), max(x, y)) for x, y in pairs(nodes, table, ids)}
                 if out:
-                    a, b = zip(*sorted(out), strict=True)
+                    a, b = zip(*out, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
         for b in batches:
@@ -355,14 +359,18 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKE
     pairs = _agreeing(ends).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     tried = stored(pairs, "near-pairs")
     links = stored(_verified(tried, texts, idf, similarity), "near-links")
-    for k in count(1):
-        roots = components(links)
+    roots = components(links)
+    for k in count():
         rooted = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        pairs = stored(_across(rooted, k * BEST).distinct().join(tried, ["a", "b"], "left_anti"), "near-pairs")
+        asked = stored(_across(rooted, BEST * GROWTH**k).distinct().join(tried, ["a", "b"], "left_anti"), "near-pairs")
+        pairs = asked.where("b is not null")
         found = stored(_verified(pairs, texts, idf, similarity), "near-links")
-        if found.isEmpty():
-            break
-        tried, links = tried.unionByName(pairs), links.unionByName(found)
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            roots = components(links)
+        if asked.where("b is null").isEmpty():
+            break  # every agreeing pair between classes was tried
+        tried = tried.unionByName(pairs)
     ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
     named = nodes.select("node", "first", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     whole = named.groupBy("root").agg(F.min("first").alias("class_id"), F.sum("copies").alias("class_size"))

@@ -183,6 +183,50 @@ def test_a_chain_of_near_copies_is_one_class(spark):
     assert got == {0}
 
 
+def hidden_link(seed, fits):
+    """Two similar texts whose samples and bands fit, each among 60 texts that are just
+    below 0.8 of it and less of all others."""
+    rng = random.Random(seed)
+    base = words(rng, 300).split()
+    assert len(base) == 300
+
+    def edited(edits, of=base):
+        v = list(of)
+        for k in rng.sample(range(1, 49), edits):
+            v[6 * k] = "q" + str(rng.random())[2:8]
+        return " ".join(v)
+
+    def sampled(texts):
+        doc, s, n = neardup.shingle_counts(texts)
+        return neardup.samples(doc, s, n.astype(np.float32))
+
+    first = sampled([" ".join(base)])
+    for _ in range(40):
+        some = [edited(6) for _ in range(200)]
+        drawn = sampled(some)
+        agree = ((drawn & np.uint64(255)) == (first & np.uint64(255))).sum(1)
+        shared = (neardup.bands(drawn) == neardup.bands(first)).sum(1)
+        at = [i for i in range(200) if fits(agree[i], shared[i])]
+        if at:
+            family = [[edited(7, of) for _ in range(60)] for of in (base, some[at[0]].split())]
+            return [*family[0], " ".join(base), some[at[0]], *family[1]]
+    raise AssertionError("none found")
+
+
+def check_hidden_link(spark, monkeypatch, texts, **more):
+    idf = np.ones(neardup.FEATURES, np.float32)
+    monkeypatch.setattr(neardup, "inverse_frequencies", lambda _: idf)
+    want = brute_classes(list(enumerate(texts)), idf)
+    assert len(set(want.values())) == len(texts) - 1
+    got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(docs(spark, texts), **more).collect()}
+    assert got == want
+
+
+def test_a_link_ranked_behind_many_failing_pairs_is_found(spark, monkeypatch):
+    texts = hidden_link(41, lambda agree, shared: neardup.LEAST_AGREEING <= agree <= 24 and shared)
+    check_hidden_link(spark, monkeypatch, texts)
+
+
 def test_one_per_class_keeps_the_smallest_id(spark, mixed):
     many = clashing(mixed)
     kept = neardup.one_per_class(many)
