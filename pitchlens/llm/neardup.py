@@ -20,8 +20,9 @@
    sketches agree leave the task: each text's ``BEST`` best agreeing texts of other
    classes, ``GROWTH`` times as many in each further round, and rounds go on until
    one leaves out no agreeing text: then every agreeing pair between classes was tried.
-   A bucket of more than ``BUCKET`` texts is first split by each second band its
-   texts have in common.
+   Texts of a bucket are dealt into blocks of about ``BUCKET``; every block of
+   texts outside the bucket's largest class meets every block of the bucket in a
+   task of its own, so all pairs of a bucket meet, whatever its size.
 4. Candidates are verified by the exact weighted Jaccard similarity of the
    whole texts, at least ``SIMILARITY``.
 5. Classes are the connected components of verified links, by label
@@ -231,29 +232,38 @@ def _agreeing(pairs: DataFrame) -> DataFrame:
     return map_batches(pairs.select("a", "sketch_a", "b", "sketch_b"), run, "a binary, b binary", batch_rows=10_000)
 
 
-def _split_buckets(members: DataFrame, bucket: int) -> DataFrame:
-    """band, node, sketch; buckets of more than ``bucket`` texts by pairs of bands."""
-    large = F.col("n") > bucket
-    small = members.where(~large).select("band", "node", "sketch")
-    pairs = (members.where(large).select("node", "sketch", "band", F.explode("bands").alias("second"))
-             .where("band != second").select(F.xxhash64("band", "second").alias("band"), "node", "sketch"))
-    return small.unionByName(pairs)
-
-
-def _across(members: DataFrame, best: int) -> DataFrame:
-    """Pairs (a, b) of a bucket's texts in different classes (root) whose sketches agree
-    often enough: each text's ``best``, in the bucket's largest class only as partners.
+def _cells(members: DataFrame, roots: DataFrame, bucket: int) -> DataFrame:
+    """band, row, col, node, sketch, root, asks, met: of buckets with several classes, the
+    cells (row block, column block) each text is in; it asks in its row, is met in its column."""
+    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = rooted.groupBy("band", "root").agg(F.count("*").alias("n")).groupBy("band").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("largest"))
+    sizes = stored(sizes.where("n > largest.n").select(
+        "band", F.col("largest.root").alias("largest"), F.ceil((F.col("n") - F.col("largest.n")) / bucket).alias("rows"),
+        F.ceil(F.col("n") / bucket).alias("cols")), "near-sizes")
+    cell = lambda row, col: F.struct(row.alias("row"), col.alias("col"))
+    placed = (rooted.join(sizes, "band").withColumn("own", F.col("root") != F.col("largest"))
+              .withColumn("at_row", F.pmod(F.xxhash64("node"), "rows")).withColumn("at_col", F.pmod(F.xxhash64("node", "band"), "cols")))
+    asked = F.when(F.col("own"), F.transform(F.sequence(F.lit(0), F.col("cols") - 1), lambda c: cell(F.col("at_row"), c)))
+    met = F.transform(F.sequence(F.lit(0), F.col("rows") - 1), lambda r: cell(r, F.col("at_col")))
+    dealt = placed.withColumn("cell", F.explode(F.array_union(F.coalesce(asked, F.array().cast("array<struct<row:bigint,col:bigint>>")), met)))
+    return dealt.select("band", "cell.row", "cell.col", "node", "sketch", "root",
+                        (F.col("own") & (F.col("cell.row") == F.col("at_row"))).alias("asks"),
+                        (F.col("cell.col") == F.col("at_col")).alias("met"))
+
+
+def _across(cells: DataFrame, best: int) -> DataFrame:
+    """Pairs (a, b) of a cell's texts in different classes (root) whose sketches agree
+    often enough: the ``best`` of each text that asks among those it meets.
     A pair without b says that texts agree with more."""
 
-    def pairs(nodes: list, sketches: np.ndarray, roots: np.ndarray) -> Iterator[tuple[bytes, bytes | None]]:
-        largest = np.bincount(roots).argmax()
-        own = np.flatnonzero(roots != largest)  # texts of the largest class needn't ask
-        for at in range(0, len(own), 64):
-            rows = own[at:at + 64]
+    def pairs(nodes: list, sketches: np.ndarray, roots: np.ndarray, asks: np.ndarray, met: np.ndarray) -> Iterator[tuple[bytes, bytes | None]]:
+        for at in range(0, len(asks), 64):
+            rows = asks[at:at + 64]
             near = np.concatenate([
-                (sketches[rows, None, :] == sketches[None, other:other + 2048, :]).sum(2, dtype=np.uint8)
-                for other in range(0, len(nodes), 2048)], axis=1)
-            near[roots[rows, None] == roots[None, :]] = 0
+                (sketches[rows, None, :] == sketches[None, met[other:other + 2048], :]).sum(2, dtype=np.uint8)
+                for other in range(0, len(met), 2048)], axis=1)
+            near[roots[rows, None] == roots[None, met]] = 0
             i, j = np.nonzero(near >= LEAST_AGREEING)
             order = np.lexsort((-near[i, j].astype(int), i))
             i, j = i[order], j[order]
@@ -261,32 +271,33 @@ def _across(members: DataFrame, best: int) -> DataFrame:
             if (rank >= best).any():
                 yield nodes[rows[i[rank >= best][0]]], None
             i, j = i[rank < best], j[rank < best]
-            yield from ((nodes[x], nodes[y]) for x, y in zip(rows[i].tolist(), j.tolist(), strict=True))
+            yield from ((nodes[x], nodes[y]) for x, y in zip(rows[i].tolist(), met[j].tolist(), strict=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def found() -> Iterator[pa.RecordBatch]:
-            _, nodes, sketches, roots = zip(*held, strict=True)
-            ids = np.unique(np.array(roots, dtype=object), return_inverse=True)[1] if len(set(roots)) > 1 else None
-            if ids is not None:
+            _, _, _, nodes, sketches, roots, asks, met = zip(*held, strict=True)
+            if any(asks):
+                ids = np.unique(np.array(roots, dtype=object), return_inverse=True)[1]
                 table = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(nodes), -1)
-                out = {(x, y) if y is None else (min(x, y), max(x, y)) for x, y in pairs(nodes, table, ids)}
+                out = {(x, y) if y is None else (min(x, y), max(x, y))
+                       for x, y in pairs(nodes, table, ids, np.flatnonzero(asks), np.flatnonzero(met))}
                 if out:
                     a, b = zip(*out, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
         for b in batches:
-            for row in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
-                if held and held[-1][0] != row[0]:
+            for row in zip(*(b.column(k).to_pylist() for k in range(8)), strict=True):
+                if held and held[-1][:3] != row[:3]:
                     yield from found()
                     held = []
                 held.append(row)
         if held:
             yield from found()
 
-    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return map_batches(members.select("band", "node", "sketch", "root").repartition(n, "band").sortWithinPartitions("band"),
+    n = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return map_batches(cells.repartition(n, "band", "row", "col").sortWithinPartitions("band", "row", "col"),
                        run, "a binary, b binary", batch_rows=10_000)
 
 
@@ -341,7 +352,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKE
     spark: SparkSession = docs.sparkSession
     idf = spark.sparkContext.broadcast(inverse_frequencies(docs))  # FEATURES numbers
     nodes = stored(_texts(docs, idf), "near-texts")
-    rows = nodes.select("node", "sketch", "bands", F.explode("bands").alias("band"))
+    rows = nodes.select("node", "sketch", F.explode("bands").alias("band"))
     # stored, so that the join's sides are plain shuffles, which split where a bucket is hot
     shared = stored(rows.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high"))
                     .where("n > 1"), "near-shared")
@@ -349,7 +360,6 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKE
     sketches = members.groupBy("node").agg(F.first("sketch").alias("sketch"))
     texts = stored(docs.where("text is not null").select(text_digest().alias("node"), "text")
                    .join(sketches.select("node"), "node", "left_semi").dropDuplicates(["node"]), "near-text")
-    buckets = stored(_split_buckets(members, bucket), "near-blocks")
 
     # first round: the ends of every bucket
     ends = (members.select("node", "sketch", F.explode(F.array("low", "high")).alias("other")).where("node != other")
@@ -361,8 +371,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKE
     links = stored(_verified(tried, texts, idf, similarity), "near-links")
     roots = components(links)
     for k in count():
-        rooted = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        asked = stored(_across(rooted, BEST * GROWTH**k).distinct().join(tried, ["a", "b"], "left_anti"), "near-pairs")
+        cells = _cells(members.select("band", "node", "sketch"), roots, bucket)
+        asked = stored(_across(cells, BEST * GROWTH**k).distinct().join(tried, ["a", "b"], "left_anti"), "near-pairs")
         pairs = asked.where("b is not null")
         found = stored(_verified(pairs, texts, idf, similarity), "near-links")
         if not found.isEmpty():

@@ -227,6 +227,11 @@ def test_a_link_ranked_behind_many_failing_pairs_is_found(spark, monkeypatch):
     check_hidden_link(spark, monkeypatch, texts)
 
 
+def test_a_link_within_one_large_bucket_is_found(spark, monkeypatch):
+    texts = hidden_link(43, lambda agree, shared: agree >= neardup.LEAST_AGREEING and shared == 1)
+    check_hidden_link(spark, monkeypatch, texts, bucket=8)
+
+
 def test_one_per_class_keeps_the_smallest_id(spark, mixed):
     many = clashing(mixed)
     kept = neardup.one_per_class(many)
