@@ -55,8 +55,8 @@ ROWS, BANDS = 3, 13
 FEATURES = 1 << 18  # hashed features document frequencies are counted for
 FLOOR = 0.75  # weight of a shingle that every document has, against 1 for the rarest
 BUCKET, BEST, GROWTH = 4096, 8, 8
-# a pair of at least SIMILARITY agrees in fewer of its samples with probability 3e-4 (0.85: 2e-6)
-LEAST_AGREEING = 22
+# a pair of at least SIMILARITY agrees in fewer of its samples with probability 3e-6
+LEAST_AGREEING = 19
 PIECE_BYTES = 1 << 20
 
 

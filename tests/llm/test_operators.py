@@ -3,6 +3,7 @@ labels, with nulls, empty and long texts, ties, repeated rows, empty tables and
 clashing column names."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -232,6 +233,11 @@ def test_a_link_within_one_large_bucket_is_found(spark, monkeypatch):
     check_hidden_link(spark, monkeypatch, texts, bucket=8)
 
 
+def test_few_links_are_rejected_by_their_sketches():
+    n, p = neardup.ROWS * neardup.BANDS, neardup.SIMILARITY
+    assert sum(math.comb(n, k) * p**k * (1 - p)**(n - k) for k in range(neardup.LEAST_AGREEING)) < 1e-5
+
+
 def test_one_per_class_keeps_the_smallest_id(spark, mixed):
     many = clashing(mixed)
     kept = neardup.one_per_class(many)
