@@ -24,8 +24,9 @@
    less r ln 2 for the choice.  The score is a logistic function of the evidence
    and of the text's length, fitted on a bounded sample of training documents.
 
-Inputs of a score are the text alone.  The lexicon's size is bounded by
-``MAX_TERMS`` (strongest first), a model parameter.
+Inputs of a score are the text alone.  The lexicon has every term that passes the
+tests; one of more than ``MAX_TERMS`` terms, too large for a driver and a broadcast,
+raises instead of being cut.
 
 Defined cases: null and empty texts have no passage and the lowest score; with
 labels of one class (or none) every score is 0; equal rows have equal scores;
@@ -51,7 +52,7 @@ from pitchlens.llm.neardup import text_digest
 
 TOKEN = re.compile(r"\w+")
 PRIOR, STRONG = 100.0, 0.1
-LEAST_SCORE, LEAST_Z, LEAST_CONTEXTS, MAX_TERMS = 1.0, 3.0, 8, 20_000
+LEAST_SCORE, LEAST_Z, LEAST_CONTEXTS, MAX_TERMS = 1.0, 3.0, 8, 1_000_000
 STEMS = (4, 5, 6, 7, 8)
 OTHER = -0.25
 LEAST_SEGMENT = 3.0
@@ -230,7 +231,9 @@ def learn(docs: DataFrame, labels: DataFrame, max_terms: int = MAX_TERMS,
     terms = stored(passing(counts.where(F.col("token") != "")), "toxic-terms")
     spread = _contexts(training, terms).where(F.col("contexts") >= LEAST_CONTEXTS)
     scored = passing(spread.join(terms.select("token", "y0"), "token"))
-    chosen = scored.orderBy(F.desc("z"), "token").limit(max_terms).collect()  # max_terms rows at most
+    chosen = scored.orderBy("token").limit(max_terms + 1).collect()
+    if len(chosen) > max_terms:
+        raise ValueError(f"more than {max_terms} terms pass the lexicon's tests")
     model = Model({r["token"]: float(r["score"]) for r in chosen})
     if not chosen:
         return model
@@ -282,7 +285,7 @@ def with_best(docs: DataFrame, model: Model, *carried: str) -> DataFrame:
     all maximal segments), passages."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     extra = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in carried)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # MAX_TERMS tokens
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # MAX_TERMS tokens at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value

@@ -418,6 +418,15 @@ def test_copies_of_a_toxic_text_neither_take_nor_make_terms(spark, edited):
     assert {"zzidiot", "zzmoron"} <= set(known) and not {"zzlamp", "utter"} & set(known)
 
 
+def test_a_lexicon_is_never_cut(spark):
+    base = "/root/testdata/sf0.01"
+    df, labels = (spark.read.parquet(f"{base}/{t}.parquet") for t in ("documents", "labels"))
+    n = len(toxicity.learn(df, labels).scores)
+    assert len(toxicity.learn(df, labels, max_terms=n).scores) == n > 10
+    with pytest.raises(ValueError):
+        toxicity.learn(df, labels, max_terms=n - 1)
+
+
 def test_toxicity_edge_cases(spark, mixed):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     rows = toxicity.scored(clashing(mixed), toxicity.learn(clashing(mixed), none)).collect()
