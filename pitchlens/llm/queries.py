@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchlens.llm import (
-    chat, decontam, encode, neardup, pii, quality, sharding, substrings, tokencount, toxicity,
+    chat, decontam, encode, neardup, periodic, pii, quality, sharding, substrings, tokencount, toxicity,
 )
 from pitchlens.llm.common import table
 
@@ -73,11 +73,38 @@ def op10_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text; in every tenth document, by the checksum h of its id, the words
+    from a = h // 10 % n on repeat the p words from a on.  Rows without an id stay."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    cut = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(
+        h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("words"))
+    cut = cut.withColumn("n", F.size("words")).withColumn("a", (F.col("g") % F.greatest("n", F.lit(1))).cast("int"))
+    rest = F.col("n") - F.col("a")
+    cut = cut.withColumn("p", (1 + F.floor(rest / (3 + F.col("g") % 8))).cast("int"))
+    times = F.ceil(rest / F.col("p")).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), times))
+    planted = F.slice(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), F.lit(1), F.col("n"))
+    return cut.select("doc_id", F.when(F.col("n") > 0, F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r.length).alias("minus"), r.start.alias("start"), r.period.alias("period"))))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    return found.withColumn("most", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("most.start").alias("start"),
+        (-F.col("most.minus")).alias("length"), F.col("most.period").alias("period"),
+        F.expr("(-1000 * most.minus) div most.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_virtual_slots, op2_decision_list, op3_near_duplicates, op4_token_counts, op5_contextual_pii,
         op6_toxic_segments, op7_chat_round_trip, op8_repeated_substrings, op9_shared_prefix_encoding,
-        op10_fm_index_decontamination)}
+        op10_fm_index_decontamination, op13_periodic_runs)}
 
 
 _OP7_SQL = r"""
