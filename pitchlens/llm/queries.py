@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchlens.llm import (
-    chat, decontam, encode, neardup, periodic, pii, quality, sharding, substrings, tokencount, toxicity,
+    chat, covering, decontam, encode, neardup, periodic, pii, quality, sharding, substrings, tokencount, toxicity,
 )
 from pitchlens.llm.common import table
 
@@ -73,6 +73,11 @@ def op10_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covering.similar(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def with_planted_runs(docs: DataFrame) -> DataFrame:
     """doc_id and text; in every tenth document, by the checksum h of its id, the words
     from a = h // 10 % n on repeat the p words from a on.  Rows without an id stay."""
@@ -104,7 +109,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_virtual_slots, op2_decision_list, op3_near_duplicates, op4_token_counts, op5_contextual_pii,
         op6_toxic_segments, op7_chat_round_trip, op8_repeated_substrings, op9_shared_prefix_encoding,
-        op10_fm_index_decontamination, op13_periodic_runs)}
+        op10_fm_index_decontamination, op11_covering_simhash, op13_periodic_runs)}
 
 
 _OP7_SQL = r"""
