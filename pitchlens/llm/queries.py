@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchlens.llm import (
-    chat, covering, decontam, encode, neardup, periodic, pii, quality, sharding, substrings, tokencount, toxicity,
+    chat, covering, decontam, encode, merkle, neardup, periodic, pii, quality, sharding, substrings, tokencount, toxicity,
 )
 from pitchlens.llm.common import table
 
@@ -78,6 +78,17 @@ def op11_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tampering: where 3 divides the checksum of the id, A-Z of the text in lower case."""
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    tampered = merkle.leaf([*map(F.col, merkle.FIELDS[:-1]), F.translate("text", capitals, capitals.lower())])
+    altered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, tampered)
+    found = merkle.manifest(table(spark, sf_dir, "documents"), carry={"altered": altered})
+    return found.withColumn("folded_root", merkle.folded(F.coalesce("altered", "leaf"), F.col("path"))).select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof(F.col("path")), 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def with_planted_runs(docs: DataFrame) -> DataFrame:
     """doc_id and text; in every tenth document, by the checksum h of its id, the words
     from a = h // 10 % n on repeat the p words from a on.  Rows without an id stay."""
@@ -109,7 +120,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_virtual_slots, op2_decision_list, op3_near_duplicates, op4_token_counts, op5_contextual_pii,
         op6_toxic_segments, op7_chat_round_trip, op8_repeated_substrings, op9_shared_prefix_encoding,
-        op10_fm_index_decontamination, op11_covering_simhash, op13_periodic_runs)}
+        op10_fm_index_decontamination, op11_covering_simhash, op12_merkle_manifest, op13_periodic_runs)}
 
 
 _OP7_SQL = r"""
@@ -137,5 +148,57 @@ GROUP BY conv_id
 """
 
 
+def merkle_sql(levels: int = 8, group_levels: int = 4) -> str:
+    """The manifest with a table per level; groups of up to 8 ** levels rows."""
+    field = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR END"
+    row = " || ".join(field.format(c) for c in merkle.FIELDS[:-1])
+    steps = "list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    crc = (f"xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),"
+           f" lambda c, b: xor(c >> 8, {steps.replace('xor(c, b)', 'xor(c, b) & 255')})), 4294967295)")
+    ctes = [f"""leaves AS (
+    SELECT doc_id, lang, sha256({row} || {field.format('text')}) AS leaf,
+        CASE WHEN {crc} % 3 = 0 THEN sha256({row} || {field.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) END AS altered
+    FROM documents
+)""", """ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id, leaf) - 1 AS r, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+)""", "a0 AS (SELECT lang, r, n, leaf AS h FROM ranked)"]
+
+    def climb(t: str, depth: int) -> None:
+        for k in range(depth):
+            ctes.append(f"""{t}{k + 1} AS (
+    SELECT lang, r // 8 AS r, (any_value(n) + 7) // 8 AS n,
+        CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY r)) ELSE any_value(h) END AS h
+    FROM {t}{k} GROUP BY lang, r // 8
+)""")
+            ctes.append(f"""{t}s{k} AS (
+    SELECT lang, r, n, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lft,
+        coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rgt
+    FROM {t}{k} WINDOW w AS (PARTITION BY lang, r // 8 ORDER BY r)
+)""")
+
+    def fold(t: str, depth: int, before: str, at: str, lang: str) -> str:
+        for k in range(depth):
+            ctes.append(f"""{t}f{k} AS (
+    SELECT p.* REPLACE (CASE WHEN s.n > 1 THEN sha256(s.lft || p.folded || s.rgt) ELSE p.folded END AS folded,
+        CASE WHEN s.n > 1 THEN p.proof || s.lft || s.rgt ELSE p.proof END AS proof)
+    FROM {before} p JOIN {t}s{k} s ON s.lang IS NOT DISTINCT FROM {lang} AND s.r = p.{at} // {8 ** k}
+)""")
+            before = f"{t}f{k}"
+        return before
+
+    climb("a", levels)
+    ctes.append(f"""g0 AS (
+    SELECT 0 AS lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS r, count(*) OVER () AS n, h, lang AS name FROM a{levels}
+)""")
+    climb("g", group_levels)
+    ctes.append("paths AS (SELECT doc_id, lang, leaf, r, coalesce(altered, leaf) AS folded, '' AS proof FROM ranked)")
+    last = fold("a", levels, "paths", "r", "p.lang")
+    ctes.append(f"grouped AS (SELECT p.*, g.r AS g, g.h AS subroot FROM {last} p JOIN g0 g ON g.name IS NOT DISTINCT FROM p.lang)")
+    last = fold("g", group_levels, "grouped", "g", "0")
+    return f"""WITH {', '.join(ctes)}
+SELECT doc_id, leaf, subroot, root.h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root.h AS verified
+FROM {last}, g{group_levels} root"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_chat_round_trip": _OP7_SQL}
+    return {"op7_chat_round_trip": _OP7_SQL, "op12_merkle_manifest": merkle_sql()}
