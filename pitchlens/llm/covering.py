@@ -15,8 +15,8 @@
    bucket.  A bucket of more than ``limit`` is dealt again by a second family of
    masks over what the first leaves open, and so on: each family covers all close
    pairs, so none is lost, rows grow 31-fold for hot buckets only, and each family
-   about halves the open places, so a bucket of distinct fingerprints comes under
-   any limit.
+   about halves the open places.  Some table of each leaves any ``radius`` places
+   open, so distinct fingerprints come under a limit well above 2 ** radius.
 4. *Components.*  What links inside a bucket leaves the task as one tree per connected
    part (node k linked to node (k - 1) // 2), not as pairs: no more rows than came in,
    no node of high degree.  Trees are merged by label propagation with pointer
@@ -161,6 +161,8 @@ def _linked(members: DataFrame, kind: str, radius: int) -> DataFrame:
 def links(nodes: DataFrame, radius: int = RADIUS, limit: int = LIMIT) -> DataFrame:
     """(a, b): names (``first``) of fingerprints (``fp``, distinct) that span the components of
     the fingerprints within ``radius`` bits of one another."""
+    if limit < 4 ** radius:
+        raise ValueError(f"a limit below {4 ** radius} may never be reached")
     kind = nodes.schema["first"].dataType.simpleString()
 
     def dealt(rows: DataFrame, family: int) -> DataFrame:

@@ -102,10 +102,12 @@ def _opened(blocks: DataFrame, paths: DataFrame | None) -> DataFrame:
     return rows.select("tree", "hash", F.col("kids").alias("own"), "path", "top")
 
 
-def _ranked(nodes: DataFrame, order: Sequence[str]) -> DataFrame:
+def _ranked(nodes: DataFrame, order: Sequence[str], one_tree: bool = False) -> DataFrame:
     """``nodes`` with rank (from 0, in its tree) and n (nodes of the tree)."""
-    sizes = nodes.groupBy("tree").agg(F.count("*").alias("n")).withColumnRenamed("tree", "of")
     ranked = sequence_number(nodes, ["tree"], order, "rank", spread=True).withColumn("rank", F.col("rank") - 1)
+    if one_tree:
+        return ranked.withColumn("n", nodes.select(F.count("*")).scalar())
+    sizes = nodes.groupBy("tree").agg(F.count("*").alias("n")).withColumnRenamed("tree", "of")
     return ranked.join(sizes, F.col("tree").eqNullSafe(F.col("of"))).drop("of")
 
 
@@ -122,7 +124,7 @@ def manifest(docs: DataFrame, fields: Sequence[str] = FIELDS, group: str = "lang
     groups = stored(subroots, "merkle-subroots").select(
         F.lit("").alias("tree"), "hash", F.col("tree").isNotNull().alias("named"), F.col("tree").alias("name"),
         F.struct(F.col("tree").alias("name")).alias("own"))
-    above, top = _climbed(_ranked(groups, ["named", "name"]).drop("named", "name"), "groups")
+    above, top = _climbed(_ranked(groups, ["named", "name"], one_tree=True).drop("named", "name"), "groups")
     root = next((r["hash"] for r in top.take(1)), None)
 
     paths = None
