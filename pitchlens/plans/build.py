@@ -2,8 +2,9 @@
 
 Staging and intermediate models are views (lazy DataFrames).  What several marts
 read is stored once by the model graph (``models.py``), so a lost executor costs
-a re-read of files.  Marts are written whole, replacing the previous build (S6 /
-S11).
+a re-read of files.  Marts are written whole and published together: readers see
+all marts of the last build or all of this one (S6 / S11), and a mart whose declared
+grain is violated refuses the build (S9).
 """
 
 from __future__ import annotations
@@ -17,21 +18,22 @@ from pitchlens.plans.league_views import LeagueInputs, league_inputs
 from pitchlens.plans.marts import weekly_top_picks
 from pitchlens.plans.models import LeagueModels
 from pitchlens.session import get_session
-from pitchlens.sources.tables import read_table, replace_table
+from pitchlens.sources.published import publish
+from pitchlens.sources.tables import read_table
 
 MARTS = ("player_picks", "fixture_ticker", "backtest_picks")
+# unique keys; a double gameweek gives an appearance several rows in backtest_picks
+GRAINS = {"player_picks": ["player_id"], "fixture_ticker": ["team_id", "fixture_order"]}
 
 
 def build(spark: SparkSession, raw: LeagueInputs, out_root: str, season: Sequence[str] = ()) -> dict[str, str]:
-    """Materialise the marts under ``out_root/marts``; return their paths."""
-    root = out_root.rstrip("/")
+    """Publish the marts as the next version of ``out_root/marts``; return their paths, for
+    ``read_table``."""
+    root = f"{out_root.rstrip('/')}/marts"
     m = LeagueModels(raw, season=season)
-    paths = {}
-    for name in MARTS:
-        path = f"{root}/marts/{name}"
-        replace_table(m.model(name), path)
-        paths[name] = path
-    return paths
+    publish(spark, root, {name: m.model(name) for name in MARTS},
+            {name: [*season, *keys] for name, keys in GRAINS.items()})
+    return {name: f"{root}/{name}" for name in MARTS}
 
 
 def top_picks(spark: SparkSession, picks_path: str, k: int = 10) -> DataFrame:

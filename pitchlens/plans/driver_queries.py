@@ -28,6 +28,7 @@ from pitchlens.operators.rolling import (
 from pitchlens.plans.league_views import driver_tables, team_mapping
 from pitchlens.session import checkpoint_root
 from pitchlens.sources import landing as L
+from pitchlens.sources.published import GrainViolation, Load, publish, version, versions, violations
 from pitchlens.sources.tables import check_grain, full_model, load_seed, model_path, read_table, register_view
 
 ORDER_KEYS = ["o_custkey"]
@@ -198,6 +199,7 @@ CUSTOMER_SCHEMA = T.StructType([
     T.StructField("c_acctbal", T.DoubleType()),
     T.StructField("c_mktsegment", T.StringType()),
 ])
+SUPPLIER_SCHEMA = T.StructType([T.StructField("s_suppkey", T.LongType()), T.StructField("s_nationkey", T.IntegerType())])
 ORDER_SCHEMA = T.StructType([
     T.StructField("o_orderkey", T.LongType()),
     T.StructField("o_custkey", T.LongType()),
@@ -297,6 +299,59 @@ def replaced_model(spark, sf_dir):
     return read_table(spark, model_path(spark, "customers", root))
 
 
+def _nation_loads(spark, sf_dir) -> tuple[str, GrainViolation]:
+    """Two loads of customers and suppliers; a third, with a nation's rows twice, is refused.
+    Returns the root and the refusal."""
+    t = driver_tables(spark, sf_dir)
+    root = _shared_folder(spark, "loads")
+    grains = {"customers": ["c_custkey"], "suppliers": ["s_suppkey"]}
+    cu, su = t.customer.select("c_custkey", "c_nationkey", "c_acctbal"), t.supplier.select("s_suppkey", "s_nationkey", "s_acctbal")
+    publish(spark, root, {"customers": cu, "suppliers": su}, grains)
+    publish(spark, root, {"customers": cu.where("c_acctbal > 0"), "suppliers": su.where("s_acctbal > 0")}, grains)
+    try:
+        publish(spark, root, {"customers": cu.unionAll(cu.where("c_nationkey = 7")), "suppliers": su.limit(0)}, grains)
+    except GrainViolation as refused:
+        return root, refused
+    raise AssertionError("customers of nation 7 occur twice")
+
+
+def published_loads(spark, sf_dir):
+    """S6 + S12: rows by nation in every version of two tables that are replaced together."""
+    root, _ = _nation_loads(spark, sf_dir)
+    out = None
+    for number in versions(spark, root):
+        v = version(spark, root, number)
+        customers = v.read(spark, "customers").groupBy(F.col("c_nationkey").alias("nationkey")).agg(F.count("*").alias("customers"))
+        suppliers = v.read(spark, "suppliers").groupBy(F.col("s_nationkey").alias("nationkey")).agg(F.count("*").alias("suppliers"))
+        both = customers.join(suppliers, "nationkey", "full").select(
+            F.lit(number).cast("long").alias("version"), "nationkey", F.coalesce("customers", F.lit(0)).alias("customers"),
+            F.coalesce("suppliers", F.lit(0)).alias("suppliers"))
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
+def refused_load(spark, sf_dir):
+    """The stored violations of a load that its grain refused."""
+    return violations(spark, _nation_loads(spark, sf_dir)[1])["customers"]
+
+
+def feed_tables(spark, sf_dir):
+    """S1 + S6: documents with two record arrays, landed in one pass and published as two
+    tables, read back joined."""
+    t = driver_tables(spark, sf_dir)
+    key = F.floor(F.col("c_custkey") / F.lit(DOC_RECORDS))
+    cu = t.customer.groupBy(key.alias("doc")).agg(F.collect_list(F.struct(*CUSTOMER_COLUMNS)).alias("elements"))
+    su = t.supplier.groupBy(F.floor(F.col("s_suppkey") / F.lit(DOC_RECORDS)).alias("doc")).agg(
+        F.collect_list(F.struct("s_suppkey", "s_nationkey")).alias("teams"))
+    docs = cu.join(su, "doc", "full").select(F.to_json(F.struct("elements", "teams")).alias("value"))
+    load = Load(spark, _shared_folder(spark, "feeds"))
+    load.write_tagged(L.tagged_records(docs, {"customers": ("elements", CUSTOMER_SCHEMA), "suppliers": ("teams", SUPPLIER_SCHEMA)}),
+                      {"customers": ["c_custkey"], "suppliers": ["s_suppkey"]})
+    landed = load.commit()
+    suppliers = landed.read(spark, "suppliers").groupBy(F.col("s_nationkey").alias("c_nationkey")).agg(F.count("*").alias("suppliers"))
+    return landed.read(spark, "customers").drop("_record").join(suppliers, "c_nationkey", "left")
+
+
 def named_view(spark, sf_dir):
     """S10 + S12: a named view over a table, read by name."""
     register_view("customers_by_nation", driver_tables(spark, sf_dir).customer.groupBy("c_nationkey")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchlens.functions.columns import parsed_json
+from pitchlens.sources.published import TAG
 
 
 def read_documents(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
@@ -61,6 +62,39 @@ def load_array(spark: SparkSession, path: str, elem_schema: T.StructType, root:
     return read_documents(spark, path, schema, multi_line).select(F.inline(F.col(root)))
 
 
+def tagged_records(docs: DataFrame, arrays: Mapping[str, tuple[str, T.StructType]], doc_col: str = "value",
+                   record: str = "_record") -> DataFrame:
+    """S1 for several arrays at once: one pass over the documents, each parsed once.
+
+    ``arrays`` maps a table to its array field (empty: the document is the array) and
+    record schema.  A document becomes one variant; the elements of all its arrays
+    become rows (table name in ``TAG``), and each record's text is parsed by its
+    table's schema into the struct column of that name, which also keeps the whole
+    record as text in ``record``.  Other columns of ``docs`` are kept in the structs.
+    ``Load.write_tagged`` stores the rows as tables.
+    A document, an array or a record of another type fails the load; null or missing
+    arrays give no rows.
+    """
+    kept = [c for c in docs.columns if c != doc_col]
+    whole = docs.select(*kept, F.parse_json(doc_col).alias("__pl_doc"))
+    if any(field for field, _ in arrays.values()):  # a document that is no object fails here
+        whole = whole.withColumn("__pl_fields", F.variant_get("__pl_doc", "$", "map<string,variant>"))
+    element = f"array<struct<{TAG}:string,r:variant>>"
+
+    def elements(table: str, field: str) -> Column:
+        array = F.variant_get(F.try_element_at("__pl_fields", F.lit(field)) if field else "__pl_doc", "$", "array<variant>")
+        return F.coalesce(F.transform(array, lambda r: F.struct(F.lit(table).alias(TAG), r.alias("r"))), F.array().cast(element))
+
+    rows = whole.select(*kept, F.explode(F.concat(*[elements(t, field) for t, (field, _) in arrays.items()])).alias("x"))
+    rows = rows.select(*kept, f"x.{TAG}", F.to_json("x.r").alias(record))
+
+    own = {t: F.when(F.col(TAG) == t, F.col(record)) for t in arrays}  # null text isn't parsed
+    rows = rows.withColumns({f"__pl_{t}": parsed_json(own[t], schema) for t, (_, schema) in arrays.items()})
+    return rows.select(TAG, *[
+        F.when(F.col(TAG) == t, F.struct(*[F.col(c) for c in kept], *[F.col(f"__pl_{t}.{f.name}") for f in schema.fields], F.col(record))).alias(t)
+        for t, (_, schema) in arrays.items()])
+
+
 def flatten_history(entity_docs: DataFrame, entities: DataFrame, active: Column, entity_key: str,
                     doc_key: str, field: str = "history", elem_schema: T.StructType | None = None,
                     doc_col: str = "doc") -> DataFrame:

@@ -9,8 +9,10 @@ no other field is lost.  JSON keys keep their names, top-level columns become
 snake_case (S7), and the match feed's nested team / score objects stay JSON
 text (S5), which the staging model parses.
 
-``store_raw_tables`` parses every document once and stores each raw table whole,
-replacing the last load (S6); the models read the stored tables.
+``league_inputs_from_feeds`` lands all feeds as one load: every document is scanned
+and parsed once (the bootstrap's three arrays in one pass), the tables' grains are
+checked (S9), and all tables become visible together (S6); the models read the
+published tables.
 """
 
 from __future__ import annotations
@@ -23,8 +25,9 @@ from pyspark.sql import types as T
 
 from pitchlens.plans.league_views import LeagueInputs
 from pitchlens.functions.columns import parsed_json
-from pitchlens.sources.landing import nested_as_json, normalize_columns
-from pitchlens.sources.tables import TEAM_MAPPING_SCHEMA, load_seed, read_table, replace_table, stored_copy
+from pitchlens.sources.landing import nested_as_json, normalize_columns, tagged_records
+from pitchlens.sources.published import TAG, Load, publish
+from pitchlens.sources.tables import TEAM_MAPPING_SCHEMA, load_seed
 
 L, S, B, TS = T.LongType(), T.StringType(), T.BooleanType(), T.TimestampType()
 
@@ -98,11 +101,22 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("file"))
 
 
+BOOTSTRAP = {"players": ("elements", _struct(PLAYER_FIELDS)), "teams": ("teams", _struct(TEAM_FIELDS)),
+             "gameweeks": ("events", _struct(GAMEWEEK_FIELDS))}
+# unique keys of the raw tables; the seed's is declared by the feeds' owner, the others are the feeds' ids
+GRAINS = {"team_mapping": ["fpl_team_id"], "players": ["id"], "teams": ["id"], "gameweeks": ["id"], "fixtures": ["id"],
+          "player_gameweeks": ["element", "fixture"], "pl_matches": ["id"]}
+
+
+def bootstrap_records(spark: SparkSession, path: str) -> DataFrame:
+    """Players, teams and gameweeks of bootstrap documents, in one pass (tagged rows)."""
+    return tagged_records(read_texts(spark, path).select("value"), BOOTSTRAP, record=RECORD)
+
+
 def land_bootstrap(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Players, teams and gameweeks from bootstrap documents."""
-    docs = read_texts(spark, path).select("value")
-    return {"players": whole_records(docs, "elements", PLAYER_FIELDS), "teams": whole_records(docs, "teams", TEAM_FIELDS),
-            "gameweeks": whole_records(docs, "events", GAMEWEEK_FIELDS)}
+    """Players, teams and gameweeks as tables of their own."""
+    rows = bootstrap_records(spark, path)
+    return {t: rows.where(F.col(TAG) == t).select(f"{t}.*") for t in BOOTSTRAP}
 
 
 def land_fixtures(spark: SparkSession, path: str) -> DataFrame:
@@ -144,25 +158,36 @@ def land_scorers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def store_raw_tables(spark: SparkSession, tables: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
-    """Write every raw table whole and return readers of the stored tables.
+    """Publish raw tables together and return readers of them.
 
-    All tables are parsed into a load folder before any is replaced, so a document
-    that doesn't parse leaves the last load as it was.
+    A document that doesn't parse, or a grain that is violated, leaves the last load as it was.
     """
-    loaded = {name: stored_copy(df, f"load-{name}") for name, df in tables.items()}
-    for name, df in loaded.items():
-        replace_table(df, f"{root.rstrip('/')}/{name}")
-    return {name: read_table(spark, f"{root.rstrip('/')}/{name}") for name in tables}
+    new = publish(spark, root, tables, {t: keys for t, keys in GRAINS.items() if t in tables})
+    return {name: new.read(spark, name) for name in tables}
 
 
 def league_inputs_from_feeds(spark: SparkSession, bootstrap: str, fixtures: str, histories: str,
-                             matches: str, team_mapping_csv: str, raw_root: str) -> LeagueInputs:
-    """Land the feeds, store the raw tables under ``raw_root`` and read them as the models' inputs."""
-    boot = store_raw_tables(spark, land_bootstrap(spark, bootstrap), raw_root)
-    raw = store_raw_tables(spark, {
+                             matches: str, team_mapping_csv: str, raw_root: str, standings: str | None = None,
+                             scorers: str | None = None) -> LeagueInputs:
+    """Land the feeds as one load of ``raw_root`` and read it as the models' inputs.
+
+    ``standings`` and ``scorers``, where given, are stored as ``pl_standings`` and
+    ``pl_scorers`` in the same load; no model reads them.
+    """
+    load = Load(spark, raw_root)
+    boot = load.write_tagged(bootstrap_records(spark, bootstrap), GRAINS)
+    rest = {
+        "team_mapping": load_seed(spark, team_mapping_csv, TEAM_MAPPING_SCHEMA),
         "fixtures": land_fixtures(spark, fixtures),
         "player_gameweeks": land_histories(spark, histories, boot["players"]),
         "pl_matches": land_matches(spark, matches),
-    }, raw_root)
-    return LeagueInputs(teams=boot["teams"], players=boot["players"],
-                        team_mapping=load_seed(spark, team_mapping_csv, TEAM_MAPPING_SCHEMA), **raw)
+    }
+    if standings:
+        rest["pl_standings"] = land_standings(spark, standings)
+    if scorers:
+        rest["pl_scorers"] = land_scorers(spark, scorers)
+    for name, df in rest.items():
+        load.write(name, df, GRAINS.get(name, ()))
+    new = load.commit()
+    return LeagueInputs(**{t: new.read(spark, t) for t in (
+        "teams", "players", "team_mapping", "fixtures", "player_gameweeks", "pl_matches")})

@@ -6,10 +6,11 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchlens.session import checkpoint_root
+from pitchlens.sources.grain import check_grain  # noqa: F401  S9, with the tables
+from pitchlens.sources.published import is_published, publish, version
 
 # The team-mapping seed's column layout.
 TEAM_MAPPING_SCHEMA = T.StructType([
@@ -23,7 +24,8 @@ TEAM_MAPPING_SCHEMA = T.StructType([
 
 def replace_table(df: DataFrame, path: str, fmt: str = "parquet",
                   partition_by: Sequence[str] = ()) -> None:
-    """Write the whole table, replacing what was there (no append)."""
+    """S6 in place: write the whole table, replacing what was there (no append).  Readers
+    see the table missing meanwhile; ``published.publish`` replaces in one step."""
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -43,16 +45,6 @@ def load_seed(spark: SparkSession, path: str, schema: T.StructType = TEAM_MAPPIN
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
-def check_grain(df: DataFrame, keys: Sequence[str], count_col: str = "n") -> DataFrame:
-    """Rows of ``keys`` that occur more than once (empty when the grain holds).
-
-    A plain aggregation: partial counts are combined map-side, so a hot key
-    costs one row per map task in the shuffle.
-    """
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
-              .where(F.col(count_col) > F.lit(1)))
-
-
 def register_view(name: str, df: DataFrame) -> DataFrame:
     """A named, unstored model."""
     df.createOrReplaceTempView(name)
@@ -63,17 +55,22 @@ def model_path(spark: SparkSession, name: str, root: str | None = None) -> str:
     return f"{(root or checkpoint_root(spark)).rstrip('/')}/models/{name}"
 
 
-def full_model(spark: SparkSession, name: str, df: DataFrame, root: str | None = None) -> DataFrame:
-    """Store the model whole (replacing the last build) and return the
-    stored table.  The read-back is the lineage cut: later models start from
-    files on shared storage, which survive the loss of any executor."""
+def full_model(spark: SparkSession, name: str, df: DataFrame, root: str | None = None,
+               grain: Sequence[str] = ()) -> DataFrame:
+    """Store the model whole as the newest version (the last build stays until then,
+    and where ``grain`` is violated) and return the stored table.  The read-back is the
+    lineage cut: later models start from files on shared storage, which survive the
+    loss of any executor."""
     path = model_path(spark, name, root)
-    replace_table(df, path)
-    return spark.read.parquet(path)
+    return publish(spark, path.rsplit("/", 1)[0], {name: df}, {name: grain}).read(spark, name)
 
 
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
-    """A catalog table / temp view by name, or a parquet path."""
-    if "/" in name_or_path:
-        return spark.read.parquet(name_or_path)
-    return spark.table(name_or_path)
+    """A catalog table / temp view by name, or a path: a published table's
+    (``<root>/<table>``: its newest version) or a parquet folder."""
+    if "/" not in name_or_path:
+        return spark.table(name_or_path)
+    root, name = name_or_path.rstrip("/").rsplit("/", 1)
+    if is_published(spark, root):
+        return version(spark, root).read(spark, name)
+    return spark.read.parquet(name_or_path)

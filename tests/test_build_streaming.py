@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from pitchlens.plans.league_views import league_inputs
 from pitchlens.plans.build import build, top_picks
+from pitchlens.sources.tables import read_table
 from pitchlens.streaming.refresh import start_refresh
 from tests.conftest import SF_SMALL
 
@@ -16,7 +17,7 @@ from tests.conftest import SF_SMALL
 def test_build_writes_marts_and_top_picks(spark, tmp_dir):
     paths = build(spark, league_inputs(spark, SF_SMALL), tmp_dir)
     assert set(paths) == {"player_picks", "fixture_ticker", "backtest_picks"}
-    picks = spark.read.parquet(paths["player_picks"])
+    picks = read_table(spark, paths["player_picks"])
     assert picks.count() > 0 and "pick_score" in picks.columns
     top = top_picks(spark, paths["player_picks"]).collect()
     assert len(top) == 10
@@ -25,7 +26,7 @@ def test_build_writes_marts_and_top_picks(spark, tmp_dir):
     # a second build replaces, it does not append
     n = picks.count()
     build(spark, league_inputs(spark, SF_SMALL), tmp_dir)
-    assert spark.read.parquet(paths["player_picks"]).count() == n
+    assert read_table(spark, paths["player_picks"]).count() == n
 
 
 ELEM = T.StructType([T.StructField("id", T.LongType()), T.StructField("web_name", T.StringType())])
@@ -43,7 +44,7 @@ def _land(landing, load, name, doc, age):
 def _refresh(spark, landing, out, name):
     q = start_refresh(spark, landing, DOC, {"elements": "players", "teams": "teams"}, out, name=name)
     q.awaitTermination(120)
-    return sorted(r.id for r in spark.read.parquet(os.path.join(out, "players")).collect())
+    return sorted(r.id for r in read_table(spark, os.path.join(out, "players")).collect())
 
 
 def test_streaming_refresh_replaces_with_the_latest_load(spark, tmp_dir):
@@ -53,7 +54,7 @@ def test_streaming_refresh_replaces_with_the_latest_load(spark, tmp_dir):
     _land(landing, "week2", "a.json", {"elements": [person(1)], "teams": [person(9)]}, 2)
     _land(landing, "week2", "b.json", {"elements": [person(2)], "teams": []}, 3)
     assert _refresh(spark, landing, out, "t1") == [1, 2]      # week 2 wins, with both its files
-    assert spark.read.parquet(os.path.join(out, "teams")).count() == 1
+    assert read_table(spark, os.path.join(out, "teams")).count() == 1
     # week 3 lands: the next run replaces again; old files are not re-read
     _land(landing, "week3", "a.json", {"elements": [person(7)], "teams": []}, 4)
     assert _refresh(spark, landing, out, "t1") == [7]
@@ -66,5 +67,5 @@ def test_a_corrupt_payload_stops_the_batch(spark, tmp_dir):
     _land(landing, "week2", "a.json", '{"elements": [{"id": 5}], "teams": [{"id"', 2)
     with pytest.raises(Exception):
         _refresh(spark, landing, out, "t2")
-    assert [r.id for r in spark.read.parquet(os.path.join(out, "players")).collect()] == [1]
-    assert spark.read.parquet(os.path.join(out, "teams")).count() == 1
+    assert [r.id for r in read_table(spark, os.path.join(out, "players")).collect()] == [1]
+    assert read_table(spark, os.path.join(out, "teams")).count() == 1

@@ -9,6 +9,7 @@ from pitchlens.plans.models import LeagueModels
 from pitchlens.sources.league_feeds import (
     land_bootstrap, land_histories, land_scorers, land_standings, league_inputs_from_feeds, store_raw_tables,
 )
+from pitchlens.sources.tables import read_table
 
 
 def _player(pid, team, pos, form, minutes=900, status="a"):
@@ -102,7 +103,7 @@ def test_a_broken_load_leaves_the_tables(spark, tmp_dir):
     _write(bad, {"elements": [{"id": 9}], "teams": [{"id": "two"}], "events": []})
     with pytest.raises(Exception):
         store_raw_tables(spark, land_bootstrap(spark, bad), root)
-    assert [r.id for r in spark.read.parquet(f"{root}/players").collect()] == [1]
+    assert [r.id for r in read_table(spark, f"{root}/players").collect()] == [1]
     _write(good, {"elements": [{"id": 3}, {"id": 4}], "teams": [], "events": []})
     stored = store_raw_tables(spark, land_bootstrap(spark, good), root)
     assert sorted(r.id for r in stored["players"].collect()) == [3, 4] and stored["teams"].count() == 0
