@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +28,7 @@ from pitchlens.operators.rolling import (
 from pitchlens.plans.league_views import driver_tables, team_mapping
 from pitchlens.session import checkpoint_root
 from pitchlens.sources import landing as L
+from pitchlens.sources.large_json import read_records
 from pitchlens.sources.published import GrainViolation, Load, publish, version, versions, violations
 from pitchlens.sources.tables import check_grain, full_model, load_seed, model_path, read_table, register_view
 
@@ -208,6 +209,8 @@ ORDER_SCHEMA = T.StructType([
     T.StructField("o_orderdate", T.TimestampNTZType()),
     T.StructField("o_orderpriority", T.StringType()),
 ])
+# Records of one array file of the large-array query.
+ARRAY_RECORDS = 10_000
 # Documents hold at most this many records, whatever the key distribution.
 DOC_RECORDS = 64
 
@@ -283,6 +286,20 @@ def loaded_array(spark, sf_dir):
     return L.load_array(spark, path, CUSTOMER_SCHEMA, multi_line=False)
 
 
+def large_array(spark, sf_dir):
+    """S2 on files read in pieces: customers written as files that are one JSON array each, over
+    many lines, and landed again."""
+    cu = driver_tables(spark, sf_dir).customer.select(F.floor(F.col("c_custkey") / F.lit(ARRAY_RECORDS)).alias("part"), *CUSTOMER_COLUMNS)
+    own = Window.partitionBy("part")
+    rows = cu.select("part", F.to_json(F.struct(*CUSTOMER_COLUMNS)).alias("text"),
+                     F.row_number().over(own.orderBy("c_custkey")).alias("k"), F.count("*").over(own).alias("n"))
+    path = _shared_folder(spark, "large-arrays")
+    line = F.concat(F.when(F.col("k") == 1, "[").otherwise(""), "text", F.when(F.col("k") == F.col("n"), "]").otherwise(","))
+    rows.sortWithinPartitions("part", "k").select("part", line.alias("value")).write.partitionBy("part").text(path)
+    records = read_records(spark, path, {"customers": ""}).withColumnRenamed("text", "_record").drop("file")
+    return L.typed_records(records, {"customers": CUSTOMER_SCHEMA}).select("customers.*").drop("_record")
+
+
 def loaded_seed(spark, sf_dir):
     """The team mapping written as CSV with a header and loaded as a seed."""
     path = _shared_folder(spark, "seed")

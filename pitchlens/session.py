@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -43,6 +44,20 @@ def get_session(
     return spark
 
 
+_SHIPPED = "_pitchlens_sources_shipped"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per Spark context, so that it needn't be
+    installed on the executors (as ``spark-submit --py-files`` does)."""
+    sc = spark.sparkContext
+    if not getattr(sc, _SHIPPED, False):
+        top = os.path.dirname(os.path.abspath(__file__))
+        into = os.path.join(tempfile.mkdtemp(prefix="pitchlens-sources-"), "pitchlens-sources")
+        sc.addPyFile(shutil.make_archive(into, "zip", os.path.dirname(top), os.path.basename(top)))
+        setattr(sc, _SHIPPED, True)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and materialised models.
 

@@ -62,6 +62,17 @@ def load_array(spark: SparkSession, path: str, elem_schema: T.StructType, root:
     return read_documents(spark, path, schema, multi_line).select(F.inline(F.col(root)))
 
 
+def typed_records(rows: DataFrame, schemas: Mapping[str, T.StructType], record: str = "_record") -> DataFrame:
+    """Rows of a table name (``TAG``), a record's text and other columns as tagged rows: the text
+    is parsed by its table's schema into the struct column of that name."""
+    kept = [c for c in rows.columns if c not in (TAG, record)]
+    own = {t: F.when(F.col(TAG) == t, F.col(record)) for t in schemas}  # null text isn't parsed
+    rows = rows.withColumns({f"__pl_{t}": parsed_json(own[t], schema) for t, schema in schemas.items()})
+    return rows.select(TAG, *[
+        F.when(F.col(TAG) == t, F.struct(*[F.col(c) for c in kept], *[F.col(f"__pl_{t}.{f.name}") for f in schema.fields], F.col(record))).alias(t)
+        for t, schema in schemas.items()])
+
+
 def tagged_records(docs: DataFrame, arrays: Mapping[str, tuple[str, T.StructType]], doc_col: str = "value",
                    record: str = "_record") -> DataFrame:
     """S1 for several arrays at once: one pass over the documents, each parsed once.
@@ -88,11 +99,7 @@ def tagged_records(docs: DataFrame, arrays: Mapping[str, tuple[str, T.StructType
     rows = whole.select(*kept, F.explode(F.concat(*[elements(t, field) for t, (field, _) in arrays.items()])).alias("x"))
     rows = rows.select(*kept, f"x.{TAG}", F.to_json("x.r").alias(record))
 
-    own = {t: F.when(F.col(TAG) == t, F.col(record)) for t in arrays}  # null text isn't parsed
-    rows = rows.withColumns({f"__pl_{t}": parsed_json(own[t], schema) for t, (_, schema) in arrays.items()})
-    return rows.select(TAG, *[
-        F.when(F.col(TAG) == t, F.struct(*[F.col(c) for c in kept], *[F.col(f"__pl_{t}.{f.name}") for f in schema.fields], F.col(record))).alias(t)
-        for t, (_, schema) in arrays.items()])
+    return typed_records(rows, {t: schema for t, (_, schema) in arrays.items()}, record)
 
 
 def flatten_history(entity_docs: DataFrame, entities: DataFrame, active: Column, entity_key: str,

@@ -25,7 +25,8 @@ from pyspark.sql import types as T
 
 from pitchlens.plans.league_views import LeagueInputs
 from pitchlens.functions.columns import parsed_json
-from pitchlens.sources.landing import nested_as_json, normalize_columns, tagged_records
+from pitchlens.sources.landing import nested_as_json, normalize_columns, tagged_records, typed_records
+from pitchlens.sources.large_json import read_records
 from pitchlens.sources.published import TAG, Load, publish
 from pitchlens.sources.tables import TEAM_MAPPING_SCHEMA, load_seed
 
@@ -108,8 +109,17 @@ GRAINS = {"team_mapping": ["fpl_team_id"], "players": ["id"], "teams": ["id"], "
           "player_gameweeks": ["element", "fixture"], "pl_matches": ["id"]}
 
 
-def bootstrap_records(spark: SparkSession, path: str) -> DataFrame:
+def large_records(spark: SparkSession, path: str, arrays: Mapping[str, tuple[str, T.StructType]]) -> DataFrame:
+    """``tagged_records`` of files too large for one task each: read in pieces; ``_record`` is a
+    record's text as it stands in the file."""
+    rows = read_records(spark, path, {table: field for table, (field, _) in arrays.items()})
+    return typed_records(rows.select(TAG, F.col("text").alias(RECORD)), {table: schema for table, (_, schema) in arrays.items()}, RECORD)
+
+
+def bootstrap_records(spark: SparkSession, path: str, large: bool = False) -> DataFrame:
     """Players, teams and gameweeks of bootstrap documents, in one pass (tagged rows)."""
+    if large:
+        return large_records(spark, path, BOOTSTRAP)
     return tagged_records(read_texts(spark, path).select("value"), BOOTSTRAP, record=RECORD)
 
 
@@ -119,9 +129,15 @@ def land_bootstrap(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {t: rows.where(F.col(TAG) == t).select(f"{t}.*") for t in BOOTSTRAP}
 
 
-def land_fixtures(spark: SparkSession, path: str) -> DataFrame:
+def _array(spark: SparkSession, path: str, field: str, fields: dict, large: bool) -> DataFrame:
+    if large:
+        return large_records(spark, path, {"r": (field, _struct(fields))}).select("r.*")
+    return whole_records(read_texts(spark, path).select("value"), field, fields)
+
+
+def land_fixtures(spark: SparkSession, path: str, large: bool = False) -> DataFrame:
     """The fixtures endpoint is a top-level array."""
-    return whole_records(read_texts(spark, path).select("value"), "", FIXTURE_FIELDS)
+    return _array(spark, path, "", FIXTURE_FIELDS, large)
 
 
 def land_histories(spark: SparkSession, path: str, players: DataFrame) -> DataFrame:
@@ -140,9 +156,9 @@ def _match_feed(rows: DataFrame) -> DataFrame:
     return nested_as_json(normalize_columns(rows), depth=0)
 
 
-def land_matches(spark: SparkSession, path: str) -> DataFrame:
+def land_matches(spark: SparkSession, path: str, large: bool = False) -> DataFrame:
     """Match rows."""
-    return _match_feed(whole_records(read_texts(spark, path).select("value"), "matches", MATCH_FIELDS))
+    return _match_feed(_array(spark, path, "matches", MATCH_FIELDS, large))
 
 
 def land_standings(spark: SparkSession, path: str) -> DataFrame:
@@ -168,19 +184,20 @@ def store_raw_tables(spark: SparkSession, tables: Mapping[str, DataFrame], root:
 
 def league_inputs_from_feeds(spark: SparkSession, bootstrap: str, fixtures: str, histories: str,
                              matches: str, team_mapping_csv: str, raw_root: str, standings: str | None = None,
-                             scorers: str | None = None) -> LeagueInputs:
+                             scorers: str | None = None, large: bool = False) -> LeagueInputs:
     """Land the feeds as one load of ``raw_root`` and read it as the models' inputs.
 
     ``standings`` and ``scorers``, where given, are stored as ``pl_standings`` and
-    ``pl_scorers`` in the same load; no model reads them.
+    ``pl_scorers`` in the same load; no model reads them.  ``large``: bootstrap, fixtures and
+    matches may be files larger than a task should hold.
     """
     load = Load(spark, raw_root)
-    boot = load.write_tagged(bootstrap_records(spark, bootstrap), GRAINS)
+    boot = load.write_tagged(bootstrap_records(spark, bootstrap, large), GRAINS)
     rest = {
         "team_mapping": load_seed(spark, team_mapping_csv, TEAM_MAPPING_SCHEMA),
-        "fixtures": land_fixtures(spark, fixtures),
+        "fixtures": land_fixtures(spark, fixtures, large),
         "player_gameweeks": land_histories(spark, histories, boot["players"]),
-        "pl_matches": land_matches(spark, matches),
+        "pl_matches": land_matches(spark, matches, large),
     }
     if standings:
         rest["pl_standings"] = land_standings(spark, standings)

@@ -7,8 +7,9 @@ import pytest
 
 from pitchlens.plans.models import LeagueModels
 from pitchlens.sources.league_feeds import (
-    land_bootstrap, land_histories, land_scorers, land_standings, league_inputs_from_feeds, store_raw_tables,
+    bootstrap_records, land_bootstrap, land_fixtures, land_histories, land_matches, land_scorers, land_standings, league_inputs_from_feeds, store_raw_tables,
 )
+from pitchlens.sources.published import TAG
 from pitchlens.sources.tables import read_table
 
 
@@ -114,3 +115,22 @@ def test_a_history_document_of_another_name_raises(spark, tmp_dir):
     players = spark.createDataFrame([(7, 90)], "id long, minutes long")
     with pytest.raises(Exception):
         land_histories(spark, tmp_dir, players).collect()
+
+
+def test_large_files_give_the_same_tables(spark, tmp_dir):
+    boot, fixtures, matches = (os.path.join(tmp_dir, f"{n}.json") for n in ("bootstrap", "fixtures", "matches"))
+    _write(boot, {"elements": [_player(k, 1, 3, "6.0") | {"news": "}],{" * k} for k in range(40)], "teams": [{"id": 1, "name": "One"}], "events": []})
+    _write(fixtures, [{"id": k, "event": k, "finished": True, "kickoff_time": "2025-08-11T15:00:00Z"} for k in range(50)])
+    _write(matches, {"count": 2, "matches": [{"id": k, "utcDate": "2025-08-11T15:00:00Z", "homeTeam": {"id": k, "name": "A"}} for k in range(9)]})
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    try:
+        for plain, large in ((land_fixtures(spark, fixtures), land_fixtures(spark, fixtures, large=True)),
+                             (land_matches(spark, matches), land_matches(spark, matches, large=True)),
+                             *(([bootstrap_records(spark, boot, large).where(f"{TAG} = '{t}'").select(f"{t}.*") for large in (False, True)])
+                               for t in ("players", "teams", "gameweeks"))):
+            assert plain.schema == large.schema
+            a, b = ([{**r.asDict(), "_record": json.loads(r["_record"])} for r in df.collect()] for df in (plain, large))
+            assert sorted(a, key=lambda r: r["id"]) == sorted(b, key=lambda r: r["id"])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
