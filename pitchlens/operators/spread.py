@@ -21,9 +21,8 @@ range bounds are sampled), no threshold, no per-key counts.
 
 Bounded frames see the same rows in the same order as one window per key, so
 results are identical, doubles too.  Running sums and means of FLOAT / DOUBLE
-columns are added as DECIMAL(27, ``SCALE``) and then cast back: the result is the
-exact sum of the values cast so, however the rows are split (a value of 1e15 or
-more raises).
+columns are added in exact limbs (``exactsum.py``): the result is the nearest double of
+the exact sum, however the rows are split.
 
 Rows are kept as they are; NULL keys are a key like any other; ties in the order
 may come in any order, as in a plain window.
@@ -37,9 +36,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pitchlens.operators.exactsum import Limbs, limbs_of
 from pitchlens.sources.tables import stored_copy
 
-SCALE = 12
 _P, _A, _B, _FIRST = "__pl_part", "__pl_place", "__pl_from_end", "__pl_run_start"
 
 
@@ -51,27 +50,28 @@ def _asc(order) -> list[Column]:
     return [_col(o).asc_nulls_last() for o in order]
 
 
-def _exact(df: DataFrame, c) -> Column:
-    """A running sum's input: exact whatever the order of adding."""
-    kind = df.select(_col(c)).schema[0].dataType
-    return _col(c).cast(T.DecimalType(27, SCALE)) if isinstance(kind, (T.FloatType, T.DoubleType)) else _col(c)
+def _parts(df: DataFrame, totals) -> list[Limbs | None]:
+    """How each aggregate's column is cut into limbs; None where it is added as it is."""
+    kinds = [a.col is not None and a.fn != "count" and isinstance(df.select(_col(a.col)).schema[0].dataType, (T.FloatType, T.DoubleType))
+             for a in totals]
+    cut = iter(limbs_of(df, [_col(a.col) for a, k in zip(totals, kinds, strict=True) if k]) if any(kinds) else ())
+    return [next(cut) if k else None for k in kinds]
 
 
-def running(df: DataFrame, agg, spec) -> tuple[Column, Column]:
-    """(sum, count) of a running frame that ends 0 or 1 rows before the current one."""
+def running(agg, spec, limbs: Limbs | None) -> tuple[list[Column], Column]:
+    """(sums, count) of a running frame that ends 0 or 1 rows before the current one."""
     if agg.frame.start is not None or agg.frame.end not in (0, -1) or agg.fn not in ("sum", "count", "avg"):
         raise ValueError("running frames are sum, count or avg up to lag 1")
     frame = spec.rowsBetween(Window.unboundedPreceding, agg.frame.end)
-    target = F.lit(1) if agg.col is None else _exact(df, agg.col)
-    return F.sum(target).over(frame), F.count(target).over(frame)
+    target = F.lit(1) if agg.col is None else _col(agg.col)
+    inputs = limbs.inputs(target) if limbs else [F.lit(1) if agg.fn == "count" else target]
+    return [F.sum(c).over(frame) for c in inputs], F.count(target).over(frame)
 
 
-def finished(agg, total: Column, n: Column, kind: T.DataType) -> Column:
+def finished(agg, sums: list[Column], n: Column, kind: T.DataType, limbs: Limbs | None) -> Column:
     if agg.fn == "count":
         return n.cast(kind)
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        # by way of text: the nearest double, which the direct cast misses for long decimals
-        total = total.cast("string").cast("double")
+    total = limbs.total(sums) if limbs else sums[0]
     return (total if agg.fn == "sum" else F.when(n > 0, total / n)).cast(kind)
 
 
@@ -91,6 +91,7 @@ def spread_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], aggs
     before = max([-a.frame.start for a in bounded.values() if a.frame.start < 0], default=0)
     after = max([a.frame.end for a in bounded.values() if a.frame.end > 0], default=0)
     kinds = {n: result_type(df, a) for n, a in aggs.items()} | ({seq_col: T.LongType()} if seq_col else {})
+    limbs = _parts(df, totals.values())
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     # 1. windows inside the ranges
@@ -98,11 +99,13 @@ def spread_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], aggs
     part = Window.partitionBy(_P)
     own = Window.partitionBy(_P, *keys).orderBy(*_asc(order))
     local = {}
+    sums: list[list[str]] = []  # names of each total's sums
     for i, a in enumerate(totals.values()):
-        local[f"__pl_s{i}"], local[f"__pl_n{i}"] = running(df, a, own)
-        # of the whole run, for the partitions after: the frame up to and with this row
-        whole = running(df, Agg(a.fn, a.col, Frame(None, 0)), own)
-        local[f"__pl_ts{i}"], local[f"__pl_tn{i}"] = whole
+        # the frame's, and those of the whole run, for the partitions after: up to and with this row
+        for kind, agg in (("", a), ("t", Agg(a.fn, a.col, Frame(None, 0)))):
+            values, local[f"__pl_{kind}n{i}"] = running(agg, own, limbs[i])
+            local |= {f"__pl_{kind}s{i}_{j}": c for j, c in enumerate(values)}
+        sums.append([f"s{i}_{j}" for j in range(len(values))])
     tagged = (df.repartitionByRange(n, *sort).withColumn(_P, F.spark_partition_id())
               .withColumns({_A: F.row_number().over(part.orderBy(*sort)), _B: F.count("*").over(part)})
               .withColumn(_B, F.col(_B) - F.col(_A) + 1)
@@ -118,9 +121,8 @@ def spread_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], aggs
     # a key's rows before this partition are the runs that end at the ends of earlier ones
     run = lambda c: F.sum(F.when(F.col(_B) == 1, F.col(c))).over(earlier)
     fixed = {f"__pl_f_{k}": agg_column(a, chain) for k, a in bounded.items()}
-    for i in range(len(totals)):
-        fixed[f"__pl_os{i}"] = F.when(F.col(_A) == 1, run(f"__pl_ts{i}"))
-        fixed[f"__pl_on{i}"] = F.when(F.col(_A) == 1, run(f"__pl_tn{i}"))
+    for name in [*(s for own_sums in sums for s in own_sums), *(f"n{i}" for i in range(len(totals)))]:
+        fixed[f"__pl_o{name}"] = F.when(F.col(_A) == 1, run(f"__pl_t{name}"))
     fix = (ends.select("*", *[c.alias(k) for k, c in fixed.items()])
            .where((F.col(_A) <= max(1, before)) | (F.col(_B) <= after)).select(_P, _A, *fixed))
     fix = stored_copy(fix, "window-ends")
@@ -136,11 +138,13 @@ def spread_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], aggs
     for k in bounded:
         columns[k] = F.when(F.col(f"e.{_P}").isNotNull(), F.col(f"e.__pl_f_{k}")).otherwise(F.col(f"r.__pl_b_{k}"))
     for i, (k, a) in enumerate(totals.items()):
-        # the sum of run totals has a wider type; cast back, or adding the two would cost a decimal
-        s = F.col(f"r.__pl_s{i}")
-        t = F.col(f"o.__pl_os{i}").cast(rows.schema[f"__pl_s{i}"].dataType)
-        total = F.when(s.isNull() & t.isNull(), F.lit(None)).otherwise(F.coalesce(s, F.lit(0)) + F.coalesce(t, F.lit(0)))
+        def whole(name: str) -> Column:
+            # the sum of run totals has a wider type; cast back, or adding the two would cost a decimal
+            x = F.col(f"r.__pl_{name}")
+            y = F.col(f"o.__pl_o{name}").cast(rows.schema[f"__pl_{name}"].dataType)
+            return F.when(x.isNull() & y.isNull(), F.lit(None)).otherwise(F.coalesce(x, F.lit(0)) + F.coalesce(y, F.lit(0)))
+
         count = F.coalesce(f"r.__pl_n{i}", F.lit(0)) + F.coalesce(f"o.__pl_on{i}", F.lit(0))
-        columns[k] = finished(a, total, count, kinds[k])
+        columns[k] = finished(a, [whole(name) for name in sums[i]], count, kinds[k], limbs[i])
     names = ([seq_col] if seq_col else []) + list(aggs)
     return out.select(*[F.col(f"r.{c}") for c in df.columns], *[columns[k].alias(k) for k in names])
