@@ -26,11 +26,12 @@ MARTS = ("player_picks", "fixture_ticker", "backtest_picks")
 GRAINS = {"player_picks": ["player_id"], "fixture_ticker": ["team_id", "fixture_order"]}
 
 
-def build(spark: SparkSession, raw: LeagueInputs, out_root: str, season: Sequence[str] = ()) -> dict[str, str]:
+def build(spark: SparkSession, raw: LeagueInputs, out_root: str, season: Sequence[str] = (),
+          buckets: int | None = None) -> dict[str, str]:
     """Publish the marts as the next version of ``out_root/marts``; return their paths, for
-    ``read_table``."""
+    ``read_table``.  ``buckets``: store what the player models read by player first."""
     root = f"{out_root.rstrip('/')}/marts"
-    m = LeagueModels(raw, season=season)
+    m = LeagueModels(raw, season=season, buckets=buckets)
     publish(spark, root, {name: m.model(name) for name in MARTS},
             {name: [*season, *keys] for name, keys in GRAINS.items()})
     return {name: f"{root}/{name}" for name in MARTS}
@@ -46,9 +47,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--sf-dir", required=True)
     ap.add_argument("--out", required=True)
     ap.add_argument("--master", default=None)
+    ap.add_argument("--buckets", type=int, default=None, help="store players and appearances in so many buckets by player")
     args = ap.parse_args(argv)
     spark = get_session(args.master)
-    paths = build(spark, league_inputs(spark, args.sf_dir), args.out)
+    paths = build(spark, league_inputs(spark, args.sf_dir), args.out, buckets=args.buckets)
     top_picks(spark, paths["player_picks"]).show(truncate=False)
 
 

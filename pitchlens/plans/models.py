@@ -19,18 +19,22 @@ from pitchlens.plans import intermediate as I
 from pitchlens.plans import marts as M
 from pitchlens.plans import staging as S
 from pitchlens.plans.league_views import LeagueInputs
+from pitchlens.sources.bucketed import stored_by_key
 from pitchlens.sources.tables import stored_copy
 
 
 class LeagueModels:
     """``season``: the input columns that tell seasons (and competitions) apart;
     none for inputs of one season.  They lead every window key, every lookup and
-    every output."""
+    every output.  ``buckets``: store the players and their appearances in so many
+    buckets by player when first used; the player models then read them without a
+    shuffle."""
 
-    def __init__(self, raw: LeagueInputs, on_fixture: bool = False, season: Sequence[str] = ()):
+    def __init__(self, raw: LeagueInputs, on_fixture: bool = False, season: Sequence[str] = (), buckets: int | None = None):
         self.raw = raw
         self.on_fixture = on_fixture
         self.season = tuple(season)
+        self.buckets = buckets
 
     # staging (views) ---------------------------------------------------
     @cached_property
@@ -64,11 +68,11 @@ class LeagueModels:
 
     @cached_property
     def player_rolling(self) -> DataFrame:
-        return I.player_rolling(self.stg_player_gameweeks, self.stg_players, 0, self.season)
+        return I.player_rolling(self.appearances, self.players, 0, self.season)
 
     @cached_property
     def player_rolling_lagged(self) -> DataFrame:
-        return I.player_rolling(self.stg_player_gameweeks, self.stg_players, 1, self.season)
+        return I.player_rolling(self.appearances, self.players, 1, self.season)
 
     @cached_property
     def fixture_difficulty(self) -> DataFrame:
@@ -78,6 +82,18 @@ class LeagueModels:
         """fixture_difficulty cut to the next ``horizon`` fixtures per team."""
         return I.fixture_difficulty(self.stg_fixtures, self.latest_team_stats, self.stg_teams, horizon, self.season)
 
+    # by player: stored with ``buckets``, else the views ------------------
+    def _by_player(self, df: DataFrame, tag: str, order: Sequence[str]) -> DataFrame:
+        return stored_by_key(df, tag, [*self.season, *I.PLAYER_KEYS], order, self.buckets) if self.buckets else df
+
+    @cached_property
+    def appearances(self) -> DataFrame:
+        return self._by_player(self.stg_player_gameweeks, "appearances", I.MATCH_ORDER)
+
+    @cached_property
+    def players(self) -> DataFrame:
+        return self._by_player(self.stg_players, "players", ())
+
     # stored: read more than once ----------------------------------------
     @cached_property
     def latest_team_stats(self) -> DataFrame:

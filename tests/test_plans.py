@@ -7,6 +7,8 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from pitchlens.plans.league_views import league_inputs
+from pitchlens.plans.models import LeagueModels
 from tests.conftest import SF_SMALL
 
 
@@ -99,3 +101,21 @@ def test_team_performance_is_computed_once(spark, name):
     """The team windows ran when their result was stored; the marts only read it."""
     final = _executed(E.queries()[name](spark, SF_SMALL)).split("== Initial Plan ==")[0]
     assert "home_attack_3gw" not in "".join(re.findall(r"Window \[[^\n]*", final))
+
+
+def test_bucketed_player_tables_are_joined_and_windowed_without_a_shuffle(spark):
+    """Stored by player, neither the join nor the window of the player models moves a row."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for t in ("-1", threshold):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", t)
+            m = LeagueModels(league_inputs(spark, SF_SMALL), buckets=4)
+            final = _executed(m.player_rolling_lagged.select("*")).split("== Initial Plan ==")[0]
+            assert "Window" in final and "Exchange hashpartitioning" not in final and "Bucketed: true" in final
+            plan = m.backtest_picks._jdf.queryExecution().executedPlan().toString()
+            assert not re.findall(r"Exchange hashpartitioning\(player_id#\d+L?,", plan)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    # the files are the buckets
+    stored = m.appearances
+    assert len(stored.inputFiles()) <= 4 and stored.count() == m.stg_player_gameweeks.count()
