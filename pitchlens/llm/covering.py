@@ -88,27 +88,21 @@ def trees(prints: np.ndarray, bucket: np.ndarray, radius: int) -> tuple[np.ndarr
     n = len(prints)
     ends = np.append(np.flatnonzero(np.diff(bucket)) + 1, n)
     rest = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(n)  # rows of the bucket from here on
-    a, b = [], []
+    label = np.arange(n)  # the first row of each row's part
     at, step = np.flatnonzero(rest > 1), 1
     while len(at):
-        near = at[np.bitwise_count(prints[at] ^ prints[at + step]) <= radius]
-        a.append(near)
-        b.append(near + step)
+        a = at[np.bitwise_count(prints[at] ^ prints[at + step]) <= radius]
+        b = a + step
+        while True:  # pairs of different parts: the later part joins the earlier one
+            unlike = label[a] != label[b]
+            if not unlike.any():
+                break
+            a, b = a[unlike], b[unlike]
+            np.minimum.at(label, np.maximum(label[a], label[b]), np.minimum(label[a], label[b]))
+            while not np.array_equal(label, label[label]):
+                label = label[label]
         step += 1
         at = at[rest[at] > step]
-    if not a:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    a, b = np.concatenate(a), np.concatenate(b)
-    label = np.arange(n)
-    while True:
-        new = label.copy()
-        low = np.minimum(label[a], label[b])
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if np.array_equal(new, label):
-            break
-        label = new
     order = np.argsort(label, kind="stable")
     own = label[order]
     first = np.searchsorted(own, own)
