@@ -4,16 +4,21 @@ Base kinds are found by their shape (e-mail, IP, card and phone numbers).  In
 addition unseen identifiers are found by bootstrapping:
 
 1. Every identifier-like token outside the base spans is a *candidate*; its
-   lexical pattern is the two tokens before it.  Base entities count as
-   instances of their patterns too.  Seed instances are the base entities and
-   long hexadecimal keys.
+   lexical pattern is the two tokens before it and what is glued to it, of each the
+   last ``TAIL`` characters.  Base entities count as instances of their patterns
+   too.  Seed instances are the base entities and long hexadecimal keys.
 2. (pattern, instance) edges with their counts are aggregated over the corpus.
    Spark scores the graph iteratively: a pattern's confidence is the share of
    its occurrences whose instances are trusted, shrunk by ``SHRINK``; an
-   instance is trusted as much as its best pattern.  Seeds stay at 1.
+   instance is trusted as much as its best pattern, and takes its kind from it.
+   Seeds stay at 1.  A pattern's kind is that of most of its seeds, or else of most
+   of its trusted instances.
 3. Patterns of at least ``LEAST_SUPPORT`` different instances and
-   ``LEAST_CONFIDENCE`` are kept; every candidate in such a context is
-   reported under the pattern's kind.
+   ``LEAST_CONFIDENCE`` are kept.  After ``ROUNDS`` rounds only kept patterns lend
+   trust (a pattern's doubtful instances don't raise it any further), and rounds go
+   on until none is added, so patterns are learned however many steps from a seed;
+   every step loses some confidence.  Every candidate in a kept context is reported
+   under the pattern's kind.
 
 A pattern never gathers its instances in one place: edges, scores and finds are
 aggregations and joins (a pattern with a third of all edges is a skewed join
@@ -29,6 +34,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -52,6 +58,7 @@ CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]*+[0-9][A-Za-z_+/=
 HEX_KEY = re.compile(r"[0-9a-f]{32,}")
 SHRINK = 3.0
 LEAST_SUPPORT, LEAST_CONFIDENCE, ROUNDS = 5, 0.6, 3
+TAIL = 80  # characters of a token in a pattern
 
 
 def luhn(digits: str) -> bool:
@@ -93,26 +100,32 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out)
 
 
-def context(text: str, start: int) -> str:
+def context(text: str, start: int, tokens: list[tuple[int, int]]) -> str:
     """The lexical pattern before a place: the two tokens before, lower case, and
-    what stands between the last white space and the place."""
-    line = text[max(0, start - 80):start]
-    glued = TOKEN.findall(line[-1:]) and TOKEN.findall(line)[-1:] or [""]
-    tokens = TOKEN.findall(line.lower())
-    if glued != [""]:
-        tokens = tokens[:-1]
-    return "\x1f".join([*([""] * 2 + tokens)[-2:], glued[0].lower()])
+    what stands between the last white space and the place; ``tokens`` are the text's."""
+    k = bisect_left(tokens, (start, start)) - 1  # the last token that begins before
+    glued = ""
+    if k >= 0 and tokens[k][1] >= start:
+        glued, k = text[max(tokens[k][0], start - TAIL):start], k - 1
+    before = [text[max(a, b - TAIL):b] for a, b in tokens[max(0, k - 1):k + 1]]
+    return "\x1f".join([*([""] * (2 - len(before))), *before, glued]).lower()
 
 
-def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str, str]]:
+def token_places(text: str) -> list[tuple[int, int]]:
+    return [m.span() for m in TOKEN.finditer(text)]
+
+
+def candidates(text: str, base: list[tuple[int, int, int]], tokens: list[tuple[int, int]] | None = None) -> list[tuple[int, int, str, str]]:
     """(start, end, pattern, instance) of identifier-like tokens outside the base spans."""
     out = []
     at = 0
+    if tokens is None:
+        tokens = token_places(text)
     for m in CANDIDATE.finditer(text):
         while at < len(base) and base[at][2] <= m.start():
             at += 1
         if not any(s < m.end() and m.start() < e for s, _, e in base[at:at + 8]):
-            out.append((m.start(), m.end(), context(text, m.start()), m.group()))
+            out.append((m.start(), m.end(), context(text, m.start(), tokens), m.group()))
     return out
 
 
@@ -130,9 +143,12 @@ def _occurrences(docs: DataFrame) -> DataFrame:
             out = []
             for i, text in enumerate(b.column(1).to_pylist()):
                 base = base_spans(text)
-                out.extend((i, context(text, a), KINDS[k], text[a:e], a, e) for a, k, e in base)
+                if not base and not CANDIDATE.search(text):
+                    continue
+                tokens = token_places(text)
+                out.extend((i, context(text, a, tokens), KINDS[k], text[a:e], a, e) for a, k, e in base)
                 out.extend((i, p, "secret" if HEX_KEY.fullmatch(x) else None, x, a, e)
-                           for a, e, p, x in candidates(text, base))
+                           for a, e, p, x in candidates(text, base, tokens))
             row, pattern, known, instance, start, end = zip(*out, strict=True) if out else ((),) * 6
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(pa.array(row, pa.int64())), pa.array(pattern, pa.string()), pa.array(known, pa.string()),
@@ -151,19 +167,39 @@ def learned_patterns(occurrences: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     able = (edges.where(F.translate("pattern", "\x1f", "") != "").groupBy("pattern")
             .agg(F.count("*").alias("support")).where(F.col("support") >= LEAST_SUPPORT))
     edges = stored(edges.join(able, "pattern"), "pii-edges")
-    trust = edges.groupBy("instance").agg(F.max(F.col("kind").isNotNull().cast("double")).alias("trust"))
+    seeds = edges.where("kind is not null").groupBy("instance").agg(F.max("kind").alias("own"))
+
+    def trusted(patterns: DataFrame | None) -> DataFrame:
+        """instance, trust, own (its kind): seeds, and what occurs in the patterns."""
+        if patterns is None:
+            return seeds.withColumn("trust", F.lit(1.0))
+        best = edges.join(patterns.select("pattern", "confidence", F.col("kind").alias("learned")), "pattern").groupBy("instance").agg(
+            F.max("confidence").alias("trust"), F.max_by("learned", "confidence").alias("learned"))
+        return best.join(seeds, "instance", "full").select(
+            "instance", F.when(F.col("own").isNotNull(), 1.0).otherwise(F.col("trust")).alias("trust"), F.coalesce("own", "learned").alias("own"))
+
+    def scored(trust: DataFrame) -> DataFrame:
+        """pattern, kind, support, confidence."""
+        weight = F.col("n") * F.coalesce("trust", F.lit(0.0))
+        sums = edges.join(trust, "instance", "left").groupBy("pattern").agg(
+            (F.sum(weight) / (F.sum("n") + SHRINK)).alias("confidence"), F.max("support").alias("support"),
+            *[F.sum(F.when(F.col("kind") == k, F.col("n"))).alias(f"n_{k}") for k in KINDS],
+            *[F.sum(F.when(F.col("own") == k, weight)).alias(f"w_{k}") for k in KINDS])
+        best = F.array_max(F.array(*[F.struct(F.coalesce(f"n_{k}", F.lit(0)).alias("n"), F.coalesce(f"w_{k}", F.lit(0.0)).alias("w"),
+                                              F.lit(k).alias("kind")) for k in KINDS]))
+        return sums.withColumn("best", best).select(
+            "pattern", F.when((F.col("best.n") > 0) | (F.col("best.w") > 0), F.col("best.kind")).alias("kind"), "support", "confidence")
+
+    patterns = None
     for _ in range(rounds):
-        scored = edges.join(trust, "instance")
-        patterns = scored.groupBy("pattern").agg(
-            (F.sum(F.col("n") * F.col("trust")) / (F.sum("n") + SHRINK)).alias("confidence"), F.max("support").alias("support"),
-            *[F.sum(F.when(F.col("kind") == k, F.col("n"))).alias(f"n_{k}") for k in KINDS])
-        patterns = stored(patterns, "pii-patterns")
-        trust = (edges.join(patterns.select("pattern", "confidence"), "pattern").groupBy("instance")
-                 .agg(F.max(F.when(F.col("kind").isNotNull(), 1.0).otherwise(F.col("confidence"))).alias("trust")))
-    # the kind most of a pattern's seeds have
-    kind = F.array_max(F.array(*[F.struct(F.coalesce(f"n_{k}", F.lit(0)).alias("n"), F.lit(k).alias("kind")) for k in KINDS]))
-    return (patterns.where(F.col("confidence") >= LEAST_CONFIDENCE).select("pattern", "confidence", "support", kind.alias("best"))
-            .where("best.n > 0").select("pattern", F.col("best.kind").alias("kind"), "support", "confidence"))
+        patterns = stored(scored(trusted(patterns)), "pii-patterns")
+    able = (F.col("confidence") >= LEAST_CONFIDENCE) & F.col("kind").isNotNull()
+    kept = stored(patterns.where(able), "pii-kept")
+    while True:
+        more = stored(scored(trusted(kept)).where(able).join(kept.select("pattern"), "pattern", "left_anti"), "pii-more")
+        if more.isEmpty():
+            return kept
+        kept = stored(kept.unionByName(more), "pii-kept")
 
 
 def discovered(docs: DataFrame) -> DataFrame:

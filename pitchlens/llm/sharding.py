@@ -11,9 +11,10 @@ DataFrame expressions; the only data that is brought together is one row per
 slot.
 
 Defined cases: a null text counts no bytes (size 1) and has the checksum of
-the empty text; null ids hash like any value; equal rows are counted once with
-their multiplicity and expanded at the end; an empty table gives no rows;
-further columns of the input are ignored.
+the empty text; null ids hash like any value; equal rows are counted once, dealt
+evenly over the slots from their own on (so a record that repeats fills no slot,
+and no task, with all its copies) and expanded at the end; an empty table gives no
+rows; further columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -36,12 +37,18 @@ def virtual_slot(n_slots: int = N_SLOTS) -> Column:
 
 
 def sized_records(docs: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
-    """One row per distinct record with its size, checksum, slot and number of copies."""
+    """Per distinct record its size and checksum, and the slots its copies are dealt to, a row
+    each, with the number of copies there."""
     text = F.coalesce("text", F.lit(""))
-    return (docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
+    records = (docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
                         F.crc32(text.cast("binary")).alias("text_crc32"),
                         virtual_slot(n_slots).alias("virtual_slot"))
-            .groupBy("doc_id", "size", "text_crc32", "virtual_slot").agg(F.count("*").alias("copies")))
+            .groupBy("doc_id", "size", "text_crc32", "virtual_slot").agg(F.count("*").alias("all")))
+    portions = F.least("all", F.lit(n_slots))
+    return (records.withColumn("portions", portions)
+            .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("portions") - 1)).alias("k"))
+            .select("doc_id", "size", "text_crc32", F.pmod(F.col("virtual_slot") + F.col("k"), F.lit(n_slots)).cast("int").alias("virtual_slot"),
+                    F.expr("all div portions + if(k < all % portions, 1, 0)").alias("copies")))
 
 
 def slot_loads(records: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
