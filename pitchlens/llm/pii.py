@@ -221,7 +221,7 @@ def _with_found(docs: DataFrame, *columns) -> DataFrame:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Per document: counts per base kind, the digest of the base spans, all spans."""
+    """Per document: counts per base kind, the digest of the base spans, all spans and their number."""
     id_kind = docs.schema["doc_id"].dataType.simpleString()
     keyed = docs.select("doc_id", "text", doc_key().alias("own"))
     own = keyed.schema["own"].dataType.simpleString()
@@ -249,7 +249,7 @@ def report(docs: DataFrame) -> DataFrame:
         ":", F.element_at(F.array(*map(F.lit, KINDS)), (s["kind"] + 1).cast("int")), s["start"].cast("string"), s["end"].cast("string"))), ",")
     return every.join(found, every["own"].eqNullSafe(found["key"]), "left").select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", text.alias("spans"),
-        F.coalesce(F.size("found"), F.lit(0)).cast("long").alias("n_learned"))
+        F.coalesce(F.size("found"), F.lit(0)).cast("long").alias("n_learned"), F.size(spans).cast("long").alias("n_spans"))
 
 
 def redacted(docs: DataFrame) -> DataFrame:

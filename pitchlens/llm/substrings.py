@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,18 +49,6 @@ GROUP = 512  # different blocks of one anchor that meet in one suffix array, at
 SUFFIX_BYTES = 1 << 20  # groups are packed into texts of about this size
 
 
-def _digest(raw: bytes) -> bytes:
-    return hashlib.blake2b(raw, digest_size=16).digest()
-
-
-def _digester():
-    try:
-        import xxhash
-    except ImportError:
-        return _digest
-    return lambda raw: xxhash.xxh3_128_digest(raw)
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(doc_key().alias("key"), F.coalesce("text", F.lit("")).cast("binary").alias("raw"))
 
@@ -70,7 +59,7 @@ def _blocks(docs: DataFrame, length: int, gram: int, full: bool) -> DataFrame:
     kind = keyed.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = _digester()
+        digest = xxhash.xxh3_128_digest
         for b in batches:
             keys, raws = b.column(0), b.column(1)
             parts, row, digests = [], [], []
@@ -193,7 +182,7 @@ def _fine(touched: DataFrame, length: int, keep: str, group: int) -> DataFrame:
     kind = touched.schema["key"].dataType.simpleString()
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = _digester()
+        digest = xxhash.xxh3_128_digest
         for b in batches:
             out: list[tuple] = []
             for i, (raw, blocks) in enumerate(zip(b.column(1), b.column(2).to_pylist(), strict=True)):
