@@ -107,6 +107,16 @@ def team_performance(stg_fixtures: DataFrame, lag: int = 0, season: Sequence[str
     return rows.select(*season, *TEAM_OUTPUT)
 
 
+HOME_MEANS = ["home_attack_3gw", "home_defense_3gw", "home_cs_rate_3gw"]
+
+
+def home_means(rows: DataFrame, lag: int = 0, season: Sequence[str] = ()) -> DataFrame:
+    """trailing means over a team's home matches alone, a row per home match."""
+    home = rows.where(F.col("venue") == F.lit("home")).withColumn("_clean", C.indicator(F.col("goals_against") == F.lit(0)))
+    means = zip(HOME_MEANS, ("goals_for", "goals_against", "_clean"), strict=True)
+    return rolling(home, [*season, *TEAM_KEYS], MATCH_ORDER, {name: Agg("avg", src, trailing(3, lag)) for name, src in means})
+
+
 PLAYER_CONTEXT = ["player_id", "player_name", "position", "team_id", "gameweek",
                   "opponent_team_id", "was_home", "total_points", "minutes", "price", "selected_by"]
 
