@@ -16,7 +16,7 @@ rows spans many partitions, and every key takes the same path:
    data - are stored and joined to the tagged rows.  Their number is bounded
    by the partition count, which is a setting, so that join is a broadcast.
 
-Two shuffles of the rows (by range, by partition), two reads of the input (the
+Two shuffles of the rows (by range, by the range's number), two reads of the input (the
 range bounds are sampled), no threshold, no per-key counts.
 
 Bounded frames see the same rows in the same order as one window per key, so
@@ -106,7 +106,8 @@ def spread_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], aggs
             values, local[f"__pl_{kind}n{i}"] = running(agg, own, limbs[i])
             local |= {f"__pl_{kind}s{i}_{j}": c for j, c in enumerate(values)}
         sums.append([f"s{i}_{j}" for j in range(len(values))])
-    tagged = (df.repartitionByRange(n, *sort).withColumn(_P, F.spark_partition_id())
+    # every range to the task of its number: hashed, several ranges would meet in one task
+    tagged = (df.repartitionByRange(n, *sort).withColumn(_P, F.spark_partition_id()).repartitionById(n, _P)
               .withColumns({_A: F.row_number().over(part.orderBy(*sort)), _B: F.count("*").over(part)})
               .withColumn(_B, F.col(_B) - F.col(_A) + 1)
               .withColumns({f"__pl_b_{k}": agg_column(a, own) for k, a in bounded.items()} | local
