@@ -20,6 +20,9 @@ CONTRACT = {
     "op6_toxic_segments": ["doc_id", "held_out", "score", "predicted"],
     "op8_repeated_substrings": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     "op9_shared_prefix_encoding": ["doc_id", "ids", "n_tokens", "round_trip"],
+    "op11_covering_simhash": ["doc_id", "fingerprint", "component_id"],
+    "op12_merkle_manifest": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
+    "op13_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
     "op10_fm_index_decontamination": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
 }
 
@@ -83,5 +86,5 @@ def test_pipeline_equals_its_stages_done_plainly(spark):
             assert text == t
 
 
-def test_entry_works_without_the_subpackage():
+def test_every_query_is_registered():
     assert {*queries.queries(), "pipeline"} <= set(__spark_entry__.queries())
