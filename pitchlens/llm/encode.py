@@ -20,8 +20,10 @@ from __future__ import annotations
 
 import hashlib
 import struct
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -48,23 +50,25 @@ def vocabulary_trie(path: str) -> dict:
 
 def encode_sorted(words: Iterable[str], root: dict, pieces: Pieces) -> Iterator[tuple[str, list[int]]]:
     """(word, ids) for marked words in sorted order."""
-    # per depth: best score, start of the last piece, its id (-1: unknown character), open nodes
-    score, start, last, open_at = [0.0], [0], [-1], [[]]
-    previous = ""
-    for word in words:
-        depth = 0
-        for a, b in zip(previous, word, strict=False):
+    # per depth: best score, start of the last piece, its id (-1: unknown character), open nodes;
+    # nodes are kept only as deep as the next word shares them
+    score, start, last, open_at = array("d", [0.0]), array("q", [0]), array("i", [-1]), [[]]
+    depth = 0
+    for word, after in pairwise(chain(words, [""])):
+        shared = 0
+        for a, b in zip(word, after, strict=False):
             if a != b:
                 break
-            depth += 1
+            shared += 1
         for state in (score, start, last, open_at):
             del state[depth + 1:]
+        opened = open_at[depth]
         for end in range(depth, len(word)):
             ch = word[end]
             top, top_start, top_id, single = None, end, -1, False
             still = []
             # open nodes are kept by start, earliest first; the one that starts here comes last
-            for s, node in open_at[end]:
+            for s, node in opened:
                 child = node.get(ch)
                 if child is not None:
                     still.append((s, child))
@@ -89,7 +93,9 @@ def encode_sorted(words: Iterable[str], root: dict, pieces: Pieces) -> Iterator[
             score.append(top)
             start.append(top_start)
             last.append(top_id)
-            open_at.append(still)
+            opened = still
+            if end < shared:
+                open_at.append(still)
         ids: list[int] = []
         at = len(word)
         while at:
@@ -102,7 +108,7 @@ def encode_sorted(words: Iterable[str], root: dict, pieces: Pieces) -> Iterator[
                 ids.append(pieces.unknown_id)
             at = s
         yield word, ids[::-1]
-        previous = word
+        depth = shared
 
 
 def encode_text(text: str, path: str = DEFAULT_MODEL) -> list[int]:
