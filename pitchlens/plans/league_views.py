@@ -26,8 +26,8 @@ SEED_SKIP_MOD = 5                  # suppliers with id % 5 = 0 have no mapping r
 
 @dataclass
 class DriverTables:
-    """Readers of the driver parquet files under ``sf_dir``.  Every access lists
-    the files anew: a table may have been replaced meanwhile."""
+    """Readers of the driver parquet files under ``sf_dir``.  A table's files are listed
+    (and a footer read) at its first access; make a new object to see a replaced table."""
 
     spark: SparkSession
     sf_dir: str
@@ -35,7 +35,8 @@ class DriverTables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name in ("spark", "sf_dir"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        self.__dict__[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.__dict__[name]
 
 
 def _team_count(t: DriverTables) -> Column:
