@@ -12,17 +12,18 @@
    distinct text; two texts agree in a sample with the probability of their
    weighted Jaccard similarity.  ``ROWS`` samples make a band.  At similarity
    0.8 two texts share none of the 13 bands with probability 9e-5.
-3. Candidates are found by rounds; after each, verified links make classes.
-   First, in every band's bucket each text meets the bucket's smallest and
-   largest text: aggregations and joins that split like any skewed join.  What is
-   still in different classes then meets inside the bucket: in a task, block
-   against block, sketches are compared (a byte per sample), and only pairs whose
-   sketches agree leave the task: each text's ``BEST`` best agreeing texts of other
-   classes, ``GROWTH`` times as many in each further round, and rounds go on until
-   one leaves out no agreeing text: then every agreeing pair between classes was tried.
-   Texts of a bucket are dealt into blocks of about ``BUCKET``; every block of
-   texts outside the bucket's largest class meets every block of the bucket in a
-   task of its own, so all pairs of a bucket meet, whatever its size.
+3. First, in every band's bucket each text meets the bucket's smallest and
+   largest text: aggregations and joins that split like any skewed join.  Verified
+   links make classes.  What is still in different classes then meets inside the
+   bucket: in a task, block against block, sketches are compared (a byte per
+   sample), and every pair whose sketches agree is verified there, in the first
+   bucket its texts share.  No pair leaves the task: only a forest that joins the
+   classes found linked, and each text's number of links, so rows stay in
+   proportion to the texts however many pairs a group has.
+   Texts of a bucket are dealt into blocks of about ``BUCKET`` texts and
+   ``BLOCK_BYTES``; every block of texts outside the bucket's largest class meets
+   every block of the bucket in a task of its own, so all pairs of a bucket meet,
+   whatever its size.
 4. Candidates are verified by the exact weighted Jaccard similarity of the
    whole texts, at least ``SIMILARITY``.
 5. Classes are the connected components of verified links, by label
@@ -39,7 +40,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -54,7 +54,8 @@ SIMILARITY = 0.8
 ROWS, BANDS = 3, 13
 FEATURES = 1 << 18  # hashed features document frequencies are counted for
 FLOOR = 0.75  # weight of a shingle that every document has, against 1 for the rarest
-BUCKET, BEST, GROWTH = 4096, 8, 8
+BUCKET = 4096
+BLOCK_BYTES = 8 << 20
 # a pair of at least SIMILARITY agrees in fewer of its samples with probability 3e-6
 LEAST_AGREEING = 19
 PIECE_BYTES = 1 << 20
@@ -232,73 +233,133 @@ def _agreeing(pairs: DataFrame) -> DataFrame:
     return map_batches(pairs.select("a", "sketch_a", "b", "sketch_b"), run, "a binary, b binary", batch_rows=10_000)
 
 
-def _cells(members: DataFrame, roots: DataFrame, bucket: int) -> DataFrame:
-    """band, row, col, node, sketch, root, asks, met: of buckets with several classes, the
-    cells (row block, column block) each text is in; it asks in its row, is met in its column."""
-    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    sizes = rooted.groupBy("band", "root").agg(F.count("*").alias("n")).groupBy("band").agg(
-        F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("largest"))
+def _cells(members: DataFrame, roots: DataFrame, texts: DataFrame, bucket: int, block_bytes: int) -> DataFrame:
+    """band, row, col, node, root, own, asks, met, sketch, bands, text: of buckets with several
+    classes, the cells (row block, column block) each text is in; it asks in its row, is met
+    in its column.  Texts of the bucket's largest class (not own) don't ask."""
+    rooted = (members.select("band", "node").join(texts.select("node", F.octet_length("text").alias("bytes")), "node")
+              .join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    sizes = rooted.groupBy("band", "root").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).groupBy("band").agg(
+        F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.max(F.struct("n", "root", "bytes")).alias("largest"))
+    blocks = lambda n, size: F.greatest(F.ceil(n / bucket), F.ceil(size / block_bytes))
     sizes = stored(sizes.where("n > largest.n").select(
-        "band", F.col("largest.root").alias("largest"), F.ceil((F.col("n") - F.col("largest.n")) / bucket).alias("rows"),
-        F.ceil(F.col("n") / bucket).alias("cols")), "near-sizes")
+        "band", F.col("largest.root").alias("largest"),
+        blocks(F.col("n") - F.col("largest.n"), F.col("bytes") - F.col("largest.bytes")).alias("rows"),
+        blocks(F.col("n"), F.col("bytes")).alias("cols")), "near-sizes")
     cell = lambda row, col: F.struct(row.alias("row"), col.alias("col"))
     placed = (rooted.join(sizes, "band").withColumn("own", F.col("root") != F.col("largest"))
               .withColumn("at_row", F.pmod(F.xxhash64("node"), "rows")).withColumn("at_col", F.pmod(F.xxhash64("node", "band"), "cols")))
     asked = F.when(F.col("own"), F.transform(F.sequence(F.lit(0), F.col("cols") - 1), lambda c: cell(F.col("at_row"), c)))
     met = F.transform(F.sequence(F.lit(0), F.col("rows") - 1), lambda r: cell(r, F.col("at_col")))
     dealt = placed.withColumn("cell", F.explode(F.array_union(F.coalesce(asked, F.array().cast("array<struct<row:bigint,col:bigint>>")), met)))
-    return dealt.select("band", "cell.row", "cell.col", "node", "sketch", "root",
+    return dealt.select("band", "cell.row", "cell.col", "node", "root", "own",
                         (F.col("own") & (F.col("cell.row") == F.col("at_row"))).alias("asks"),
-                        (F.col("cell.col") == F.col("at_col")).alias("met"))
-
-
-def _across(cells: DataFrame, best: int) -> DataFrame:
-    """Pairs (a, b) of a cell's texts in different classes (root) whose sketches agree
-    often enough: the ``best`` of each text that asks among those it meets.
-    A pair without b says that texts agree with more."""
-
-    def pairs(nodes: list, sketches: np.ndarray, roots: np.ndarray, asks: np.ndarray, met: np.ndarray) -> Iterator[tuple[bytes, bytes | None]]:
+                        (F.col("cell.col") == F.col("at_col")).alias("met")).join(texts, "node").select(
+        "band", "row", "col", "node", "root", "own", "asks", "met", "sketch", "bands", "text")
+
+
+def similar(texts: list[str], x: np.ndarray, y: np.ndarray, idf: np.ndarray, similarity: float) -> np.ndarray:
+    """Which pairs of texts (x, y), ordered by x, are similar: the exact weighted Jaccard
+    similarity, of each text with all its partners at a time.  All texts have words."""
+    parts = [(doc + first, s, n) for first, part in pieces(texts) for doc, s, n in [shingle_counts(part)]]
+    doc, s, n = (np.concatenate(c) for c in zip(*parts, strict=True))
+    w = (n.astype(np.float32) * idf[feature(s)]).astype(np.float64)
+    s = np.unique(s, return_inverse=True)[1]
+    start = np.searchsorted(doc, np.arange(len(texts) + 1))
+    total = np.add.reduceat(w, start[:-1])
+    own = np.zeros(int(s.max()) + 1)
+    out = np.zeros(len(x), bool)
+    ends = np.append(np.flatnonzero(np.diff(x)) + 1, len(x))
+    for at, after in zip(np.append(0, ends[:-1]).tolist(), ends.tolist(), strict=True):
+        i, j = x[at], y[at:after]
+        mine = slice(start[i], start[i + 1])
+        own[s[mine]] = w[mine]
+        size = start[j + 1] - start[j]
+        first = np.cumsum(size) - size
+        k = np.repeat(start[j] - first, size) + np.arange(int(size.sum()))
+        both = np.add.reduceat(np.minimum(own[s[k]], w[k]), first)
+        out[at:after] = both / (total[i] + total[j] - both) >= similarity
+        own[s[mine]] = 0
+    return out
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Of the links (a, b) those that join parts not joined by links before them."""
+    root: dict[int, int] = {}
+
+    def find(i: int) -> int:
+        while (up := root.get(i, i)) != i:
+            root[i] = root.get(up, up)
+            i = root[i]
+        return i
+
+    out = []
+    for i, j in sorted(set(zip(a.tolist(), b.tolist(), strict=True))):
+        p, q = find(i), find(j)
+        if p != q:
+            root[q] = p
+            out.append((i, j))
+    return out
+
+
+def _across(cells: DataFrame, idf, similarity: float) -> DataFrame:
+    """Of all verified links between texts of different classes (root): (a, b, null), a
+    forest of each cell that joins the classes, and (node, null, n), links of each text."""
+
+    def agreeing(band: int, roots: np.ndarray, own: np.ndarray, asks: np.ndarray, met: np.ndarray, sketches: np.ndarray,
+                 bands: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of a text that asks and one that it meets, each unordered pair in one cell of one bucket."""
+        place = int(np.flatnonzero(bands[0] == band)[0])
+        xs, ys = [], []
         for at in range(0, len(asks), 64):
             rows = asks[at:at + 64]
             near = np.concatenate([
                 (sketches[rows, None, :] == sketches[None, met[other:other + 2048], :]).sum(2, dtype=np.uint8)
                 for other in range(0, len(met), 2048)], axis=1)
             near[roots[rows, None] == roots[None, met]] = 0
+            near[own[met][None, :] & (met[None, :] < rows[:, None])] = 0  # these ask, too
             i, j = np.nonzero(near >= LEAST_AGREEING)
-            order = np.lexsort((-near[i, j].astype(int), i))
-            i, j = i[order], j[order]
-            rank = np.arange(len(i)) - np.searchsorted(i, i)
-            if (rank >= best).any():
-                yield nodes[rows[i[rank >= best][0]]], None
-            i, j = i[rank < best], j[rank < best]
-            yield from ((nodes[x], nodes[y]) for x, y in zip(rows[i].tolist(), met[j].tolist(), strict=True))
+            x, y = rows[i], met[j]
+            new = ~(bands[x, :place] == bands[y, :place]).any(1)
+            xs.append(x[new].astype(np.int32))
+            ys.append(y[new].astype(np.int32))
+        return np.concatenate(xs), np.concatenate(ys)
+
+    def found(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        band, _, _, nodes, roots, own, asks, met, sketches, keys, texts = zip(*held, strict=True)
+        if not any(asks) or not any(met):  # few texts may leave a block empty
+            return
+        names, root = np.unique(np.array(roots, dtype=object), return_inverse=True)
+        x, y = agreeing(band[0], root, np.array(own), np.flatnonzero(asks), np.flatnonzero(met),
+                        np.frombuffer(b"".join(sketches), np.uint8).reshape(len(nodes), -1), np.array(keys, np.int64))
+        if not len(x):
+            return
+        some = np.unique(np.concatenate((x, y)))  # texts with a partner
+        at = similar([texts[i] for i in some.tolist()], np.searchsorted(some, x), np.searchsorted(some, y), idf.value, similarity)
+        x, y = x[at], y[at]
+        links = np.bincount(np.concatenate((x, y)), minlength=len(nodes))
+        linked = np.flatnonzero(links).tolist()
+        trees = forest(np.minimum(root[x], root[y]), np.maximum(root[x], root[y]))
+        if linked:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([names[i] for i, _ in trees] + [nodes[i] for i in linked], pa.binary()),
+                 pa.array([names[j] for _, j in trees] + [None] * len(linked), pa.binary()),
+                 pa.array([None] * len(trees) + links[linked].tolist(), pa.int64())], names=["a", "b", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-
-        def found() -> Iterator[pa.RecordBatch]:
-            _, _, _, nodes, sketches, roots, asks, met = zip(*held, strict=True)
-            if any(asks):
-                ids = np.unique(np.array(roots, dtype=object), return_inverse=True)[1]
-                table = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(nodes), -1)
-                out = {(x, y) if y is None else (min(x, y), max(x, y))
-                       for x, y in pairs(nodes, table, ids, np.flatnonzero(asks), np.flatnonzero(met))}
-                if out:
-                    a, b = zip(*out, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
-
         for b in batches:
-            for row in zip(*(b.column(k).to_pylist() for k in range(8)), strict=True):
+            for row in zip(*(b.column(k).to_pylist() for k in range(11)), strict=True):
                 if held and held[-1][:3] != row[:3]:
-                    yield from found()
+                    yield from found(held)
                     held = []
                 held.append(row)
         if held:
-            yield from found()
+            yield from found(held)
 
     n = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return map_batches(cells.repartition(n, "band", "row", "col").sortWithinPartitions("band", "row", "col"),
-                       run, "a binary, b binary", batch_rows=10_000)
+    return map_batches(cells.repartition(n, "band", "row", "col").sortWithinPartitions("band", "row", "col", "node"),
+                       run, "a binary, b binary, n long", batch_rows=500)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, idf, similarity: float) -> DataFrame:
@@ -345,44 +406,36 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("node", "root")
 
 
-def classes(docs: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKET) -> DataFrame:
+def classes(docs: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKET, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per distinct text with words: node (digest), class_id (smallest doc_id of its
     class), copies (documents with this text), links (verified links of the text)
     and class_size (documents in the class)."""
     spark: SparkSession = docs.sparkSession
     idf = spark.sparkContext.broadcast(inverse_frequencies(docs))  # FEATURES numbers
     nodes = stored(_texts(docs, idf), "near-texts")
-    rows = nodes.select("node", "sketch", F.explode("bands").alias("band"))
+    rows = nodes.select("node", F.explode("bands").alias("band"))
     # stored, so that the join's sides are plain shuffles, which split where a bucket is hot
     shared = stored(rows.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high"))
                     .where("n > 1"), "near-shared")
     members = stored(rows.join(shared, "band"), "near-buckets")
-    sketches = members.groupBy("node").agg(F.first("sketch").alias("sketch"))
+    met = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "sketch", "bands")
     texts = stored(docs.where("text is not null").select(text_digest().alias("node"), "text")
-                   .join(sketches.select("node"), "node", "left_semi").dropDuplicates(["node"]), "near-text")
-
-    # first round: the ends of every bucket
-    ends = (members.select("node", "sketch", F.explode(F.array("low", "high")).alias("other")).where("node != other")
-            .select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a"), F.col("other").alias("b"))
-            .dropDuplicates(["a", "b"])
-            .join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b")), "b"))
-    pairs = _agreeing(ends).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    tried = stored(pairs, "near-pairs")
-    links = stored(_verified(tried, texts, idf, similarity), "near-links")
+                   .join(met, "node").dropDuplicates(["node"]), "near-text")
+
+    # the ends of every bucket
+    sketch = lambda c: texts.select(F.col("node").alias(c), F.col("sketch").alias(f"sketch_{c}"))
+    ends = (members.select(F.col("node").alias("a"), F.explode(F.array("low", "high")).alias("b")).where("a != b")
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    pairs = stored(_agreeing(ends.join(sketch("a"), "a").join(sketch("b"), "b")), "near-pairs")
+    links = stored(_verified(pairs, texts.select("node", "text"), idf, similarity), "near-links")
     roots = components(links)
-    for k in count():
-        cells = _cells(members.select("band", "node", "sketch"), roots, bucket)
-        asked = stored(_across(cells, BEST * GROWTH**k).distinct().join(tried, ["a", "b"], "left_anti"), "near-pairs")
-        pairs = asked.where("b is not null")
-        found = stored(_verified(pairs, texts, idf, similarity), "near-links")
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            roots = components(links)
-        if asked.where("b is null").isEmpty():
-            break  # every agreeing pair between classes was tried
-        tried = tried.unionByName(pairs)
-    ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
-    named = nodes.select("node", "first", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # all others, inside the buckets
+    found = stored(_across(_cells(members, roots, texts, bucket, block_bytes), idf, similarity), "near-found")
+    joined = components(found.where("b is not null")).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    ends = (links.select(F.explode(F.array("a", "b")).alias("node"), F.lit(1).alias("n"))
+            .unionByName(found.where("b is null").select(F.col("a").alias("node"), "n")).groupBy("node").agg(F.sum("n").alias("links")))
+    named = (nodes.select("node", "first", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+             .join(joined, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top"))
     whole = named.groupBy("root").agg(F.min("first").alias("class_id"), F.sum("copies").alias("class_size"))
     return stored(named.join(whole, "root").join(ends, "node", "left").select(
         "node", "class_id", "copies", F.coalesce("links", F.lit(0)).cast("long").alias("links"), "class_size"), "near-classes")

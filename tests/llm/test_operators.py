@@ -246,6 +246,78 @@ def test_a_link_within_one_large_bucket_is_found(spark, monkeypatch):
     check_hidden_link(spark, monkeypatch, texts, bucket=8)
 
 
+def family(seed, n, edits, size=300):
+    """Texts that are each a base with some words replaced: all about equally alike."""
+    rng = random.Random(seed)
+    base = words(rng, size).split()
+    out = []
+    for _ in range(n):
+        v = list(base)
+        for k in rng.sample(range(1, size // 6), edits):
+            v[6 * k] = "q" + str(rng.random())[2:8]
+        out.append(" ".join(v))
+    return out
+
+
+def test_stored_rows_stay_in_proportion_to_a_family_just_below_the_limit(spark, monkeypatch):
+    """Its agreeing pairs grow with the square of its size, 19,900 here; none may leave its task."""
+    n, rows = 200, {}
+    stored = neardup.stored
+
+    def counted(df, tag):
+        out = stored(df, tag)
+        rows[tag] = max(rows.get(tag, 0), out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "stored", counted)
+    monkeypatch.setattr(neardup, "inverse_frequencies", lambda _: np.ones(neardup.FEATURES, np.float32))
+    texts = family(51, n, 8)
+    sets = [set(neardup.shingle_counts([t])[1].tolist()) for t in texts]
+    alike = [len(a & b) / len(a | b) for i, a in enumerate(sets) for b in sets[:i]]
+    assert sum(x >= 0.5 for x in alike) == len(alike) == 19_900
+    assert len({r["class_id"] for r in neardup.near_duplicates(docs(spark, texts)).collect()}) > n / 2
+    assert max(rows.values()) <= n * neardup.BANDS, rows
+
+
+def test_links_and_classes_are_the_same_however_blocks_are_dealt(spark):
+    texts = family(52, 60, 6) + family(53, 40, 5) + near_copies(random.Random(54), 3, 4)
+    rows = []
+    for more in ({}, {"bucket": 5}, {"block_bytes": 10_000}):
+        found = neardup.classes(docs(spark, texts), **more)
+        rows.append(sorted(map(tuple, found.select("class_id", "copies", "links", "class_size").collect())))
+    assert rows[0] == rows[1] == rows[2]
+    assert any(r[2] for r in rows[0])
+
+
+def test_one_text_against_all_its_partners_equals_pair_by_pair():
+    rng = random.Random(55)
+    texts = family(56, 12, 6) + ["a b a b a b a b a b a b", "a b a b a b a b a b", "one two", "one two three"]
+    texts += [words(rng, 30, "ab") for _ in range(10)]
+    idf = (0.75 + 0.25 * np.random.default_rng(3).random(neardup.FEATURES)).astype(np.float32)
+    sets = [neardup.weights(t, idf) for t in texts]
+    x, y = (np.array(c) for c in zip(*[(i, j) for i in range(len(texts)) for j in range(len(texts)) if i != j], strict=True))
+    whole = [neardup.weighted_jaccard(sets[i], sets[j]) for i, j in zip(x, y, strict=True)]
+    for limit in (0.8, 0.5, *whole[::40]):  # each value itself is reached, too
+        assert neardup.similar(texts, x, y, idf, limit).tolist() == [w >= limit for w in whole]
+
+
+def test_a_forest_joins_what_the_links_join():
+    rng = np.random.default_rng(4)
+    a, b = rng.integers(0, 60, (2, 50))
+    a, b = np.minimum(a, b)[a != b], np.maximum(a, b)[a != b]
+
+    def parts(links):
+        label = list(range(60))
+        for _ in range(60):
+            for i, j in links:
+                label[i] = label[j] = min(label[i], label[j])
+        return label
+
+    some = neardup.forest(a, b)
+    whole = parts(list(zip(a.tolist(), b.tolist(), strict=True)))
+    assert parts(some) == whole and len(some) == 60 - len(set(whole))
+
+
 def test_few_links_are_rejected_by_their_sketches():
     n, p = neardup.ROWS * neardup.BANDS, neardup.SIMILARITY
     assert sum(math.comb(n, k) * p**k * (1 - p)**(n - k) for k in range(neardup.LEAST_AGREEING)) < 1e-5
