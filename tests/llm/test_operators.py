@@ -13,6 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from pitchlens.llm import (
     chat, decontam, encode, neardup, pii, pieces, quality, sharding, substrings, tokencount, toxicity,
 )
@@ -259,10 +260,10 @@ def family(seed, n, edits, size=300):
     return out
 
 
-def test_stored_rows_stay_in_proportion_to_a_family_just_below_the_limit(spark, monkeypatch):
-    """Its agreeing pairs grow with the square of its size, 19,900 here; none may leave its task."""
-    n, rows = 200, {}
-    stored = neardup.stored
+@pytest.fixture()
+def stored_rows(monkeypatch):
+    """Rows of the largest table stored under each name; all shingles weigh the same."""
+    rows, stored = {}, neardup.stored
 
     def counted(df, tag):
         out = stored(df, tag)
@@ -271,12 +272,27 @@ def test_stored_rows_stay_in_proportion_to_a_family_just_below_the_limit(spark,
 
     monkeypatch.setattr(neardup, "stored", counted)
     monkeypatch.setattr(neardup, "inverse_frequencies", lambda _: np.ones(neardup.FEATURES, np.float32))
+    return rows
+
+
+def test_stored_rows_stay_in_proportion_to_a_family_just_below_the_limit(spark, stored_rows):
+    """Its agreeing pairs grow with the square of its size, 19,900 here; none may leave its task."""
+    n = 200
     texts = family(51, n, 8)
     sets = [set(neardup.shingle_counts([t])[1].tolist()) for t in texts]
     alike = [len(a & b) / len(a | b) for i, a in enumerate(sets) for b in sets[:i]]
     assert sum(x >= 0.5 for x in alike) == len(alike) == 19_900
     assert len({r["class_id"] for r in neardup.near_duplicates(docs(spark, texts)).collect()}) > n / 2
-    assert max(rows.values()) <= n * neardup.BANDS, rows
+    assert max(stored_rows.values()) <= n * neardup.BANDS, stored_rows
+
+
+def test_the_pipelines_near_dedup_keeps_stored_rows_in_proportion(spark, stored_rows):
+    n = 150
+    texts = family(57, n, 8)
+    kept = corpus_pipeline.near_dedup(spark, docs(spark, texts), "").collect()
+    want = brute_classes(list(enumerate(texts)), np.ones(neardup.FEATURES, np.float32))
+    assert {r["doc_id"] for r in kept} == set(want.values())
+    assert max(stored_rows.values()) <= n * neardup.BANDS, stored_rows
 
 
 def test_links_and_classes_are_the_same_however_blocks_are_dealt(spark):
