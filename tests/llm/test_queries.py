@@ -1,6 +1,7 @@
 """The registered queries on the smallest tables: contracts, the SQL and the pipeline."""
 
 import hashlib
+import random
 import zlib
 
 import duckdb
@@ -54,6 +55,23 @@ def test_sharding_law(spark):
     assert max(loads) - min(loads) <= 0.1 * max(loads)
 
 
+def test_passages_repeated_across_documents_are_told_from_clean_ones(spark, tmp_path):
+    rng = random.Random(5)
+    text = lambda n: " ".join("".join(rng.choices("abcdefghij", k=8)) for _ in range(n))
+    passages = [text(60) for _ in range(3)]  # 539 bytes each
+    # a digit of its own on both sides, so that no neighbouring byte repeats by chance
+    rows = [(i, f"{text(20 * (i % 9))} {i // 3}{passages[i % 3]}{i // 3} {text(30)}") for i in range(30)]
+    rows += [(100 + i, text(1 + 9 * i)) for i in range(30)] + [(200, None), (201, "")]
+    short = " ".join("abcdef"[i % 6] for i in range(60))  # 119 bytes: the unit is 400
+    rows += [(300 + i, f"{text(40)} {short} {text(40)}") for i in range(2)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.op8_repeated_substrings(spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: r["repeated"] for r in out} == {i: i < 30 for i, _ in rows}
+    for r, (i, t) in zip(sorted(out), sorted(rows), strict=True):
+        left = (t or "").replace(passages[i % 3], "").encode()
+        assert (r["n_removed"], r["kept_sha256"]) == (len((t or "").encode()) - len(left), hashlib.sha256(left).hexdigest())
+
+
 def test_pipeline_equals_its_stages_done_plainly(spark):
     got = {r["doc_id"]: r for r in corpus_pipeline.run(spark, SF).collect()}
     docs = spark.read.parquet(f"{SF}/documents.parquet")
